@@ -1,0 +1,22 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded probe proves it holds at most
+``max_rows`` rows (the probe reads at most ``max_rows + 1`` rows). Otherwise the
+plan is left to the optimizer: sort-merge / shuffle-hash join, with AQE free to
+switch to a broadcast at runtime when the measured size allows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
