@@ -14,6 +14,7 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 PLAN_MODULES = (
     "tessera.plans.facts",
     "tessera.plans.quality",
+    "tessera.plans.ops",
 )
 
 
