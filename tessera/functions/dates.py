@@ -61,7 +61,7 @@ def calendar_columns(d) -> list[Column]:
 def safe_date(x, fmt: str) -> Column:
     """Trimmed text parsed with ``fmt``; blank or invalid -> NULL (never raises)."""
     s = F.trim(_c(x))
-    return F.when(s != "", F.try_to_date(s, F.lit(fmt)))
+    return F.when(s != "", F.try_to_date(s, fmt))
 
 
 def days_in_month(d) -> Column:

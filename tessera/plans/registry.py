@@ -15,6 +15,7 @@ PLAN_MODULES = (
     "tessera.plans.facts",
     "tessera.plans.quality",
     "tessera.plans.ops",
+    "tessera.plans.conform",
 )
 
 
