@@ -26,7 +26,8 @@ def ordered_sample(df: DataFrame, col: str, n: int, alias: str, sep: str = ">")
     ``orderBy().limit(n)`` plans as a per-partition top-k plus a bounded merge, so
     only ``n`` values per partition ever move."""
     top = df.select(col).orderBy(col).limit(n)
-    return top.agg(F.array_join(F.array_sort(F.collect_list(F.col(col))), sep).alias(alias))
+    vals = F.array_sort(F.collect_list(F.col(col)))
+    return top.agg(F.when(F.size(vals) > 0, F.array_join(vals, sep)).alias(alias))
 
 
 def distribution(df: DataFrame, value: Column, flag: Column | None = None, none_label: str = "<none>") -> DataFrame:

@@ -16,6 +16,7 @@ PLAN_MODULES = (
     "tessera.plans.quality",
     "tessera.plans.ops",
     "tessera.plans.conform",
+    "tessera.plans.relations",
 )
 
 
