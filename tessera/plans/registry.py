@@ -17,6 +17,7 @@ PLAN_MODULES = (
     "tessera.plans.ops",
     "tessera.plans.conform",
     "tessera.plans.relations",
+    "tessera.plans.hierarchy",
 )
 
 
