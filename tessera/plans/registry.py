@@ -18,6 +18,8 @@ PLAN_MODULES = (
     "tessera.plans.conform",
     "tessera.plans.relations",
     "tessera.plans.hierarchy",
+    "tessera.plans.entities",
+    "tessera.plans.textsources",
 )
 
 
