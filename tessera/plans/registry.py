@@ -21,6 +21,7 @@ PLAN_MODULES = (
     "tessera.plans.entities",
     "tessera.plans.textsources",
     "tessera.plans.writes",
+    "tessera.plans.streams",
 )
 
 
