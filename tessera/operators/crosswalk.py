@@ -38,7 +38,8 @@ def weight_sums(xw: DataFrame, source: str, kinds: Sequence[str], kind: str = "w
     Sums are a partial-aggregated hash aggregate; the sample of each kind (a small
     closed vocabulary) is a bounded top-k, so no kind is ever gathered in one task."""
     per = xw.groupBy(source, kind).agg(F.sum(weight).alias("__total"))
-    per = per.withColumn("__bad", F.abs(F.col("__total") - 1) > tolerance)
+    # materialised once: the counts and every per-kind sample read it
+    per = per.withColumn("__bad", F.abs(F.col("__total") - 1) > tolerance).checkpoint()
     counts = per.groupBy(kind).agg(F.count(F.lit(1)).alias("n_sources"),
                                    F.sum(F.when(F.col("__bad"), 1).otherwise(0)).cast("bigint").alias("n_bad"))
     bad = per.filter("__bad")

@@ -79,7 +79,7 @@ def row_checks(df: DataFrame, table_name: str, checks: Sequence[RowCheck]) -> Da
     aggs = [F.count(F.lit(1)).alias("__total")]
     for i, c in enumerate(checks):
         _validate(c.category, c.severity)
-        aggs.append(F.sum(F.when(c.failed, 1).otherwise(0)).alias(f"__f{i}"))
+        aggs.append(F.coalesce(F.sum(F.when(c.failed, 1).otherwise(0)), F.lit(0)).alias(f"__f{i}"))
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(c.check_name).alias("check_name"), F.lit(c.category).alias("category"),

@@ -162,7 +162,10 @@ _PAIRS_SQL = "SELECT l_partkey, l_suppkey, SUM(l_quantity) AS overlap FROM linei
 
 
 def _pairs(t):
-    return t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("overlap"))
+    """Part-supplier overlap, materialised once in the shared checkpoint folder: it
+    feeds several branches (winner, totals, join-back), and re-deriving it would
+    re-scan and re-aggregate the fact table per branch."""
+    return t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("overlap")).checkpoint()
 
 
 @query("primary_by_overlap", sql=f"""
@@ -177,14 +180,14 @@ FROM r WHERE rn = 1
 def primary_by_overlap(spark, sf):
     """The largest-overlap partner per unit (overlap desc nulls last, id
     asc), its fraction of the unit's total (only when total > 0), partner count."""
-    pairs = _pairs(Tables(spark, sf))
-    best = W.keep_one(pairs, ["l_partkey"], W.desc_nulls_last(F.col("overlap")) + [F.col("l_suppkey")],
-                      ["l_suppkey", "overlap"])
-    tot = pairs.groupBy(F.col("l_partkey").alias("__p")).agg(F.sum("overlap").alias("__total"),
-                                                          F.count_distinct("l_suppkey").cast("int").alias("n_suppliers"))
-    j = best.join(tot, F.col("l_partkey") == F.col("__p"))
-    return j.select("l_partkey", F.col("l_suppkey").alias("primary_suppkey"), "overlap",
-                    dq.safe_rate(F.col("overlap"), F.col("__total")).alias("fraction"), "n_suppliers")
+    pairs = Tables(spark, sf).lineitem.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("overlap"))
+    # one aggregate per unit: winner (min over the ordering struct), total, partner count
+    order = W.desc_nulls_last(F.col("overlap")) + [F.col("l_suppkey")]
+    st = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], F.col("l_suppkey"), F.col("overlap"))
+    g = pairs.groupBy("l_partkey").agg(F.min(st).alias("__w"), F.sum("overlap").alias("__total"),
+                                       F.count_distinct("l_suppkey").cast("int").alias("n_suppliers"))
+    return g.select("l_partkey", F.col("__w.l_suppkey").alias("primary_suppkey"), F.col("__w.overlap").alias("overlap"),
+                    dq.safe_rate(F.col("__w.overlap"), F.col("__total")).alias("fraction"), "n_suppliers")
 
 
 @query("primary_flag_bridge", sql=f"""
@@ -263,7 +266,7 @@ def _wide_weights(t):
     li = t.lineitem
     pairs = li.groupBy("l_partkey", "l_suppkey").agg(
         F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("p"),
-        F.sum(F.col("l_quantity") * F.col("l_discount")).alias("d"))
+        F.sum(F.col("l_quantity") * F.col("l_discount")).alias("d")).checkpoint()  # two consumers below
     tot = pairs.groupBy(F.col("l_partkey").alias("__p")).agg(F.sum("q").alias("tq"), F.sum("p").alias("tp"),
                                                           F.sum("d").alias("td"))
     j = pairs.join(tot, F.col("l_partkey") == F.col("__p"))

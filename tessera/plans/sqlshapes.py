@@ -18,7 +18,7 @@ def dq_row(table: str, check: str, category: str, severity: str, *, failing: str
 
 def row_check_sql(table: str, source: str, checks: list[tuple[str, str, str, str]]) -> str:
     """checks: (check_name, category, severity, failed_predicate)."""
-    aggs = ", ".join(f"SUM(CASE WHEN {pred} THEN 1 ELSE 0 END) AS f{i}" for i, (_, _, _, pred) in enumerate(checks))
+    aggs = ", ".join(f"COALESCE(SUM(CASE WHEN {pred} THEN 1 ELSE 0 END), 0) AS f{i}" for i, (_, _, _, pred) in enumerate(checks))
     parts = []
     for i, (name, cat, sev, _) in enumerate(checks):
         parts.append(dq_row(table, name, cat, sev, failing=f"f{i}", total="n", source="a",
