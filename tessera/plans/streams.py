@@ -42,7 +42,7 @@ def stream_upsert(spark, sf):
     landed day lives in one file and files are never split across batches."""
     ev = Tables(spark, sf).events
     landing = _land(spark, sf, "landing_daily")
-    table = S.VersionedTable(spark, shared_path(spark, "daily_totals"))
+    table = S.PartitionedTable(spark, shared_path(spark, "daily_totals"), "obs_date")
 
     def prepare(batch):
         return batch.groupBy("user_id", F.to_date("ts").alias("obs_date"), "event_type").agg(
@@ -72,9 +72,10 @@ def stream_late_revision(spark, sf):
     rev = ev.filter(F.col("event_type") == "error").withColumn("value", F.col("value") + 1000).withColumn("revision", F.lit(1))
     landing = shared_path(spark, "landing_revisions")
     S.land_files(orig, landing, F.to_date("ts"), N_FILES)
-    table = S.VersionedTable(spark, shared_path(spark, "revised_events"))
+    table = S.PartitionedTable(spark, shared_path(spark, "revised_events"), "obs_date")
     ckpt = shared_path(spark, "ckpt_revisions")
-    fn = S.latest_revision_batches(table, ["event_id"], "revision")
+    fn = S.latest_revision_batches(table, ["event_id"], "revision",
+                                   lambda b: b.withColumn("obs_date", F.to_date("ts")))
 
     def stream():
         s = S.file_stream(spark, landing, orig.schema, max_files=3)
@@ -100,15 +101,16 @@ def stream_tumbling(spark, sf):
     upserted per (type, window) so the table holds every window once drained."""
     ev = Tables(spark, sf).events
     landing = _land(spark, sf, "landing_windows")
-    table = S.VersionedTable(spark, shared_path(spark, "window_totals"))
+    table = S.PartitionedTable(spark, shared_path(spark, "window_totals"), "window_day")
     s = S.file_stream(spark, landing, ev.schema, max_files=2).withColumn("ts", F.col("ts").cast("timestamp"))
     agg = (s.withWatermark("ts", ARRIVAL_LATENESS).groupBy("event_type", F.window("ts", "1 day"))
              .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("__s")))
 
     def prepare(batch):
-        return batch.select("event_type", F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n",
-                            F.round("__s", 2).alias("total"))
+        start = F.col("window.start").cast("timestamp_ntz")
+        return batch.select("event_type", start.alias("window_start"), "n", F.round("__s", 2).alias("total"),
+                            F.to_date(start).alias("window_day"))
 
     fn = S.upsert_batches(table, ["event_type", "window_start"], prepare)
     S.run_available_now(agg, shared_path(spark, "ckpt_windows"), foreach_batch=fn, output_mode="update")
-    return table.read()
+    return table.read().drop("window_day")

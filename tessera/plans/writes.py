@@ -202,13 +202,11 @@ def revision_absorb(spark, sf):
              _daily(ev.filter((day >= F.lit("2024-01-20").cast("date")) & (F.col("value") < 100)), "prelim"),
              _daily(ev.filter(day >= F.lit("2024-01-25").cast("date")), "scaled")]
     base = shared_path(spark, "daily_revisions")
-    path = lake.new_version_path(base)
-    lake.full_refresh(loads[0], path)
-    for load in loads[1:]:
-        nxt = lake.new_version_path(base)
-        lake.full_refresh(MG.upsert(spark.read.parquet(path), load, ["user_id", "obs_date"]), nxt)
-        path = nxt
-    return spark.read.parquet(path)
+    path = f"{base}/table"
+    for i, load in enumerate(loads):  # each load rewrites only the days it touches
+        lake.merge_partitions(spark, path, load, "obs_date", lambda cur, src: MG.upsert(cur, src, ["user_id", "obs_date"]),
+                              f"{base}/_staging/load-{i}")
+    return lake.read_table(spark, path, loads[0].schema)
 
 
 @query("overlay_update", sql="""

@@ -55,3 +55,36 @@ def new_version_path(base: str) -> str:
 def vintage_exists(df_table: DataFrame, vintage_col: str, vintage) -> bool:
     """U8: snapshot immutability probe — a present snapshot is never rewritten."""
     return df_table.filter(F.col(vintage_col) == F.lit(vintage)).limit(1).count() > 0
+
+
+def try_read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path``, or None when nothing has been written there yet."""
+    try:
+        df = read_table(spark, path, schema)
+        df.limit(0).collect()  # resolves the file listing
+        return df
+    except Exception:  # noqa: BLE001 - no table yet
+        return None
+
+
+def merge_partitions(spark: SparkSession, path: str, source: DataFrame, partition_col: str, combine,
+                     staging: str, *, max_touched: int = 100_000) -> None:
+    """Upsert-style merge that rewrites only the partitions ``source`` touches.
+
+    The current rows of the touched partitions are selected by a semi-join on the
+    partition column against the (size-checked, broadcast) set of touched values, so
+    dynamic partition pruning skips every other folder. ``combine(current, source)``
+    computes the new content, which is staged first (never overwrite what is being
+    read), then swapped in with dynamic partition overwrite. Replaying the same
+    source gives the same partitions (the combine functions are idempotent)."""
+    from tessera.operators.sizing import broadcast_if_small
+    schema = source.schema
+    current = try_read(spark, path, schema)
+    if current is None:
+        new = source
+    else:
+        touched = broadcast_if_small(source.select(partition_col).distinct(), max_touched)
+        new = combine(current.join(touched, partition_col, "left_semi"), source)
+    full_refresh(new.select(*schema.fieldNames()), staging)
+    (read_table(spark, staging, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))

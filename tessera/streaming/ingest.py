@@ -51,42 +51,45 @@ def run_available_now(stream: DataFrame, checkpoint: str, *, sink_path: str | No
         raise RuntimeError(str(q.exception()))
 
 
-class VersionedTable:
-    """A table rewritten per micro-batch into ``<base>/b-<batch_id>`` folders.
+class PartitionedTable:
+    """A keyed table partitioned by ``partition_col`` and merged per micro-batch.
 
-    Re-running a batch id rewrites the same folder with the same content, so a
-    replayed batch (after a failure between write and commit) is harmless."""
+    Each batch rewrites only the partitions it touches (``lake.merge_partitions``);
+    the cost of a batch grows with the batch, not with the table. Staging folders
+    are named by batch id, so a replayed batch rewrites the same content."""
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, partition_col: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self.current: str | None = None
+        self.path = f"{self.base}/table"
+        self.partition_col = partition_col
+        self.schema: T.StructType | None = None
 
     def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.current) if self.current else None
+        return lake.read_table(self.spark, self.path, self.schema) if self.schema is not None else None
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        path = f"{self.base}/b-{batch_id:08d}"
-        lake.full_refresh(df, path)
-        self.current = path
+    def merge(self, source: DataFrame, batch_id: int, combine) -> None:
+        self.schema = source.schema
+        lake.merge_partitions(self.spark, self.path, source, self.partition_col, combine,
+                              f"{self.base}/_staging/b-{batch_id:08d}")
 
 
-def upsert_batches(table: VersionedTable, keys: Sequence[str],
+def upsert_batches(table: PartitionedTable, keys: Sequence[str],
                    prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function — aggregate/shape the batch, upsert it on ``keys``."""
+    """foreachBatch function — shape the batch, upsert it on ``keys``."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        src = prepare(batch)
-        cur = table.read()
-        table.write(src if cur is None else MG.upsert(cur, src, keys), batch_id)
+        table.merge(prepare(batch), batch_id, lambda cur, src: MG.upsert(cur, src, keys))
     return fn
 
 
-def latest_revision_batches(table: VersionedTable, keys: Sequence[str], revision: str) -> Callable[[DataFrame, int], None]:
+def latest_revision_batches(table: PartitionedTable, keys: Sequence[str], revision: str,
+                            prepare: Callable[[DataFrame], DataFrame] = lambda b: b) -> Callable[[DataFrame, int], None]:
     """foreachBatch function — the highest revision per key wins, whichever
     batch it arrives in (a late revision replaces the earlier row, never duplicates)."""
+    def combine(cur: DataFrame, src: DataFrame) -> DataFrame:
+        return W.keep_one(cur.unionByName(src), list(keys), [-F.col(revision)])
+
     def fn(batch: DataFrame, batch_id: int) -> None:
-        cur = table.read()
-        both = batch if cur is None else cur.unionByName(batch.select(*cur.columns))
-        best = W.keep_one(both, list(keys), [-F.col(revision)])
-        table.write(best, batch_id)
+        src = W.keep_one(prepare(batch), list(keys), [-F.col(revision)])
+        table.merge(src, batch_id, combine)
     return fn

@@ -23,9 +23,11 @@ def test_rerun_ingests_only_new_files(spark):
 
 
 def test_latest_revision_wins_across_batches(spark):
-    table = S.VersionedTable(spark, shared_path(spark, "t_rev"))
+    table = S.PartitionedTable(spark, shared_path(spark, "t_rev"), "p")
     fn = S.latest_revision_batches(table, ["k"], "rev")
-    fn(spark.createDataFrame([(1, 0, "a"), (2, 0, "b")], "k int, rev int, v string"), 0)
-    fn(spark.createDataFrame([(1, 1, "A"), (2, 0, "b")], "k int, rev int, v string"), 1)
-    fn(spark.createDataFrame([(1, 0, "stale")], "k int, rev int, v string"), 2)
-    assert sorted(tuple(r) for r in table.read().collect()) == [(1, 1, "A"), (2, 0, "b")]
+    fn(spark.createDataFrame([(1, 0, "a", 1), (2, 0, "b", 2)], "k int, rev int, v string, p int"), 0)
+    fn(spark.createDataFrame([(1, 1, "A", 1), (2, 0, "b", 2)], "k int, rev int, v string, p int"), 1)
+    fn(spark.createDataFrame([(1, 0, "stale", 1)], "k int, rev int, v string, p int"), 2)
+    fn(spark.createDataFrame([(1, 0, "stale", 1)], "k int, rev int, v string, p int"), 2)  # replayed batch
+    assert sorted(tuple(r) for r in table.read().select("k", "rev", "v", "p").collect()) == [
+        (1, 1, "A", 1), (2, 0, "b", 2)]
