@@ -53,3 +53,14 @@ def add_missing_columns(df: DataFrame, declared: dict[str, str]) -> DataFrame:
         if name not in df.columns:
             out = out.withColumn(name, F.lit(None).cast(typ))
     return out
+
+
+def override_record(base, overrides: dict, structural: frozenset[str] = frozenset()):
+    """A base metadata record with per-table field overrides. Unknown fields
+    are rejected; structural keys always keep the base value."""
+    import dataclasses
+    names = {f.name for f in dataclasses.fields(base)}
+    unknown = sorted(set(overrides) - names)
+    if unknown:
+        raise ValueError(f"unknown override fields: {unknown}")
+    return dataclasses.replace(base, **{k: v for k, v in overrides.items() if k not in structural})
