@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.sizing import broadcast_if_small
 
 
 def literal_map(spark: SparkSession, mapping: Mapping, key: str, value: str) -> DataFrame:
@@ -16,16 +15,16 @@ def literal_map(spark: SparkSession, mapping: Mapping, key: str, value: str) ->
 
 
 def conform_distinct(fact: DataFrame, code_cols: Sequence[str], conform: callable,
-                     out_col: str, *, max_distinct: int = 1_000_000) -> DataFrame:
+                     out_col: str) -> DataFrame:
     """Conform each distinct code combination once, then join the result back.
 
     ``conform(distinct_codes_df) -> df(code_cols..., out_col)`` is a column-level
     transformation (lookup joins, overrides, regex guards) run on the distinct codes
-    only. The conformed map is broadcast after a size check; past the bound the
-    join back is a regular shuffle join."""
+    only. The distinct is a partial-aggregated shuffle; the join back is planned by
+    AQE from the measured size of the conformed map (a few thousand codes become a
+    broadcast at runtime; an unexpectedly large map stays a shuffle join)."""
     codes = fact.select(*code_cols).distinct()
     conformed = conform(codes).select(*[F.col(c).alias(f"__c_{c}") for c in code_cols], out_col)
-    conformed = broadcast_if_small(conformed, max_distinct)
     cond = [F.col(c).eqNullSafe(F.col(f"__c_{c}")) for c in code_cols]
     return fact.join(conformed, cond, "left").drop(*[f"__c_{c}" for c in code_cols])
 

@@ -65,10 +65,14 @@ def range_lookup(df: DataFrame, value: Column, bands: DataFrame, low: str, high:
     """Non-equi lookup of a value into [low, high] bands.
 
     Band tables are small by construction (chapters, classes); the size is checked
-    before broadcasting, so the theta join runs as a broadcast nested-loop join
-    probed per row instead of a cartesian shuffle."""
-    b = broadcast_if_small(bands.select(F.col(low).alias("__lo"), F.col(high).alias("__hi"), *columns),
-                           bounded_rows)
+    and the bands broadcast, so the theta join runs as a broadcast nested-loop join
+    probed per row. A band table over the bound is refused rather than planned as a
+    cartesian product."""
+    from tessera.operators.sizing import row_count_at_most
+    b = bands.select(F.col(low).alias("__lo"), F.col(high).alias("__hi"), *columns)
+    if not row_count_at_most(b, bounded_rows):
+        raise ValueError(f"band table exceeds {bounded_rows} rows; bucketize the ranges into an equi-join instead")
+    b = F.broadcast(b)
     out = df.join(b, (value >= F.col("__lo")) & (value <= F.col("__hi")), "left")
     return out.drop("__lo", "__hi")
 

@@ -4,6 +4,12 @@ A side is broadcast only after a bounded probe proves it holds at most
 ``max_rows`` rows (the probe reads at most ``max_rows + 1`` rows). Otherwise the
 plan is left to the optimizer: sort-merge / shuffle-hash join, with AQE free to
 switch to a broadcast at runtime when the measured size allows.
+
+Use the probe only on tables read from storage (dimensions) or literal lookup
+frames, where it is a cheap scan. A frame derived from a fact (a distinct, an
+aggregate) is never probed: the probe would run the fact's plan a second time.
+Such joins are left to AQE, which measures the materialised shuffle and
+broadcasts the small side at runtime.
 """
 
 from __future__ import annotations

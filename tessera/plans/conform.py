@@ -429,12 +429,12 @@ FROM r
 """)
 def tag_allowlist(spark, sf):
     """trailing (tag) kept only if published or carried by any active row
-    (allow-list built with a distinct + broadcast-checked semi lookup)."""
+    (allow-list built with a distinct, joined back; AQE picks the join at runtime)."""
     p = Tables(spark, sf).part
     fsn = F.concat(F.col("p_name"), F.lit(" ("), F.lower("p_type"), F.lit("-"), (F.col("p_size") % 3).cast("string"), F.lit(")"))
     r = p.select("p_partkey", (F.col("p_retailprice") > 1500).alias("active"), C.trailing_tag(fsn).alias("tag"))
     carried = r.filter("active").select(F.col("tag").alias("__t")).distinct().withColumn("__carried", F.lit(True))
-    r = r.join(broadcast_if_small(carried, 100_000), F.col("tag") == F.col("__t"), "left")
+    r = r.join(carried, F.col("tag") == F.col("__t"), "left")  # AQE sizes the derived allow-list
     keep = F.col("tag").isin(*PUBLISHED_TAGS) | F.col("__carried").isNotNull()
     return r.select("p_partkey", "tag", F.when(keep, F.col("tag")).otherwise(F.lit("")).alias("kept_tag"))
 

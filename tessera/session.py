@@ -18,6 +18,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # shuffle partitions are sized at runtime: AQE coalesces small ones towards this
+    # target and splits skewed ones, so a large spark.sql.shuffle.partitions on a
+    # cluster costs nothing on small stages
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -71,20 +71,25 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, partitio
                      staging: str, *, max_touched: int = 100_000) -> None:
     """Upsert-style merge that rewrites only the partitions ``source`` touches.
 
-    The current rows of the touched partitions are selected by a semi-join on the
-    partition column against the (size-checked, broadcast) set of touched values, so
-    dynamic partition pruning skips every other folder. ``combine(current, source)``
-    computes the new content, which is staged first (never overwrite what is being
-    read), then swapped in with dynamic partition overwrite. Replaying the same
-    source gives the same partitions (the combine functions are idempotent)."""
-    from tessera.operators.sizing import broadcast_if_small
+    ``source`` is staged first (one pass over it); the set of partition values it
+    touches is read from the staged copy — a list bounded by the number of
+    partitions one batch can touch (checked against ``max_touched``) — and becomes
+    a literal ``IN`` filter, so the current table is read with static partition
+    pruning. ``combine(current, source)`` computes the new content, which is staged
+    (never overwrite what is being read) and swapped in with dynamic partition
+    overwrite. Replaying the same source gives the same partitions."""
     schema = source.schema
+    full_refresh(source.select(*schema.fieldNames()), f"{staging}/source")
+    source = read_table(spark, f"{staging}/source", schema)
     current = try_read(spark, path, schema)
     if current is None:
         new = source
     else:
-        touched = broadcast_if_small(source.select(partition_col).distinct(), max_touched)
-        new = combine(current.join(touched, partition_col, "left_semi"), source)
-    full_refresh(new.select(*schema.fieldNames()), staging)
+        values = [r[0] for r in source.select(partition_col).distinct().limit(max_touched + 1).collect()]
+        if len(values) > max_touched:
+            raise ValueError(f"one merge touches more than {max_touched} partitions; split the source")
+        new = combine(current.filter(F.col(partition_col).isin(values)), source)
+    full_refresh(new.select(*schema.fieldNames()), f"{staging}/merged")
+    staging = f"{staging}/merged"
     (read_table(spark, staging, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
