@@ -49,29 +49,35 @@ def longest_existing_prefix(codes: DataFrame, existing: DataFrame, code: str = "
                .select(F.col("__c").alias(code), F.col("__m.prefix").alias("anchor"))
 
 
-def walk(start: DataFrame, edges: DataFrame, max_depth: int, *, checkpoint_every: int = 3,
-         fail_on_unfinished: bool = True) -> DataFrame:
+def walk(start: DataFrame, edges: DataFrame, max_depth: int, *, fail_on_unfinished: bool = True) -> DataFrame:
     """Follow pointers ``edges(src, dst)`` from ``start(node, cur)``.
 
     Returns (node, chain, last): ``chain`` lists the visited pointers in visit order
-    (starting with ``cur``), ``last`` is the final non-NULL pointer. Each round is
-    one equi-join; after ``max_depth`` rounds any walk still moving means a cycle
-    or a deeper tree than declared, which raises."""
+    (starting with ``cur``), ``last`` is the final non-NULL pointer. Each round joins
+    only the walks still moving; finished walks are set aside. The moving frontier
+    is checkpointed every round (lineage stays one round deep) and the loop stops
+    as soon as it is empty. Walks still moving after ``max_depth`` rounds mean a
+    cycle or a deeper tree than declared, which raises."""
     e = edges.select(F.col("src").alias("__src"), F.col("dst").alias("__dst"))
-    cur = start.select("node", "cur",
-                       F.when(F.col("cur").isNotNull(), F.array("cur")).otherwise(F.array().cast("array<string>")).alias("chain"),
-                       F.col("cur").alias("last"))
-    for r in range(max_depth):
-        j = cur.join(e, F.col("cur") == F.col("__src"), "left")
+    s = start.select("node", "cur",
+                     F.when(F.col("cur").isNotNull(), F.array("cur")).otherwise(F.array().cast("array<string>")).alias("chain"),
+                     F.col("cur").alias("last"))
+    done = s.filter(F.col("cur").isNull())
+    moving = s.filter(F.col("cur").isNotNull())
+    for _ in range(max_depth):
+        j = moving.join(e, F.col("cur") == F.col("__src"), "left")
         nxt = F.col("__dst")
-        cur = j.select("node", nxt.alias("cur"),
-                       F.when(nxt.isNotNull(), F.concat("chain", F.array(nxt))).otherwise(F.col("chain")).alias("chain"),
-                       F.coalesce(nxt, F.col("last")).alias("last"))
-        if checkpoint_every and (r + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint()
-    if fail_on_unfinished and cur.filter(F.col("cur").isNotNull()).limit(1).count() > 0:
-        raise ValueError(f"hierarchy walk did not finish in {max_depth} rounds (cycle or deeper tree)")
-    return cur.select("node", "chain", "last")
+        step = j.select("node", nxt.alias("cur"),
+                        F.when(nxt.isNotNull(), F.concat("chain", F.array(nxt))).otherwise(F.col("chain")).alias("chain"),
+                        F.coalesce(nxt, F.col("last")).alias("last")).checkpoint()
+        done = done.unionByName(step.filter(F.col("cur").isNull()))
+        moving = step.filter(F.col("cur").isNotNull())
+        if moving.isEmpty():
+            break
+    else:
+        if fail_on_unfinished and not moving.isEmpty():
+            raise ValueError(f"hierarchy walk did not finish in {max_depth} rounds (cycle or deeper tree)")
+    return done.select("node", "chain", "last")
 
 
 def tree_first_paths(code_set: DataFrame, tree: DataFrame, max_depth: int, min_len: int = 1) -> DataFrame:

@@ -40,6 +40,22 @@ def norm(v):
     return str(v)
 
 
+_FAMILY = {"bigint": "int64", "BIGINT": "int64", "HUGEINT": "int128", "int": "int32", "INTEGER": "int32",
+           "smallint": "int16", "SMALLINT": "int16", "double": "float64", "DOUBLE": "float64", "float": "float32",
+           "FLOAT": "float32", "string": "string", "VARCHAR": "string", "boolean": "bool", "BOOLEAN": "bool",
+           "date": "date", "DATE": "date", "timestamp_ntz": "timestamp", "TIMESTAMP": "timestamp",
+           "timestamp": "timestamptz", "binary": "binary", "BLOB": "binary"}
+
+
+def family(t):
+    t = str(t)
+    if t.startswith("array") or t.endswith("[]"):
+        return "list"
+    if t.startswith("decimal") or t.startswith("DECIMAL"):
+        return "decimal"
+    return _FAMILY.get(t, t)
+
+
 def canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return [tuple(norm(r[i]) for i in order) for r in rows]
@@ -82,6 +98,11 @@ def main():
             print(f"FAIL {k}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
+        stypes = {n: family(t) for n, t in df.dtypes}
+        dtypes_ = {d[0]: family(d[1]) for d in cur.description}
+        tdiff = {n: (stypes[n], dtypes_.get(n)) for n in stypes if stypes[n] != dtypes_.get(n)}
+        if tdiff:
+            print(f"TYPE {k}: {tdiff}")
         if sorted(scols) != sorted(dcols):
             print(f"FAIL {k}: columns spark={sorted(scols)} duck={sorted(dcols)}")
             bad += 1
