@@ -58,7 +58,8 @@ def walk(start: DataFrame, edges: DataFrame, max_depth: int, *, fail_on_unfinish
     is checkpointed every round (lineage stays one round deep) and the loop stops
     as soon as it is empty. Walks still moving after ``max_depth`` rounds mean a
     cycle or a deeper tree than declared, which raises."""
-    e = edges.select(F.col("src").alias("__src"), F.col("dst").alias("__dst"))
+    # the edge list is joined every round: materialise it once
+    e = edges.select(F.col("src").alias("__src"), F.col("dst").alias("__dst")).checkpoint()
     s = start.select("node", "cur",
                      F.when(F.col("cur").isNotNull(), F.array("cur")).otherwise(F.array().cast("array<string>")).alias("chain"),
                      F.col("cur").alias("last"))
@@ -86,7 +87,7 @@ def tree_first_paths(code_set: DataFrame, tree: DataFrame, max_depth: int, min_l
     A code listed in the ``tree(child, parent)`` takes its ancestors from the tree
     chain; any other code anchors on its nearest existing prefix (existing = code
     set plus tree nodes) and takes the anchor's ancestors plus the anchor."""
-    tree = tree.select("child", "parent").distinct()
+    tree = tree.select("child", "parent").distinct().checkpoint()  # read by both walks and the final join
     tree_keys = tree.select(F.col("child").alias("code")).distinct()
     # tree chains
     tw = walk(tree.select(F.col("child").alias("node"), F.col("parent").alias("cur")),
@@ -96,7 +97,7 @@ def tree_first_paths(code_set: DataFrame, tree: DataFrame, max_depth: int, min_l
     # anchors for codes not in the tree
     existing = code_set.select("code").unionByName(tree_keys).distinct()
     anchors = longest_existing_prefix(existing, existing, "code", min_len)
-    non_tree_anchor = anchors.join(tree_keys, "code", "left_anti")
+    non_tree_anchor = anchors.join(tree_keys, "code", "left_anti").checkpoint()  # walk start and edges
     aw = walk(non_tree_anchor.select(F.col("code").alias("node"), F.col("anchor").alias("cur")),
               non_tree_anchor.select(F.col("code").alias("src"), F.col("anchor").alias("dst")), max_depth)
     aw = aw.join(tree_path, F.col("last") == F.col("__tn"), "left") \
