@@ -41,28 +41,27 @@ def _codes(t):
 
 
 def _code_set(p):
+    """Codes plus the chosen prefix nodes, from ONE scan: each part row emits its
+    candidate nodes as an array, exploded and de-duplicated."""
     s = F.col("p_size")
-    parts = [p.select(F.col("c5").alias("code")),
-             p.filter(s > 25).select(F.substring("c5", 1, 3).alias("code")),
-             p.filter(F.col("p_type") == "ECONOMY").select(F.substring("c5", 1, 4).alias("code")),
-             p.filter(s <= 10).select(F.substring("c5", 1, 1).alias("code"))]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out.distinct()
+    cands = F.array(F.col("c5"), F.when(s > 25, F.substring("c5", 1, 3)),
+                    F.when(F.col("p_type") == "ECONOMY", F.substring("c5", 1, 4)), F.when(s <= 10, F.substring("c5", 1, 1)))
+    return p.select(F.explode(cands).alias("code")).filter(F.col("code").isNotNull()).distinct()
 
 
 def _tree(p):
+    """Explicit parent pairs (the 'tree'), also from one scan of the part rows."""
     s = F.col("p_size")
-    parts = [p.filter(s > 40).select(F.col("c5").alias("child"), F.substring("c5", 1, 3).alias("parent")),
-             p.filter((F.col("p_type") == "ECONOMY") & (s <= 10)).select(F.substring("c5", 1, 4).alias("child"),
-                                                                          F.substring("c5", 1, 1).alias("parent")),
-             p.filter(s > 45).select(F.substring("c5", 1, 3).alias("child"), F.substring("c5", 1, 2).alias("parent")),
-             p.filter(s > 45).select(F.substring("c5", 1, 2).alias("child"), F.lit(None).cast("string").alias("parent"))]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out.distinct()
+    null = F.lit(None).cast("string")
+
+    def edge(cond, child, parent):
+        return F.when(cond, F.struct(child.alias("child"), parent.alias("parent")))
+
+    edges = F.array(edge(s > 40, F.col("c5"), F.substring("c5", 1, 3)),
+                    edge((F.col("p_type") == "ECONOMY") & (s <= 10), F.substring("c5", 1, 4), F.substring("c5", 1, 1)),
+                    edge(s > 45, F.substring("c5", 1, 3), F.substring("c5", 1, 2)),
+                    edge(s > 45, F.substring("c5", 1, 2), null))
+    return p.select(F.explode(edges).alias("e")).filter(F.col("e").isNotNull()).select("e.child", "e.parent").distinct()
 
 
 def _shape(df):
