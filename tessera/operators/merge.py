@@ -61,20 +61,48 @@ def overlay(base: DataFrame, update: DataFrame, keys: Sequence[str]) -> DataFram
     return base.join(update.select(*keys), list(keys), "left_anti").unionByName(update)
 
 
+def _bucketed_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                       value: Column, direction: str, out: str) -> DataFrame:
+    """Previous (``lag``) or next (``lead``) ``value`` per key in ``order``, computed
+    without ever sorting a whole key in one task.
+
+    Rows are windowed per (key, bucket) — a hot key is spread over its buckets —
+    and the first (last) row of each bucket takes its neighbour from the nearest
+    non-empty earlier (later) bucket of the same key, found on a per-(key, bucket)
+    aggregate that is pre-reduced map-side."""
+    ordered = F.struct(*[F.col(o) for o in order])
+    d = df.withColumn("__b", bucket)
+    w = Window.partitionBy(*keys, "__b").orderBy(*order)
+    if direction == "lag":
+        d = d.withColumn("__in", F.lag(value).over(w)).withColumn("__edge", F.row_number().over(w) == 1)
+        ends = d.groupBy(*keys, "__b").agg(F.max_by(value, ordered).alias("__end"))
+        link = F.lag("__end").over(Window.partitionBy(*keys).orderBy("__b"))
+    else:
+        wd = Window.partitionBy(*keys, "__b").orderBy(*[F.col(o).desc() for o in order])
+        d = d.withColumn("__in", F.lead(value).over(w)).withColumn("__edge", F.row_number().over(wd) == 1)
+        ends = d.groupBy(*keys, "__b").agg(F.min_by(value, ordered).alias("__end"))
+        link = F.lead("__end").over(Window.partitionBy(*keys).orderBy("__b"))
+    # one row per (key, bucket): bounded by the number of buckets a key spans
+    ends = ends.withColumn("__link", link).drop("__end")
+    d = d.join(ends, [*keys, "__b"], "left")
+    return d.withColumn(out, F.when(F.col("__edge"), F.col("__link")).otherwise(F.col("__in"))) \
+            .drop("__b", "__in", "__edge", "__link")
+
+
 def scd2(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str],
-         from_col: str) -> DataFrame:
+         from_col: str, bucket: Column | None = None) -> DataFrame:
     """History rows from ordered snapshots. A new version starts whenever the
     tracked values change; ``_effective_to`` is the next version's start.
 
-    The window sorts one entity's snapshots at a time (bounded by the number of
-    snapshots of that entity, not by the table)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    ``bucket`` (default: calendar month of ``from_col``) must be non-decreasing in
+    ``order``; it only decides how a key's snapshots are split across tasks, never
+    the result."""
+    bucket = bucket if bucket is not None else (F.year(from_col) * 12 + F.month(from_col))
     state = F.struct(*[F.col(c) for c in tracked])  # compared exactly, no hash collisions
-    s = snapshots.withColumn("__h", state).withColumn("__prev", F.lag("__h").over(w))
+    s = _bucketed_neighbor(snapshots.withColumn("__h", state), keys, order, bucket, F.col("__h"), "lag", "__prev")
     v = s.filter(F.col("__prev").isNull() | ~F.col("__prev").eqNullSafe(F.col("__h")))
     v = v.withColumn("__first", F.col("__prev").isNull())
-    wv = Window.partitionBy(*keys).orderBy(*order)
-    v = v.withColumn("_effective_to", F.lead(from_col).over(wv))
+    v = _bucketed_neighbor(v, keys, order, bucket, F.col(from_col), "lead", "_effective_to")
     return v.select(*keys, *tracked, F.col(from_col).alias("_effective_from"), "_effective_to",
                     F.col("_effective_to").isNull().alias("_is_current"),
                     F.when(F.col("__first"), "insert").otherwise("update").alias("_change_type"))
