@@ -48,15 +48,25 @@ def code_title(lines: DataFrame, code_pattern: str) -> DataFrame:
 
 
 def carry_forward(df: DataFrame, group: Sequence[str], order: str, header: Column, reset: Column,
-                  out: str = "header") -> DataFrame:
-    """Carry the latest header down onto following lines; a reset line starts a
-    new segment with no header. Needs a total order inside each group (one file);
-    the window is per file, never over a whole corpus."""
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg = F.sum(F.when(reset, 1).otherwise(0)).over(w)
-    tmp = df.withColumn("__seg", seg).withColumn("__hdr", F.when(header, F.col(order)))
-    w2 = Window.partitionBy(*group, "__seg").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return tmp.withColumn(out, F.last("__hdr", ignorenulls=True).over(w2)).drop("__seg", "__hdr")
+                  out: str = "header", bucket_size: int = 100_000) -> DataFrame:
+    """Carry the latest header down onto following lines; a reset line clears it.
+
+    Each header or reset line is an event; a line takes the latest event at or
+    before it. Lines are windowed per (file, line bucket), so one huge file is split
+    across tasks; a line with no event yet in its bucket takes the last event of the
+    nearest earlier bucket, read from a per-(file, bucket) aggregate."""
+    otype = df.schema[order].dataType
+    ev = (F.when(header, F.struct(F.lit(True).alias("h"), F.col(order).alias("v")))
+           .when(reset, F.struct(F.lit(False).alias("h"), F.lit(None).cast(otype).alias("v"))))
+    d = df.withColumn("__ev", ev).withColumn("__b", F.floor(F.col(order) / bucket_size))
+    w = Window.partitionBy(*group, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("__in", F.last("__ev", ignorenulls=True).over(w))
+    ends = d.groupBy(*group, "__b").agg(F.max_by("__ev", F.when(F.col("__ev").isNotNull(), F.col(order))).alias("__end"))
+    wb = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("__link", F.last("__end", ignorenulls=True).over(wb)).drop("__end")
+    d = d.join(ends, [*group, "__b"], "left")
+    e = F.coalesce(F.col("__in"), F.col("__link"))
+    return d.withColumn(out, F.when(e["h"], e["v"])).drop("__ev", "__b", "__in", "__link")
 
 
 def extract_links(html: Column, *, drop_parents: bool = True) -> Column:
