@@ -84,7 +84,7 @@ def reverse_map_lookup(spark, sf):
 WITH d AS (SELECT * FROM conversations WHERE length(trim(text)) > 0),
 c AS (SELECT DISTINCT conv_id FROM conversations),
 fsn AS (SELECT conv_id, MIN(turn) AS fsn_turn FROM d WHERE role = 'system' GROUP BY 1),
-refset AS (SELECT conv_id, turn FROM conversations WHERE turn % 2 = 0),
+refset AS (SELECT conv_id, turn FROM conversations WHERE length(text) >= 200),
 pref AS (SELECT d.conv_id, MIN(d.turn) AS pref_turn FROM d JOIN refset r ON d.conv_id = r.conv_id AND d.turn = r.turn
          WHERE d.role = 'user' GROUP BY 1)
 SELECT c.conv_id, fsn.fsn_turn, md5(f.text) AS fsn_md5,
@@ -101,7 +101,7 @@ def assemble_entity(spark, sf):
     concepts = conv.select("conv_id").distinct()
     fsn = W.keep_one(d.filter(F.col("role") == "system"), ["conv_id"], [F.col("turn")], ["turn", "text"]) \
            .select("conv_id", F.col("turn").alias("fsn_turn"), F.col("text").alias("__ft"))
-    refset = conv.filter(F.col("turn") % 2 == 0).select("conv_id", "turn")
+    refset = conv.filter(F.length("text") >= 200).select("conv_id", "turn")
     syn = d.filter(F.col("role") == "user").join(refset, ["conv_id", "turn"], "left_semi")
     pref = W.keep_one(syn, ["conv_id"], [F.col("turn")], ["turn", "text"]) \
             .select("conv_id", F.col("turn").alias("pref_turn"), F.col("text").alias("__pt"))

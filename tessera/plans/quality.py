@@ -259,14 +259,14 @@ SELECT event_id,
             WHEN c.c_custkey IS NULL THEN 'unknown_user'
             WHEN try_cast(json_extract_string(props, '$.k') AS INTEGER) IS NULL THEN 'bad_props' END AS reason,
        (value > 400 OR c.c_custkey IS NULL OR try_cast(json_extract_string(props, '$.k') AS INTEGER) IS NULL) AS quarantined
-FROM events e LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 3) c ON e.user_id = c.c_custkey
+FROM events e LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'AUTOMOBILE') c ON e.user_id = c.c_custkey
 """)
 def quarantine_split(spark, sf):
     """Q12: one tagged pass; ``operators.quality_split.split`` turns it into the two
     writes (clean rows, quarantined rows with reason)."""
     from tessera.operators.quarantine import tag_reasons
     t = Tables(spark, sf)
-    known = t.customer.filter(F.col("c_custkey") % 7 != 3).select(F.col("c_custkey").alias("__ck")).withColumn("__known", F.lit(True))
+    known = t.customer.filter(F.col("c_mktsegment") != "AUTOMOBILE").select(F.col("c_custkey").alias("__ck")).withColumn("__known", F.lit(True))
     ev = t.events.join(known, F.col("user_id") == F.col("__ck"), "left")
     tagged = tag_reasons(ev, [
         ("value_out_of_range", F.col("value") > 400),

@@ -114,15 +114,16 @@ def vintage_safe_join(spark, sf):
 
 
 _UPSERT_SRC_SQL = """
-s AS (SELECT o_orderkey, 'F' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice FROM orders WHERE o_orderkey % 4 = 0
-      UNION ALL SELECT o_orderkey + 1000000000, 'N', o_totalprice FROM orders WHERE o_orderkey % 50 = 1)
+s AS (SELECT o_orderkey, 'F' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice FROM orders WHERE o_orderstatus = 'O'
+      UNION ALL SELECT o_orderkey + 1000000000, 'N', o_totalprice FROM orders
+      WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
 """
 
 
 def _upsert_source(o):
-    upd = o.filter(F.col("o_orderkey") % 4 == 0).select(
+    upd = o.filter(F.col("o_orderstatus") == "O").select(
         "o_orderkey", F.lit("F").alias("o_orderstatus"), (F.col("o_totalprice") + 1.0).alias("o_totalprice"))
-    ins = o.filter(F.col("o_orderkey") % 50 == 1).select(
+    ins = o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")).select(
         (F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_totalprice")
     return upd.unionByName(ins)
 
@@ -152,7 +153,7 @@ STAMP = "2002-01-01"
 @query("upsert_partial_columns", sql=f"""
 WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) AS updated_at FROM orders),
 s AS (SELECT o_orderkey, 'X' AS o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'
-      UNION ALL SELECT o_orderkey + 1000000000, 'N' FROM orders WHERE o_orderkey % 50 = 1)
+      UNION ALL SELECT o_orderkey + 1000000000, 'N' FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
 SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_custkey,
        CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
        t.o_orderpriority,
@@ -166,7 +167,7 @@ def upsert_partial_columns(spark, sf):
     target = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
                       F.to_date("o_orderdate").alias("updated_at"))
     src = o.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", F.lit("X").alias("o_orderstatus")) \
-           .unionByName(o.filter(F.col("o_orderkey") % 50 == 1).select(
+           .unionByName(o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")).select(
                (F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus")))
     base = shared_path(spark, "orders_partial")
     v1 = lake.new_version_path(base)
