@@ -10,6 +10,26 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_micros(ts) -> Column:
+    """Microseconds since the epoch of a wall-clock timestamp, independent of the
+    session time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), _c(ts))
+
+
+def ntz_to_instant(ts) -> Column:
+    """Wall clock read as UTC -> TimestampType (for watermarks and windows), with no
+    dependence on the session time zone (no DST gaps or overlaps)."""
+    return F.timestamp_micros(ntz_micros(ts))
+
+
+def instant_to_ntz(ts) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def week_start_sunday(d) -> Column:
     """The Sunday that starts the (Sunday-Saturday) week holding ``d``."""
     d = _c(d)

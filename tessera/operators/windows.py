@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 def sortable(c: Column, kind: str = "num") -> Column:
     """A numeric stand-in for a column so it can be negated for descending order."""
     if kind == "ts":
-        return F.unix_micros(c.cast("timestamp"))
+        from tessera.functions.dates import ntz_micros
+        return ntz_micros(c)
     if kind == "date":
         return F.unix_date(c)
     return c

@@ -248,7 +248,7 @@ def dq_freshness(spark, sf):
     last = ev.groupBy("event_type").agg(F.max("ts").alias("last_ts"))
     # one row per event type (a closed vocabulary): a global window is bounded
     last = last.withColumn("__now", F.max("last_ts").over(Window.partitionBy()))
-    lag_us = F.unix_micros(F.col("__now").cast("timestamp")) - F.unix_micros(F.col("last_ts").cast("timestamp"))
+    lag_us = F.timestamp_diff("MICROSECOND", F.col("last_ts"), F.col("__now"))
     return last.select("event_type", "last_ts", F.round(lag_us / 3600000000.0, 3).alias("hours_since"),
                        (lag_us > 24 * 3600000000).alias("stale"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.dates import instant_to_ntz, ntz_to_instant
 from tessera.plans.registry import query
 from tessera.session import shared_path
 from tessera.sources.tables import Tables
@@ -79,9 +80,9 @@ def stream_late_revision(spark, sf):
 
     def stream():
         s = S.file_stream(spark, landing, orig.schema, max_files=3)
-        s = s.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", REVISION_LAG) \
+        s = s.withColumn("ts", ntz_to_instant("ts")).withWatermark("ts", REVISION_LAG) \
              .dropDuplicatesWithinWatermark(["event_id", "revision"])
-        return s.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        return s.withColumn("ts", instant_to_ntz("ts"))
 
     S.run_available_now(stream(), ckpt, foreach_batch=fn)
     S.land_files(rev, landing, F.to_date("ts"), 2, mode="append")  # the late revisions arrive
@@ -102,12 +103,12 @@ def stream_tumbling(spark, sf):
     ev = Tables(spark, sf).events
     landing = _land(spark, sf, "landing_windows")
     table = S.PartitionedTable(spark, shared_path(spark, "window_totals"), "window_day")
-    s = S.file_stream(spark, landing, ev.schema, max_files=2).withColumn("ts", F.col("ts").cast("timestamp"))
+    s = S.file_stream(spark, landing, ev.schema, max_files=2).withColumn("ts", ntz_to_instant("ts"))
     agg = (s.withWatermark("ts", ARRIVAL_LATENESS).groupBy("event_type", F.window("ts", "1 day"))
              .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("__s")))
 
     def prepare(batch):
-        start = F.col("window.start").cast("timestamp_ntz")
+        start = instant_to_ntz(F.col("window.start"))
         return batch.select("event_type", start.alias("window_start"), "n", F.round("__s", 2).alias("total"),
                             F.to_date(start).alias("window_day"))
 

@@ -54,3 +54,18 @@ def test_query_matches_oracle(spark, duck, key):
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
     assert _canon(df.columns, [tuple(r) for r in srows]) == _canon(dcols, drows)
+
+
+@pytest.mark.parametrize("key", ["weather_like_daily", "dq_freshness", "stream_tumbling", "dedupe_latest",
+                                 "calendar_dim", "safe_date_parse", "temporal_coverage"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[key](spark, SF)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = duck.execute(ORACLES[key])
+    dcols = [d[0] for d in cur.description]
+    assert _canon(df.columns, srows) == _canon(dcols, cur.fetchall())
