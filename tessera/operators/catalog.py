@@ -64,3 +64,43 @@ def override_record(base, overrides: dict, structural: frozenset[str] = frozense
     if unknown:
         raise ValueError(f"unknown override fields: {unknown}")
     return dataclasses.replace(base, **{k: v for k, v in overrides.items() if k not in structural})
+
+
+def register_dataset(spark: SparkSession, path: str, entry: dict, columns: list[str], stamp,
+                     key: str = "full_table_name") -> None:
+    """Upsert one metadata row; only ``columns`` (plus the key) are written,
+    every other column of an existing row survives; the writer stamps
+    ``refreshed_at``. Vocabulary-bearing fields are validated first. The new table
+    is staged before it replaces the old one (never overwrite what is read)."""
+    from pyspark.sql import functions as F
+
+    from tessera import vocabularies as V
+    from tessera.operators.merge import upsert_columns
+    from tessera.sources import lake
+    if "update_semantics" in entry:
+        V.check(entry["update_semantics"], V.UPDATE_SEMANTICS, "update_semantics")
+    if "materialization_type" in entry:
+        V.check(entry["materialization_type"], V.MATERIALIZATION_TYPES, "materialization_type")
+    for tag in entry.get("tags", []) or []:
+        V.check(V.parse_tag(tag)[0], V.TAG_NAMESPACES, "tag namespace")
+    row = {key: entry[key], **{c: entry.get(c) for c in columns}}
+    src = spark.createDataFrame([row])
+    current = None
+    try:
+        current = spark.read.parquet(path)
+        current.limit(0).collect()
+    except Exception:  # noqa: BLE001 - first registration
+        current = None
+    if current is None:
+        new = src.withColumn("refreshed_at", F.lit(stamp))
+    else:
+        for c in src.columns:
+            if c not in current.columns:
+                current = current.withColumn(c, F.lit(None).cast(src.schema[c].dataType))
+        src = add_missing_columns(src, {c: current.schema[c].dataType.simpleString()
+                                        for c in current.columns if c != "refreshed_at"})
+        new = upsert_columns(current, src.select(*[c for c in current.columns if c in src.columns]), [key],
+                             columns, "refreshed_at", F.lit(stamp))
+    staging = f"{path.rstrip('/')}_staging"
+    lake.full_refresh(new, staging)
+    lake.full_refresh(spark.read.parquet(staging), path)

@@ -17,11 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The closed vocabularies of DQ categories and severities.
-CATEGORIES = ("completeness", "uniqueness", "nullability", "referential", "cardinality",
-              "validity", "consistency", "freshness", "range", "format")
-SEVERITIES = ("info", "warn", "fail", "quarantine")
-BLOCKING = ("fail", "quarantine")
+from tessera.vocabularies import BLOCKING_SEVERITIES as BLOCKING
+from tessera.vocabularies import DQ_CATEGORIES as CATEGORIES
+from tessera.vocabularies import DQ_SEVERITIES as SEVERITIES
 
 RESULT_COLUMNS = ("table_name", "check_name", "category", "severity", "passed", "failing",
                   "total", "rate", "details")
@@ -107,7 +105,7 @@ def in_range(col: str, low, high, check_name: str | None = None, severity: str =
 
 def in_vocab(col: str, values: Sequence[str], check_name: str | None = None, severity: str = "fail") -> RowCheck:
     c = F.col(col)
-    return RowCheck(check_name or f"vocab_{col}", "validity", c.isNull() | ~c.isin(*values), severity)
+    return RowCheck(check_name or f"vocab_{col}", "business_rule", c.isNull() | ~c.isin(*values), severity)
 
 
 def unique(df: DataFrame, keys: Sequence[str], *, table_name: str, check_name: str,
@@ -159,7 +157,7 @@ def rowcount_equals(df: DataFrame, other: DataFrame, *, table_name: str, other_n
             .unionByName(other.select(F.lit(0).alias("__x"), F.lit(1).alias("__y"))))
     one = both.agg(F.sum("__x").alias("__a"), F.sum("__y").alias("__b")).fillna(0)
     diff = F.abs(F.col("__a") - F.col("__b"))
-    return result(one, table_name=table_name, check_name=check_name, category="consistency",
+    return result(one, table_name=table_name, check_name=check_name, category="referential",
                   severity=severity, failing=diff, total=F.col("__a"), passed=diff == 0,
                   details={"actual": F.col("__a"), "other": F.lit(other_name), "other_rows": F.col("__b")})
 
@@ -178,3 +176,52 @@ def raise_if_blocking(results: DataFrame) -> None:
     if bad:
         names = ", ".join(f"{r.table_name}.{r.check_name}" for r in bad)
         raise DQFailure(f"{len(bad)} blocking DQ check(s) failed: {names}")
+
+
+class DQRecorder:
+    """Buffers result frames and appends them to the DQ log in ONE write.
+
+    Used as a context manager, the buffer is flushed when the block ends — on
+    success and on failure — so failed checks are persisted before the job dies.
+    A flush that fails on the success path fails the job (it is never swallowed)."""
+
+    def __init__(self, log_path: str, run_id: str, pipeline_reference: str):
+        self.log_path = log_path
+        self.run_id = run_id
+        self.pipeline_reference = pipeline_reference
+        self._buffer: list[DataFrame] = []
+
+    @property
+    def buffered(self) -> int:
+        return len(self._buffer)
+
+    def record(self, results: DataFrame) -> None:
+        missing = [c for c in RESULT_COLUMNS if c not in results.columns]
+        if missing:
+            raise ValueError(f"not a DQ result frame, missing {missing}")
+        self._buffer.append(results.select(*RESULT_COLUMNS))
+
+    def flush(self) -> int:
+        if not self._buffer:
+            return 0
+        from tessera.sources import lake
+        out = union_results(self._buffer).select(F.lit(self.run_id).alias("run_id"),
+                                                 F.lit(self.pipeline_reference).alias("pipeline_reference"),
+                                                 *RESULT_COLUMNS)
+        n = len(self._buffer)
+        lake.append(out, self.log_path)
+        self._buffer.clear()
+        return n
+
+    def __enter__(self) -> "DQRecorder":
+        return self
+
+    def __exit__(self, exc_type, exc, tb) -> bool:
+        if exc_type is None:
+            self.flush()  # a failure here propagates
+        else:
+            try:
+                self.flush()
+            except Exception as flush_error:  # noqa: BLE001 - keep the original error primary
+                exc.add_note(f"DQ flush also failed: {flush_error}")
+        return False

@@ -48,10 +48,10 @@ def dq_range(spark, sf):
 
 
 @query("dq_vocab", sql="SELECT * FROM (" + row_check_sql("lineitem", "lineitem", [
-    ("vocab_l_returnflag", "validity", "fail", "l_returnflag IS NULL OR l_returnflag NOT IN ('A', 'N', 'R')"),
-    ("vocab_l_linestatus", "validity", "fail", "l_linestatus IS NULL OR l_linestatus NOT IN ('F')")])
+    ("vocab_l_returnflag", "business_rule", "fail", "l_returnflag IS NULL OR l_returnflag NOT IN ('A', 'N', 'R')"),
+    ("vocab_l_linestatus", "business_rule", "fail", "l_linestatus IS NULL OR l_linestatus NOT IN ('F')")])
     + ") UNION ALL SELECT * FROM (" + row_check_sql("events", "events", [
-    ("vocab_event_type", "validity", "fail", f"event_type IS NULL OR event_type NOT IN ({_EV_VOCAB_SQL})")]) + ")")
+    ("vocab_event_type", "business_rule", "fail", f"event_type IS NULL OR event_type NOT IN ({_EV_VOCAB_SQL})")]) + ")")
 def dq_vocab(spark, sf):
     """Q3: vocabulary membership (the line-status vocabulary here is deliberately
     narrower than the data, so that check reports failures)."""
@@ -115,7 +115,7 @@ def dq_cardinality(spark, sf):
 
 
 @query("dq_rowcount_parity", sql=dq_row(
-    "orders", "parity_orders_vs_lineitem_orders", "consistency", "fail",
+    "orders", "parity_orders_vs_lineitem_orders", "referential", "fail",
     failing="abs(a - b)", total="a", passed="(a = b)",
     source="(SELECT (SELECT COUNT(*) FROM orders) AS a, (SELECT COUNT(DISTINCT l_orderkey) FROM lineitem) AS b)",
     details="json_object('actual', a, 'other', 'lineitem.l_orderkey', 'other_rows', b)"))
@@ -180,9 +180,9 @@ mx AS (SELECT MAX(o_orderdate) AS as_of FROM orders),
 a AS (SELECT COUNT(*) AS n,
              SUM(CASE WHEN l_shipdate < o_orderdate THEN 1 ELSE 0 END) AS f0,
              SUM(CASE WHEN l_shipdate > (SELECT as_of FROM mx) THEN 1 ELSE 0 END) AS f1 FROM j)
-""" + dq_row("lineitem", "ship_before_order", "consistency", "warn", failing="f0", total="n", source="a",
+""" + dq_row("lineitem", "ship_before_order", "business_rule", "warn", failing="f0", total="n", source="a",
              details="json_object('failing_rows', CAST(f0 AS BIGINT))")
-    + " UNION ALL " + dq_row("lineitem", "ship_after_as_of", "validity", "warn", failing="f1", total="n", source="a",
+    + " UNION ALL " + dq_row("lineitem", "ship_after_as_of", "business_rule", "warn", failing="f1", total="n", source="a",
                              details="json_object('failing_rows', CAST(f1 AS BIGINT))"))
 def dq_date_order(spark, sf):
     """End-before-start and future-date predicates (as-of = latest order date)."""
@@ -191,15 +191,15 @@ def dq_date_order(spark, sf):
     j = t.lineitem.select("l_orderkey", "l_shipdate").join(
         t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
     return dq.row_checks(j, "lineitem", [
-        dq.RowCheck("ship_before_order", "consistency", F.col("l_shipdate") < F.col("o_orderdate"), "warn"),
-        dq.RowCheck("ship_after_as_of", "validity", F.col("l_shipdate") > F.lit(as_of), "warn")])
+        dq.RowCheck("ship_before_order", "business_rule", F.col("l_shipdate") < F.col("o_orderdate"), "warn"),
+        dq.RowCheck("ship_after_as_of", "business_rule", F.col("l_shipdate") > F.lit(as_of), "warn")])
 
 
 @query("dq_cross_column", sql="""
 WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, MIN(value) AS vmin, ROUND(AVG(value), 6) AS vavg, MAX(value) AS vmax
            FROM events GROUP BY 1, 2)
 """ + row_check_sql("events_daily", "d", [
-    ("min_le_avg_le_max", "consistency", "fail", "NOT (vmin <= vavg AND vavg <= vmax)"),
+    ("min_le_avg_le_max", "business_rule", "fail", "NOT (vmin <= vavg AND vavg <= vmax)"),
     ("spread_le_500", "range", "warn", "vmax - vmin > 500")]).replace("WITH a AS", ", a AS", 1))
 def dq_cross_column(spark, sf):
     """Q14: tmin <= tavg <= tmax on the daily wide fact."""
@@ -207,7 +207,7 @@ def dq_cross_column(spark, sf):
     d = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.min("value").alias("vmin"), F.round(F.avg("value"), 6).alias("vavg"), F.max("value").alias("vmax"))
     return dq.row_checks(d, "events_daily", [
-        dq.RowCheck("min_le_avg_le_max", "consistency",
+        dq.RowCheck("min_le_avg_le_max", "business_rule",
                     ~((F.col("vmin") <= F.col("vavg")) & (F.col("vavg") <= F.col("vmax")))),
         dq.RowCheck("spread_le_500", "range", (F.col("vmax") - F.col("vmin")) > 500, "warn")])
 
@@ -218,7 +218,7 @@ a AS (SELECT COUNT(*) AS n,
              SUM(CASE WHEN src_status <> 'F' THEN 1 ELSE 0 END) AS f0,
              SUM(CASE WHEN c.c_custkey IS NULL THEN 1 ELSE 0 END) AS f1
       FROM m LEFT JOIN (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment <> 'AUTOMOBILE') c ON m.tgt = c.c_custkey)
-""" + dq_row("orders", "map_source_retired", "consistency", "warn", failing="f0", total="n", source="a",
+""" + dq_row("orders", "map_source_retired", "business_rule", "warn", failing="f0", total="n", source="a",
              details="json_object('failing_rows', CAST(f0 AS BIGINT))")
     + " UNION ALL " + dq_row("orders", "map_target_exists", "referential", "fail", failing="f1", total="n",
                              source="a", details="json_object('failing_rows', CAST(f1 AS BIGINT))"))
@@ -231,7 +231,7 @@ def dq_map_consistency(spark, sf):
           .distinct().withColumn("__hit", F.lit(True)))
     j = m.join(tg, F.col("tgt") == F.col("__t"), "left")
     return dq.row_checks(j, "orders", [
-        dq.RowCheck("map_source_retired", "consistency", F.col("src_status") != "F", "warn"),
+        dq.RowCheck("map_source_retired", "business_rule", F.col("src_status") != "F", "warn"),
         dq.RowCheck("map_target_exists", "referential", F.col("__hit").isNull())])
 
 

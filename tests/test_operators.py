@@ -187,3 +187,45 @@ def test_carry_forward_resets(spark):
         out = TX.carry_forward(df, ["f"], "n", F.col("kind") == "block", F.col("kind") == "chapter", "hdr", bucket)
         got = {r.n: r.hdr for r in out.filter("kind = 'line'").collect()}
         assert got == {3: 2, 5: None, 7: 6}
+
+
+def test_dq_recorder_flushes_on_failure_and_success(spark):
+    log = shared_path(spark, "t_dqlog")
+    df = spark.createDataFrame([(1,), (1,)], "k int")
+    with pytest.raises(RuntimeError):
+        with dq.DQRecorder(log, "run1", "p") as rec:
+            rec.record(dq.unique(df, ["k"], table_name="t", check_name="u"))
+            raise RuntimeError("job failed after checks")
+    with dq.DQRecorder(log, "run2", "p") as rec:
+        rec.record(dq.row_checks(df, "t", [dq.not_null(["k"])]))
+        assert rec.buffered == 1
+    got = sorted((r.run_id, r.check_name, r.passed) for r in spark.read.parquet(log).collect())
+    assert got == [("run1", "u", False), ("run2", "not_null_k", True)]
+    with pytest.raises(ValueError):
+        dq.DQRecorder(log, "r", "p").record(df)
+
+
+def test_register_dataset_partial_columns(spark):
+    from tessera.operators import catalog as CAT
+    path = shared_path(spark, "t_catalog")
+    CAT.register_dataset(spark, path, {"full_table_name": "geo.state", "update_semantics": "vintage_snapshot",
+                                       "owner": "team", "description": "d1"}, ["update_semantics", "owner", "description"],
+                         "2026-01-01")
+    CAT.register_dataset(spark, path, {"full_table_name": "geo.state", "description": "d2"}, ["description"], "2026-02-01")
+    r = spark.read.parquet(path).first()
+    assert (r.description, r.owner, r.update_semantics, r.refreshed_at) == ("d2", "team", "vintage_snapshot", "2026-02-01")
+    with pytest.raises(ValueError):
+        CAT.register_dataset(spark, path, {"full_table_name": "x", "update_semantics": "merge"}, ["update_semantics"], "s")
+    with pytest.raises(ValueError):
+        CAT.register_dataset(spark, path, {"full_table_name": "x", "tags": ["nope:v"]}, [], "s")
+
+
+def test_guarded_view_and_snapshot_immutability(spark):
+    from tessera.operators import catalog as CAT
+    spark.range(3).createOrReplaceTempView("t_parent_a")
+    assert not CAT.create_join_view(spark, "t_join_v", ("t_parent_a", "t_parent_missing"), "SELECT 1")
+    assert CAT.create_join_view(spark, "t_join_v", ("t_parent_a",), "SELECT id FROM t_parent_a")
+    assert spark.table("t_join_v").count() == 3
+    df = spark.createDataFrame([(1, "2024-01-01")], "k int, snap string")
+    assert lake.vintage_exists(df, "snap", "2024-01-01") and not lake.vintage_exists(df, "snap", "2024-02-01")
+    assert CAT.add_missing_columns(df, {"extra": "string", "k": "int"}).columns == ["k", "snap", "extra"]
