@@ -163,11 +163,10 @@ SELECT code, array_to_string(self_path, '>') AS self_path, chapter, COUNT(*) OVE
 def subtree_select(spark, sf):
     """H5/H6: the subtree under one node (array_contains on the stored path), each
     member's root-to-self path (array_append) and a chapter roll-up joined back."""
-    spark_ = spark
     cs = _code_set(_codes(Tables(spark, sf)))
     anc = H.prefix_ancestors(cs, "code")
     sub = anc.filter(F.array_contains("ancestors", ROOT))
-    sub = J.range_lookup(sub, F.substring("code", 1, 3).try_cast("int"), _chapters(spark_), "lo", "hi", ["chapter"])
+    sub = J.range_lookup(sub, F.substring("code", 1, 3).try_cast("int"), _chapters(spark), "lo", "hi", ["chapter"])
     roll = sub.groupBy("chapter").agg(F.count(F.lit(1)).alias("n_in_chapter"))
     out = sub.join(roll, sub["chapter"].eqNullSafe(roll["chapter"]), "left").drop(roll["chapter"])
     return out.select("code", F.array_join(F.array_append("ancestors", F.col("code")), ">").alias("self_path"),

@@ -10,7 +10,7 @@ from tessera.session import shared_path
 from tessera.sources.tables import Tables
 from tessera.streaming import ingest as S
 
-N_FILES = 8
+N_FILES = 6
 
 
 def _land(spark, sf, name, df=None):
