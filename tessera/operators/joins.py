@@ -44,8 +44,9 @@ def level_switch_labels(fact: DataFrame, level_col: str, key_col: str,
 def scope_to_universe(child: DataFrame, universe: DataFrame, child_keys: Sequence[str],
                       universe_keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(kept rows via left-semi, dropped rows via left-anti)."""
-    cond = [child[c] == universe[u] for c, u in zip(child_keys, universe_keys)]
-    return child.join(universe, cond, "left_semi"), child.join(universe, cond, "left_anti")
+    u = universe.select(*[F.col(k).alias(f"__u{i}") for i, k in enumerate(universe_keys)])
+    cond = [F.col(c) == F.col(f"__u{i}") for i, c in enumerate(child_keys)]
+    return child.join(u, cond, "left_semi"), child.join(u, cond, "left_anti")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],

@@ -28,8 +28,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, check:
     target-only rows stay. A NULL key never matches (it is inserted)."""
     if check:
         assert_unique_source(source, keys)
-    cond = [target[k] == source[k] for k in keys]  # NULL never equals -> never matched
-    kept = target.join(source.select(*keys), cond, "left_anti")
+    s_keys = source.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    cond = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]  # NULL never equals -> never matched
+    kept = target.join(s_keys, cond, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 

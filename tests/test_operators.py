@@ -229,3 +229,9 @@ def test_guarded_view_and_snapshot_immutability(spark):
     df = spark.createDataFrame([(1, "2024-01-01")], "k int, snap string")
     assert lake.vintage_exists(df, "snap", "2024-01-01") and not lake.vintage_exists(df, "snap", "2024-02-01")
     assert CAT.add_missing_columns(df, {"extra": "string", "k": "int"}).columns == ["k", "snap", "extra"]
+
+
+def test_upsert_self_derived_source(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    s = t.filter("k = 2").withColumn("v", F.lit("B"))  # same lineage as the target
+    assert sorted(tuple(r) for r in MG.upsert(t, s, ["k"]).collect()) == [(1, "a"), (2, "B")]
