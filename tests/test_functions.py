@@ -105,3 +105,9 @@ def test_year_window_resolution():
                    {"start_year": 2000, "end_year": 2001, "recent_years": 2, "today_year": 2026}, {"today_year": 2026}):
         with pytest.raises(ValueError):
             D.resolve_year_window(**kwargs)
+
+
+def test_strip_range_suffix(spark):
+    vals = ["Certain infectious diseases (A00-B99)", "Neoplasms (C00-D49) ", "No range here", "Odd (x)"]
+    assert one_col(spark, vals, C.strip_range_suffix) == [
+        "Certain infectious diseases", "Neoplasms", "No range here", "Odd (x)"]

@@ -235,3 +235,10 @@ def test_upsert_self_derived_source(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     s = t.filter("k = 2").withColumn("v", F.lit("B"))  # same lineage as the target
     assert sorted(tuple(r) for r in MG.upsert(t, s, ["k"]).collect()) == [(1, "a"), (2, "B")]
+
+
+def test_explode_alternates(spark):
+    from tessera.operators import reshape as X
+    df = spark.createDataFrame([("Georgia", "GA|Ga."), ("Ohio", None)], "name string, alt string")
+    got = sorted(r.n for r in X.explode_alternates(df, "name", "alt", "|", "n").collect())
+    assert got == ["GA", "Ga.", "Georgia", "Ohio"]
