@@ -37,3 +37,22 @@ def unconformed(conformed_fact: DataFrame, code_cols: Sequence[str], out_col: st
 def whitelist(c: Column, allowed: Sequence[str]) -> Column:
     """Out-of-vocabulary -> NULL."""
     return F.when(c.isin(*allowed), c)
+
+
+def conform_region(df: DataFrame, type_col: str, code_col: str, state_map: DataFrame,
+                   overrides: dict[str, str], out_col: str = "geoid") -> DataFrame:
+    """region code -> geoid. ``state_map(src, dst)`` maps the 2-digit state
+    prefix; a county keeps its 3-digit suffix; listed county overrides win; an
+    unmapped prefix or a malformed suffix gives NULL (for a blocking DQ check)."""
+    from tessera.operators.sizing import broadcast_if_small
+    code = F.trim(F.col(code_col))
+    m = broadcast_if_small(state_map.select(F.col("src").alias("__src"), F.col("dst").alias("__fips")), 100_000)
+    j = df.join(m, F.substring(code, 1, 2) == F.col("__src"), "left")
+    suffix = F.substring(code, 3, 3)
+    ov = F.create_map(*[F.lit(x) for kv in overrides.items() for x in kv]) if overrides else None
+    t = F.col(type_col)
+    val = (F.when(t == "ste", F.col("__fips"))
+           .when((t == "cty") & F.col("__fips").isNotNull() & suffix.rlike(r"^[0-9]{3}$"), F.concat(F.col("__fips"), suffix)))
+    if ov is not None:
+        val = F.when((t == "cty") & ov[code].isNotNull(), ov[code]).otherwise(val)
+    return j.withColumn(out_col, val).drop("__src", "__fips")

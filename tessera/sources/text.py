@@ -83,3 +83,42 @@ def name_fields(name: Column, pattern: str, fields: Mapping[str, int]) -> list[C
     name does not match (callers drop those rows)."""
     ok = name.rlike(pattern)
     return [F.when(ok, F.regexp_extract(name, pattern, g)).alias(f) for f, g in fields.items()]
+
+
+# Wide daily rows have 6 key fields then 31 day fields; values at or
+# below the sentinel threshold mean "missing".
+WIDE_KEY_FIELDS = ("region_type", "region_code", "region_name", "year", "month", "variable")
+WIDE_DAY_FIELDS = 31
+SENTINEL_AT_OR_BELOW = -999.0
+_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # commas outside double quotes
+
+
+def wide_day_lines(lines: DataFrame, source_file: Column | None = None) -> DataFrame:
+    """Headerless wide rows (6 keys + 31 days) -> one row per real day.
+
+    Blank lines are skipped; any other line must have exactly 37 fields or the job
+    fails naming the line; days past the month end are dropped; sentinel values
+    become NULL rows. Quoted fields may contain commas."""
+    from tessera.operators.reshape import wide_days_to_long
+    n = len(WIDE_KEY_FIELDS) + WIDE_DAY_FIELDS
+    v = F.col("value")
+    body = lines.filter(F.trim(v) != "")
+    parts = F.split(v, _CSV_SPLIT)
+    f = body.select(F.when(F.size(parts) == n, parts).otherwise(
+        F.raise_error(F.concat(F.lit(f"expected {n} fields, got "), F.size(parts).cast("string"),
+                               F.lit(": "), F.substring(v, 1, 80))).cast("array<string>")).alias("__f"),
+        *([source_file.alias("source_file")] if source_file is not None else []))
+    clean = [F.trim(F.regexp_replace(F.get(F.col("__f"), i), r'^\s*"|"\s*$', "")) for i in range(n)]
+    keyed = f.select(*[clean[i].alias(k) for i, k in enumerate(WIDE_KEY_FIELDS)],
+                     *[clean[len(WIDE_KEY_FIELDS) + d].cast("double").alias(f"d{d + 1}") for d in range(WIDE_DAY_FIELDS)],
+                     *(["source_file"] if source_file is not None else []))
+    keyed = keyed.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int")) \
+                 .withColumn("variable", F.lower("variable"))
+    ids = ["region_type", "region_code", "region_name", "variable"] + (["source_file"] if source_file is not None else [])
+    return wide_days_to_long(keyed, ids, "year", "month", [f"d{d}" for d in range(1, WIDE_DAY_FIELDS + 1)],
+                             is_sentinel=lambda x: x <= SENTINEL_AT_OR_BELOW)
+
+
+# File-name pattern of wide daily files and the fields it carries.
+WIDE_FILE_PATTERN = r"^(prcp|tavg|tmax|tmin)-(\d{4})(\d{2})-([a-z0-9]{2,3})-(scaled|prelim)\.csv$"
+WIDE_FILE_FIELDS = {"variable": 1, "year": 2, "month": 3, "region_type": 4, "status": 5}

@@ -242,3 +242,24 @@ def test_explode_alternates(spark):
     df = spark.createDataFrame([("Georgia", "GA|Ga."), ("Ohio", None)], "name string, alt string")
     got = sorted(r.n for r in X.explode_alternates(df, "name", "alt", "|", "n").collect())
     assert got == ["GA", "Ga.", "Georgia", "Ohio"]
+
+
+def test_tiered_match_admin_units(spark):
+    from tessera.operators import matching as M
+    refs = spark.createDataFrame([
+        ("USA", "USA.1_1", "Georgia", "US.GA", "GA|Peach State"), ("USA", "USA.2_1", "Ohio", None, None),
+        ("USA", "USA.3_1", "Springfield", None, None), ("USA", "USA.4_1", "Springfield ", None, None),
+        ("FRA", "FRA.1_1", "Côte-d'Or", None, None), ("USA", "USA.5_1", "Texas", None, None)],
+        "scope string, rid string, name string, hasc string, varnames string")
+    names = M.name_index(refs, "scope", "rid",
+                         F.concat(F.array("name"), F.coalesce(F.split("varnames", r"\|"), F.array().cast("array<string>"))))
+    code_map = refs.filter(F.col("hasc").isNotNull()).select(F.regexp_replace("hasc", r"\.", "-").alias("code"), "rid")
+    fix = spark.createDataFrame([("US-TX", "USA.5_1")], "code string, rid string")
+    targets = spark.createDataFrame([("US-GA", "USA", "Georgia"), ("US-OH", "USA", "ohio"), ("US-SP", "USA", "Springfield"),
+                                     ("FR-21", "FRA", "Cote d Or"), ("US-TX", "USA", "Tejas"), ("US-XX", "USA", "Nowhere"),
+                                     ("FR-GA", "FRA", "Georgia")], "code string, scope string, name string")
+    got = {r.code: (r.method, r.linked_rid) for r in M.tiered_match(targets, "code", "scope", "name", code_map, names,
+                                                                    fix, "rid").collect()}
+    assert got == {"US-GA": ("code", "USA.1_1"), "US-OH": ("name", "USA.2_1"), "US-SP": ("name_ambiguous", None),
+                   "FR-21": ("name", "FRA.1_1"), "US-TX": ("fixup", "USA.5_1"), "US-XX": ("none", None),
+                   "FR-GA": ("none", None)}  # names never match across countries

@@ -125,3 +125,46 @@ def test_override_record():
     assert CAT.schema_for("geography", "processed") == "geography_processed"
     with pytest.raises(ValueError):
         CAT.full_table_name("Cat", "s", "t")
+
+
+def _wide_line(rtype, code, name, year, month, var, days):
+    vals = [f"{v:.2f}" if isinstance(v, float) else str(v) for v in days]
+    return ",".join([rtype, code, name, str(year), str(month), var] + vals)
+
+
+def test_wide_day_lines(spark):
+    from pyspark.sql import Row
+    from tessera.sources import text as TX
+    feb = [1.5] * 28 + [-999.99] * 3                 # February padding
+    jan = [2.0, " 3.25 ", -999.99] + [0.0] * 28        # space-padded value, real missing day
+    lines = [_wide_line("cty", "01001", '"Autauga, AL"', 2023, 2, "TAVG", feb), "",
+             _wide_line("ste", "01", "Alabama", 2024, 1, "prcp", jan), "   "]
+    df = spark.createDataFrame([Row(value=x) for x in lines])
+    out = TX.wide_day_lines(df).collect()
+    feb_rows = [r for r in out if r.region_code == "01001"]
+    assert len(feb_rows) == 28 and {r.variable for r in feb_rows} == {"tavg"} and feb_rows[0].region_name == "Autauga, AL"
+    jan_rows = {r.obs_date.day: r.value for r in out if r.region_code == "01"}
+    assert len(jan_rows) == 31 and jan_rows[2] == 3.25 and jan_rows[3] is None
+    bad = spark.createDataFrame([Row(value="cty,01001,X,2023,2,tavg,1.0")])
+    with pytest.raises(Exception, match="expected 37 fields"):
+        TX.wide_day_lines(bad).collect()
+
+
+def test_wide_file_names(spark):
+    from tessera.sources import text as TX
+    names = spark.createDataFrame([("tavg-202401-cty-scaled.csv",), ("prcp-199912-ste-prelim.csv",),
+                                   ("ncdd-202401-version.txt",), ("tavg-202401-cty-final.csv",)], "n string")
+    got = names.select(*TX.name_fields(F.col("n"), TX.WIDE_FILE_PATTERN, TX.WIDE_FILE_FIELDS)) \
+               .filter("variable IS NOT NULL").collect()
+    assert [(r.variable, r.year, r.month, r.region_type, r.status) for r in got] == [
+        ("tavg", "2024", "01", "cty", "scaled"), ("prcp", "1999", "12", "ste", "prelim")]
+
+
+def test_conform_region(spark):
+    from tessera.operators import conform as K
+    state_map = spark.createDataFrame([("01", "01"), ("02", "04"), ("18", "11")], "src string, dst string")
+    df = spark.createDataFrame([("ste", "02"), ("cty", "02001"), ("cty", "18511"), ("cty", "99001"), ("cty", "0201x"),
+                                ("xx", "01")], "t string, c string")
+    got = {(r.t, r.c): r.geoid for r in K.conform_region(df, "t", "c", state_map, {"18511": "11001"}).collect()}
+    assert got == {("ste", "02"): "04", ("cty", "02001"): "04001", ("cty", "18511"): "11001", ("cty", "99001"): None,
+                   ("cty", "0201x"): None, ("xx", "01"): None}
