@@ -49,6 +49,18 @@ def scope_to_universe(child: DataFrame, universe: DataFrame, child_keys: Sequenc
     return child.join(u, cond, "left_semi"), child.join(u, cond, "left_anti")
 
 
+def scope_counts(child: DataFrame, universe: DataFrame, child_keys: Sequence[str],
+                 universe_keys: Sequence[str]) -> DataFrame:
+    """J6/Q10 in one pass: (n_kept, n_dropped) of scoping ``child`` to the universe,
+    from a single left join against the distinct universe keys with a marker."""
+    u = universe.select(*[F.col(k).alias(f"__u{i}") for i, k in enumerate(universe_keys)]).distinct() \
+                .withColumn("__in", F.lit(True))
+    cond = [F.col(c) == F.col(f"__u{i}") for i, c in enumerate(child_keys)]
+    j = child.select(*child_keys).join(u, cond, "left")
+    return j.agg(F.sum(F.when(F.col("__in"), 1).otherwise(0)).cast("bigint").alias("n_kept"),
+                 F.sum(F.when(F.col("__in").isNull(), 1).otherwise(0)).cast("bigint").alias("n_dropped"))
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
             parent_keys: Sequence[str], *, distinct_keys: bool = False) -> DataFrame:
     """Child rows (or distinct child keys) with no parent. A NULL child key

@@ -89,14 +89,14 @@ LEFT JOIN nation n ON f.geo_level = 'nation' AND f.geo_key = n.n_nationkey
 """)
 def level_switch_labels(spark, sf):
     t = Tables(spark, sf)
-    o = t.orders.select("o_custkey", "o_totalprice")
-    by_cust = (o.groupBy(F.col("o_custkey").alias("geo_key"))
-                .agg(F.round(F.sum("o_totalprice"), 2).alias("total_price"))
-                .withColumn("geo_level", F.lit("customer")))
-    by_nation = (o.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-                  .groupBy(F.col("c_nationkey").cast("bigint").alias("geo_key"))
-                  .agg(F.round(F.sum("o_totalprice"), 2).alias("total_price"))
-                  .withColumn("geo_level", F.lit("nation")))
+    # aggregate the fact per customer first; the nation level is rolled up from that
+    # (one row per customer), so the big fact never meets the customer table
+    per_cust = t.orders.groupBy(F.col("o_custkey").alias("geo_key")).agg(F.sum("o_totalprice").alias("__s"))
+    by_cust = per_cust.select("geo_key", F.round("__s", 2).alias("total_price"), F.lit("customer").alias("geo_level"))
+    by_nation = (per_cust.join(t.customer.select("c_custkey", "c_nationkey"), F.col("geo_key") == F.col("c_custkey"))
+                 .groupBy(F.col("c_nationkey").cast("bigint").alias("geo_key"))
+                 .agg(F.round(F.sum("__s"), 2).alias("total_price"))
+                 .withColumn("geo_level", F.lit("nation")))
     fact = by_cust.unionByName(by_nation)
     return J.level_switch_labels(fact, "geo_level", "geo_key", {
         "customer": (t.customer, "c_custkey", "c_name"),
