@@ -14,8 +14,9 @@ from tessera.sources import lake
 def publish(spark: SparkSession, frame: DataFrame, checks: Callable[[DataFrame], DataFrame], *, staging: str,
             published: str, dq_log: str, run_id: str, raise_on_block: bool = True) -> bool:
     """Write the frame to staging, run the checks on the staged copy, append the
-    results to the DQ log (on success and on failure), and copy staging to the
-    published location only when no blocking check failed."""
+    results to the DQ log (on success and on failure), and publish the staged copy
+    as a new version (pointer flipped after the write completes) only when no
+    blocking check failed."""
     lake.full_refresh(frame, staging)
     staged = spark.read.parquet(staging)
     with dq.DQRecorder(dq_log, run_id, "gated_publish") as rec:  # persisted either way
@@ -26,5 +27,5 @@ def publish(spark: SparkSession, frame: DataFrame, checks: Callable[[DataFrame],
         if raise_on_block:
             dq.raise_if_blocking(logged)
         return False
-    lake.full_refresh(staged, published)
+    lake.publish_version(spark, staged, published)
     return True

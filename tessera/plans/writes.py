@@ -299,7 +299,8 @@ def gated_publish(spark, sf):
     counts = []
     for run in runs:
         ok = status.filter(F.col("run_id") == run).first()["__ok"] == 1
-        n = spark.read.parquet(f"{root}/published/{run}").count() if ok else 0
+        pub = lake.read_current(spark, f"{root}/published/{run}")
+        n = pub.count() if (ok and pub is not None) else 0
         counts.append((run, ok, n))
     pub = spark.createDataFrame(counts, "run_id string, published boolean, n_published bigint")
     j = logged.join(pub, "run_id")

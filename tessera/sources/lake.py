@@ -93,3 +93,31 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, partitio
     staging = f"{staging}/merged"
     (read_table(spark, staging, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+
+
+def publish_version(spark: SparkSession, df: DataFrame, base: str) -> str:
+    """Write a complete new version folder, then point ``<base>/_current`` at it.
+
+    Readers follow the pointer, so a job that dies mid-write (lost executors, a
+    killed driver) leaves the previous version published and intact; re-running
+    simply writes another version."""
+    path = new_version_path(base)
+    full_refresh(df, path)
+    pointer = spark.createDataFrame([(path,)], "value string").coalesce(1)
+    pointer.write.mode("overwrite").text(f"{base.rstrip('/')}/_current")
+    return path
+
+
+def current_version(spark: SparkSession, base: str) -> str | None:
+    try:
+        rows = spark.read.text(f"{base.rstrip('/')}/_current").collect()
+    except Exception:  # noqa: BLE001 - never published
+        return None
+    return rows[0][0] if rows else None
+
+
+def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
+    path = current_version(spark, base)
+    if path is None:
+        return None
+    return read_table(spark, path, schema) if schema is not None else spark.read.parquet(path)

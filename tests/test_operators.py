@@ -263,3 +263,12 @@ def test_tiered_match_admin_units(spark):
     assert got == {"US-GA": ("code", "USA.1_1"), "US-OH": ("name", "USA.2_1"), "US-SP": ("name_ambiguous", None),
                    "FR-21": ("name", "FRA.1_1"), "US-TX": ("fixup", "USA.5_1"), "US-XX": ("none", None),
                    "FR-GA": ("none", None)}  # names never match across countries
+
+
+def test_publish_version_pointer(spark):
+    base = shared_path(spark, "t_pub")
+    assert lake.read_current(spark, base) is None
+    p1 = lake.publish_version(spark, spark.range(3), base)
+    p2 = lake.publish_version(spark, spark.range(5), base)
+    assert p1 != p2 and lake.current_version(spark, base) == p2
+    assert lake.read_current(spark, base).count() == 5 and spark.read.parquet(p1).count() == 3
