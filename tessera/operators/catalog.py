@@ -70,8 +70,9 @@ def register_dataset(spark: SparkSession, path: str, entry: dict, columns: list[
                      key: str = "full_table_name") -> None:
     """Upsert one metadata row; only ``columns`` (plus the key) are written,
     every other column of an existing row survives; the writer stamps
-    ``refreshed_at``. Vocabulary-bearing fields are validated first. The new table
-    is staged before it replaces the old one (never overwrite what is read)."""
+    ``refreshed_at``. Vocabulary-bearing fields are validated first. Each
+    registration publishes a new version of the (small) catalog table; readers
+    follow ``lake.read_current``."""
     from pyspark.sql import functions as F
 
     from tessera import vocabularies as V
@@ -85,12 +86,7 @@ def register_dataset(spark: SparkSession, path: str, entry: dict, columns: list[
         V.check(V.parse_tag(tag)[0], V.TAG_NAMESPACES, "tag namespace")
     row = {key: entry[key], **{c: entry.get(c) for c in columns}}
     src = spark.createDataFrame([row])
-    current = None
-    try:
-        current = spark.read.parquet(path)
-        current.limit(0).collect()
-    except Exception:  # noqa: BLE001 - first registration
-        current = None
+    current = lake.read_current(spark, path)
     if current is None:
         new = src.withColumn("refreshed_at", F.lit(stamp))
     else:
@@ -101,6 +97,4 @@ def register_dataset(spark: SparkSession, path: str, entry: dict, columns: list[
                                         for c in current.columns if c != "refreshed_at"})
         new = upsert_columns(current, src.select(*[c for c in current.columns if c in src.columns]), [key],
                              columns, "refreshed_at", F.lit(stamp))
-    staging = f"{path.rstrip('/')}_staging"
-    lake.full_refresh(new, staging)
-    lake.full_refresh(spark.read.parquet(staging), path)
+    lake.publish_version(spark, new, path)

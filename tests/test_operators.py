@@ -212,7 +212,7 @@ def test_register_dataset_partial_columns(spark):
                                        "owner": "team", "description": "d1"}, ["update_semantics", "owner", "description"],
                          "2026-01-01")
     CAT.register_dataset(spark, path, {"full_table_name": "geo.state", "description": "d2"}, ["description"], "2026-02-01")
-    r = spark.read.parquet(path).first()
+    r = lake.read_current(spark, path).first()
     assert (r.description, r.owner, r.update_semantics, r.refreshed_at) == ("d2", "team", "vintage_snapshot", "2026-02-01")
     with pytest.raises(ValueError):
         CAT.register_dataset(spark, path, {"full_table_name": "x", "update_semantics": "merge"}, ["update_semantics"], "s")
