@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -224,26 +222,29 @@ def name_key(spark, sf):
     return c.select("conv_id", "turn", C.name_key("text").alias("name_key"))
 
 
-def _nfkd_key(s: pd.Series) -> pd.Series:
-    import re
-    pat = re.compile(r"[^a-z0-9]+")
-
-    def one(v):
-        if v is None:
-            return None
-        dec = unicodedata.normalize("NFKD", v)
-        stripped = "".join(ch for ch in dec if not unicodedata.combining(ch))
-        out = pat.sub(" ", stripped.lower()).strip()
-        return out or None
-    return s.map(one)
-
-
 @query("vectorised_name_key", sql=_NAME_KEY_SQL)
 def vectorised_name_key(spark, sf):
     """The exact NFKD key, computed per Arrow batch in Python (no built-in does
     NFKD). Only the one text column crosses into Python."""
     from pyspark.sql.functions import pandas_udf
-    key = pandas_udf(_nfkd_key, T.StringType())
+
+    # defined here (not at module level) so it is shipped to the Python workers by
+    # value: the workers need numpy/pandas/unicodedata, not this package
+    def nfkd_key(s: pd.Series) -> pd.Series:
+        import re
+        import unicodedata
+        pat = re.compile(r"[^a-z0-9]+")
+
+        def one(v):
+            if v is None:
+                return None
+            dec = unicodedata.normalize("NFKD", v)
+            stripped = "".join(ch for ch in dec if not unicodedata.combining(ch))
+            out = pat.sub(" ", stripped.lower()).strip()
+            return out or None
+        return s.map(one)
+
+    key = pandas_udf(nfkd_key, T.StringType())
     c = Tables(spark, sf).conversations
     return c.select("conv_id", "turn", key("text").alias("name_key"))
 
