@@ -90,6 +90,12 @@ def _bucketed_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .drop("__b", "__in", "__edge", "__link")
 
 
+def overlay_added(base: DataFrame, update: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row with the number of update-only keys the overlay appends."""
+    added = update.select(*keys).distinct().join(base.select(*keys).distinct(), list(keys), "left_anti")
+    return added.agg(F.count(F.lit(1)).alias("added"))
+
+
 def scd2(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str],
          from_col: str, bucket: Column | None = None) -> DataFrame:
     """History rows from ordered snapshots. A new version starts whenever the

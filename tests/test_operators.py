@@ -272,3 +272,25 @@ def test_publish_version_pointer(spark):
     p2 = lake.publish_version(spark, spark.range(5), base)
     assert p1 != p2 and lake.current_version(spark, base) == p2
     assert lake.read_current(spark, base).count() == 5 and spark.read.parquet(p1).count() == 3
+
+
+def test_overlay_labels_and_added_count(spark):
+    base = spark.createDataFrame([(1, "a", "base"), (2, "b", "base")], "k int, t string, src string")
+    upd = spark.createDataFrame([(2, "B", "update"), (3, "C", "update")], "k int, t string, src string")
+    assert sorted(tuple(r) for r in MG.overlay(base, upd, ["k"]).collect()) == [
+        (1, "a", "base"), (2, "B", "update"), (3, "C", "update")]
+    assert MG.overlay_added(base, upd, ["k"]).first().added == 1
+
+
+def test_conform_distinct_returns_unconformed(spark):
+    from tessera.operators import conform as K
+    fact = spark.createDataFrame([(1, "01"), (2, "01"), (3, "7"), (4, "99")], "id int, code string")
+    lookup = spark.createDataFrame([("01", "one"), ("99", "ninety-nine")], "c string, name string")
+
+    def conform(codes):
+        j = codes.join(lookup, codes["code"] == lookup["c"], "left")
+        return j.select("code", F.when(F.col("code").rlike("^[0-9]{2}$"), F.col("name")).alias("name"))
+
+    out = K.conform_distinct(fact, ["code"], conform, "name")
+    assert sorted((r.id, r.name) for r in out.collect()) == [(1, "one"), (2, "one"), (3, None), (4, "ninety-nine")]
+    assert [r.code for r in K.unconformed(out, ["code"], "name").collect()] == ["7"]
