@@ -23,14 +23,21 @@ def _land(spark, sf, name, df=None):
 @query("stream_file_ingest", sql="SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_file_ingest(spark, sf):
     """Fetch-once landing with a completion marker, ingested by an AvailableNow
-    file stream; the second run finds nothing new (checkpointed progress)."""
+    file stream; the second run finds nothing new (checkpointed progress). The same
+    payload also feeds a second table (per-type daily counts) through its own
+    streaming query and checkpoint."""
     ev = Tables(spark, sf).events
     landing = _land(spark, sf, "landing_events")
     if not S.landing_complete(spark, landing):
         raise RuntimeError("landing incomplete")
     sink, ckpt = shared_path(spark, "raw_events"), shared_path(spark, "ckpt_raw_events")
+    counts = S.PartitionedTable(spark, shared_path(spark, "event_type_counts"), "obs_date")
+    count_fn = S.upsert_batches(counts, ["obs_date", "event_type"], lambda b: b.groupBy(
+        F.to_date("ts").alias("obs_date"), "event_type").agg(F.count(F.lit(1)).alias("n")))
+    count_ckpt = shared_path(spark, "ckpt_event_type_counts")
     for _ in range(2):
         S.run_available_now(S.file_stream(spark, landing, ev.schema, max_files=3), ckpt, sink_path=sink)
+        S.run_available_now(S.file_stream(spark, landing, ev.schema), count_ckpt, foreach_batch=count_fn)
     return spark.read.schema(ev.schema).parquet(sink)
 
 

@@ -1,5 +1,7 @@
 """Streams drain with AvailableNow and are safe to re-run."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from tessera.session import shared_path
@@ -31,3 +33,19 @@ def test_latest_revision_wins_across_batches(spark):
     fn(spark.createDataFrame([(1, 0, "stale", 1)], "k int, rev int, v string, p int"), 2)  # replayed batch
     assert sorted(tuple(r) for r in table.read().select("k", "rev", "v", "p").collect()) == [
         (1, 1, "A", 1), (2, 0, "b", 2)]
+
+
+def test_one_payload_feeds_two_tables(spark):
+    from tessera.plans.streams import stream_file_ingest
+    sf = "/root/testdata/sf0.001"
+    raw = stream_file_ingest(spark, sf)
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    assert raw.count() == ev.count()
+    # the counts table of the run just made is the newest event_type_counts folder
+    import glob
+    base = sorted(glob.glob(spark.sparkContext.getCheckpointDir().replace("file:", "") + "/tessera/event_type_counts-*"),
+                  key=os.path.getmtime)[-1]
+    counts = spark.read.parquet(base + "/table")
+    expect = ev.groupBy(F.to_date("ts").alias("obs_date"), "event_type").count()
+    assert sorted((r.obs_date, r.event_type, r.n) for r in counts.collect()) == sorted(
+        (r.obs_date, r.event_type, r["count"]) for r in expect.collect())
