@@ -175,12 +175,14 @@ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY overlap DESC
              SUM(overlap) OVER (PARTITION BY l_partkey) AS total,
              COUNT(DISTINCT l_suppkey) OVER (PARTITION BY l_partkey) AS n_suppliers FROM p)
 SELECT l_partkey, l_suppkey AS primary_suppkey, overlap,
-       CASE WHEN total > 0 THEN ROUND(overlap / total, 6) END AS fraction, CAST(n_suppliers AS INTEGER) AS n_suppliers
+       CASE WHEN total > 0 THEN ROUND(overlap / total, 6) END AS fraction, CAST(n_suppliers AS INTEGER) AS n_suppliers,
+       n_suppliers > 1 AS spans
 FROM r WHERE rn = 1
 """)
 def primary_by_overlap(spark, sf):
     """The largest-overlap partner per unit (overlap desc nulls last, id
-    asc), its fraction of the unit's total (only when total > 0), partner count."""
+    asc), its fraction of the unit's total (only when total > 0), partner count,
+    and whether the unit spans more than one partner."""
     pairs = Tables(spark, sf).lineitem.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("overlap"))
     # one aggregate per unit: winner (min over the ordering struct), total, partner count
     order = W.desc_nulls_last(F.col("overlap")) + [F.col("l_suppkey")]
@@ -188,7 +190,8 @@ def primary_by_overlap(spark, sf):
     g = pairs.groupBy("l_partkey").agg(F.min(st).alias("__w"), F.sum("overlap").alias("__total"),
                                        F.count_distinct("l_suppkey").cast("int").alias("n_suppliers"))
     return g.select("l_partkey", F.col("__w.l_suppkey").alias("primary_suppkey"), F.col("__w.overlap").alias("overlap"),
-                    dq.safe_rate(F.col("__w.overlap"), F.col("__total")).alias("fraction"), "n_suppliers")
+                    dq.safe_rate(F.col("__w.overlap"), F.col("__total")).alias("fraction"), "n_suppliers",
+                    (F.col("n_suppliers") > 1).alias("spans"))
 
 
 @query("primary_flag_bridge", sql=f"""
