@@ -88,16 +88,3 @@ def range_lookup(df: DataFrame, value: Column, bands: DataFrame, low: str, high:
     b = F.broadcast(b)
     out = df.join(b, (value >= F.col("__lo")) & (value <= F.col("__hi")), "left")
     return out.drop("__lo", "__hi")
-
-
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                  payload: Sequence[str]) -> DataFrame:
-    """Pick one row per key by an explicit order (smallest ``order`` wins).
-
-    Written as ``min(struct(order..., payload...))`` so it is a hash aggregate with
-    map-side partial aggregation: a hot key is pre-reduced on every partition and
-    never lands whole on one task (a ranking window would sort the whole group)."""
-    ordered = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
-                       *[F.col(p).alias(p) for p in payload])
-    picked = df.groupBy(*keys).agg(F.min(ordered).alias("__pick"))
-    return picked.select(*keys, *[F.col(f"__pick.{p}").alias(p) for p in payload])

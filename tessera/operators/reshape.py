@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.dates import days_in_month
+
 
 def long_to_wide(df: DataFrame, keys: Sequence[str], name_col: str, value_col: str,
                  names: Sequence[str], extra_aggs: Sequence[Column] = ()) -> DataFrame:
@@ -29,11 +31,6 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str],
     return df.unpivot(list(ids), list(value_cols), var_name, value_name)
 
 
-def sentinel_to_null(c: Column, is_sentinel: Column) -> Column:
-    """P5: replace a sentinel by NULL but keep the row."""
-    return F.when(~is_sentinel, c)
-
-
 def explode_alternates(df: DataFrame, name_col: str, alt_col: str, sep: str = "|",
                        out_col: str = "name") -> DataFrame:
     """One row per primary or alternate name."""
@@ -55,6 +52,6 @@ def wide_days_to_long(wide: DataFrame, ids: Sequence[str], year_col: str, month_
                            F.posexplode(F.array(*[F.col(c) for c in day_cols])).alias("__pos", "__raw"))
     day = F.col("__pos") + 1
     first = F.make_date(F.col("__y"), F.col("__m"), F.lit(1))
-    kept = exploded.filter(day <= F.dayofmonth(F.last_day(first)))
+    kept = exploded.filter(day <= days_in_month(first))
     return kept.select(*ids, F.make_date(F.col("__y"), F.col("__m"), day).alias(date_name),
                        F.when(~is_sentinel(F.col("__raw")), F.col("__raw")).alias(value_name))

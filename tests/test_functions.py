@@ -111,3 +111,10 @@ def test_strip_range_suffix(spark):
     vals = ["Certain infectious diseases (A00-B99)", "Neoplasms (C00-D49) ", "No range here", "Odd (x)"]
     assert one_col(spark, vals, C.strip_range_suffix) == [
         "Certain infectious diseases", "Neoplasms", "No range here", "Odd (x)"]
+
+
+def test_clean_text_and_month_lengths(spark):
+    assert one_col(spark, [" x ", "N/A", "", None, "none"], C.clean_text) == ["x", None, None, None, None]
+    days = one_col(spark, [dt.date(2024, 2, 10), dt.date(2023, 2, 1), dt.date(2024, 12, 31)], D.days_in_month, "date")
+    assert days == [29, 28, 31]
+    assert one_col(spark, [2024, 2023], D.days_in_year, "int") == [366, 365]
