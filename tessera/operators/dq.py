@@ -185,10 +185,12 @@ class DQRecorder:
     success and on failure — so failed checks are persisted before the job dies.
     A flush that fails on the success path fails the job (it is never swallowed)."""
 
-    def __init__(self, log_path: str, run_id: str, pipeline_reference: str):
+    def __init__(self, log_path: str, run_id: str, pipeline_reference: str, run_order: int | None = None):
+        import time
         self.log_path = log_path
         self.run_id = run_id
         self.pipeline_reference = pipeline_reference
+        self.run_order = run_order if run_order is not None else time.time_ns()  # orders runs in the log
         self._buffer: list[DataFrame] = []
 
     @property
@@ -207,6 +209,7 @@ class DQRecorder:
         from tessera.sources import lake
         out = union_results(self._buffer).select(F.lit(self.run_id).alias("run_id"),
                                                  F.lit(self.pipeline_reference).alias("pipeline_reference"),
+                                                 F.lit(self.run_order).cast("bigint").alias("run_order"),
                                                  *RESULT_COLUMNS)
         n = len(self._buffer)
         lake.append(out, self.log_path)

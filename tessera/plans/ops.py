@@ -199,18 +199,32 @@ FROM cat LEFT JOIN eng ON cat.table_name = eng.table_name LEFT JOIN roll ON cat.
 
 
 def discovery_view(spark, sf):
-    """Catalog (row counts) + engineering (last refresh) + DQ roll-up per table."""
+    """The ops tables are written first — DQ results appended to the
+    log in one buffered write, catalog and engineering rows published as table
+    versions — and the view is built from the stored tables: catalog LEFT JOIN
+    engineering LEFT JOIN the roll-up of the latest result per (table, check)."""
     from tessera.operators import dq
+    from tessera.session import shared_path
+    from tessera.sources import lake
     t = Tables(spark, sf)
-    cat = REGISTRY["labelled_counts"][0](spark, sf)
+    root = shared_path(spark, "ops")
+    with dq.DQRecorder(f"{root}/dq_results", "discovery", "discovery_view") as rec:
+        for k in _DQ_FEEDS:
+            rec.record(REGISTRY[k][0](spark, sf))
+    lake.publish_version(spark, REGISTRY["labelled_counts"][0](spark, sf), f"{root}/dataset_catalog")
     eng_parts = [getattr(t, n).agg(F.to_date(F.max(c)).alias("last_refreshed")).select(F.lit(n).alias("table_name"), "last_refreshed")
                  for n, c in _REFRESH_COLS.items()]
     eng = eng_parts[0]
     for p in eng_parts[1:]:
         eng = eng.unionByName(p)
-    results = dq.union_results([REGISTRY[k][0](spark, sf) for k in _DQ_FEEDS])
-    roll = results.groupBy("table_name").agg(rollup_status(results).alias("dq_status"),
-                                             F.count(F.lit(1)).alias("n_checks"))
+    lake.publish_version(spark, eng, f"{root}/dataset_engineering")
+
+    cat = lake.read_current(spark, f"{root}/dataset_catalog")
+    eng = lake.read_current(spark, f"{root}/dataset_engineering")
+    log = spark.read.parquet(f"{root}/dq_results")
+    latest = W.keep_one(log, ["table_name", "check_name"], [-F.col("run_order")], ["severity", "passed"])
+    roll = latest.groupBy("table_name").agg(rollup_status(latest).alias("dq_status"),
+                                            F.count(F.lit(1)).alias("n_checks"))
     out = cat.join(eng, "table_name", "left").join(roll, "table_name", "left")
     return out.select("table_name", "n_rows", "last_refreshed",
                       F.coalesce("dq_status", F.lit("unknown")).alias("dq_status"),
