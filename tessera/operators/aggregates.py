@@ -43,5 +43,10 @@ def distribution(df: DataFrame, value: Column, flag: Column | None = None, none_
 
 
 def sorted_members(df: DataFrame, group: Sequence[str], member: str, alias: str, sep: str = ">") -> DataFrame:
-    """Sorted distinct members per group, as text."""
+    """Sorted distinct members per group, as text.
+
+    The output row holds the whole member list, so this is meant for groupings
+    whose member sets are bounded by a dimension (states per region, nations per
+    region); the de-duplication itself is partial-aggregated (collect_set is
+    merged map-side)."""
     return df.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_set(F.col(member).cast("string"))), sep).alias(alias))

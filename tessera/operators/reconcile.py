@@ -23,7 +23,10 @@ def stale_keys(table: DataFrame, produced: DataFrame, keys: Sequence[str]) -> Da
 
 def declared_vs_actual(declared: DataFrame, actual: DataFrame, key: str, member: str) -> DataFrame:
     """Per declared key — members declared but absent (missing) and present but
-    undeclared (extra). Keys that are not declared at all are ignored."""
+    undeclared (extra). Keys that are not declared at all are ignored.
+
+    Member sets are bounded by a vocabulary (privileges, segments), so each key's
+    set is built with a map-side-merged collect_set; the report row lists them."""
     d = declared.groupBy(key).agg(F.collect_set(member).alias("__d"))
     a = actual.groupBy(key).agg(F.collect_set(member).alias("__a"))
     j = d.join(a, key, "left")
