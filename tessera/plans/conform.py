@@ -603,14 +603,21 @@ def region_rollup(spark, sf):
 
 
 @query("group_members", sql="""
-SELECT r.r_name, string_agg(n.n_name, '>' ORDER BY n.n_name) AS members
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name
+SELECT r.r_name, string_agg(DISTINCT n.n_name, '>' ORDER BY n.n_name) AS members, COUNT(*) AS n_customers
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY r.r_name
 """)
 def group_members(spark, sf):
-    """Sorted array of members per group (as text)."""
+    """Sorted members per group — the nations that have customers, per region —
+    from the customer fact reduced per nation first (partial aggregate), then the
+    bounded nation -> region lookup."""
     t = Tables(spark, sf)
-    j = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return A.sorted_members(j, ["r_name"], "n_name", "members")
+    per_nation = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    lookup = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    j = per_nation.join(broadcast_if_small(lookup, 100_000), F.col("c_nationkey") == F.col("n_nationkey"))
+    members = A.sorted_members(j, ["r_name"], "n_name", "members")
+    counts = j.groupBy("r_name").agg(F.sum("n").alias("n_customers"))
+    return members.join(counts, "r_name")
 
 
 def _enriched(t):
