@@ -221,12 +221,14 @@ def bridge_view(spark, sf):
     t = Tables(spark, sf)
     pairs = _pairs(t)
     bridge = W.keep_one(pairs, ["l_partkey"], W.desc_nulls_last(F.col("overlap")) + [F.col("l_suppkey")], ["l_suppkey"])
-    names = {"part": CAT.safe_view_name("v", "ref.part"), "supplier": CAT.safe_view_name("v", "ref.supplier"),
-             "bridge": CAT.safe_view_name("v", "ref.part_supplier_primary")}
+    import uuid
+    run = uuid.uuid4().hex[:8]  # views are session-global: unique names per call
+    names = {"part": CAT.safe_view_name(f"v{run}", "ref.part"), "supplier": CAT.safe_view_name(f"v{run}", "ref.supplier"),
+             "bridge": CAT.safe_view_name(f"v{run}", "ref.part_supplier_primary")}
     t.part.createOrReplaceTempView(names["part"])
     t.supplier.createOrReplaceTempView(names["supplier"])
     bridge.createOrReplaceTempView(names["bridge"])
-    view = CAT.safe_view_name("v", "ref.part_primary_supplier")
+    view = CAT.safe_view_name(f"v{run}", "ref.part_primary_supplier")
     ok = CAT.create_join_view(spark, view, tuple(names.values()), f"""
         SELECT pt.p_partkey, pt.p_name, s.s_suppkey, s.s_name
         FROM {names['part']} pt JOIN {names['bridge']} b ON pt.p_partkey = b.l_partkey
