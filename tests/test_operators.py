@@ -294,3 +294,20 @@ def test_conform_distinct_returns_unconformed(spark):
     out = K.conform_distinct(fact, ["code"], conform, "name")
     assert sorted((r.id, r.name) for r in out.collect()) == [(1, "one"), (2, "one"), (3, None), (4, "ninety-nine")]
     assert [r.code for r in K.unconformed(out, ["code"], "name").collect()] == ["7"]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 9), st.one_of(st.none(), st.floats(0, 100))),
+                min_size=1, max_size=25, unique_by=lambda r: (r[0], r[1])))
+def test_exactly_one_primary_per_unit(spark, rows):
+    df = spark.createDataFrame(rows, "u int, c int, a double")
+    out = W.flag_first(df, ["u"], W.desc_nulls_last(F.col("a")) + [F.col("c")], ["c"]).collect()
+    per_unit = {}
+    for r in out:
+        per_unit.setdefault(r.u, []).append(r)
+    assert len(out) == len(rows)
+    for u, rs in per_unit.items():
+        prim = [r for r in rs if r.is_primary]
+        assert len(prim) == 1
+        best = min(rs, key=lambda r: (r.a is None, -(r.a or 0.0), r.c))
+        assert prim[0].c == best.c
