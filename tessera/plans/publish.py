@@ -12,7 +12,8 @@ from tessera.sources import lake
 
 
 def publish(spark: SparkSession, frame: DataFrame, checks: Callable[[DataFrame], DataFrame], *, staging: str,
-            published: str, dq_log: str, run_id: str, raise_on_block: bool = True) -> bool:
+            published: str, dq_log: str, run_id: str, raise_on_block: bool = True,
+            on_published: Callable[[str], None] | None = None) -> bool:
     """Write the frame to staging, run the checks on the staged copy, append the
     results to the DQ log (on success and on failure), and publish the staged copy
     as a new version (pointer flipped after the write completes) only when no
@@ -27,5 +28,7 @@ def publish(spark: SparkSession, frame: DataFrame, checks: Callable[[DataFrame],
         if raise_on_block:
             dq.raise_if_blocking(logged)
         return False
-    lake.publish_version(spark, staged, published)
+    path = lake.publish_version(spark, staged, published)
+    if on_published is not None:  # registration happens only after a successful publish
+        on_published(path)
     return True

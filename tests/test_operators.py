@@ -311,3 +311,24 @@ def test_exactly_one_primary_per_unit(spark, rows):
         assert len(prim) == 1
         best = min(rs, key=lambda r: (r.a is None, -(r.a or 0.0), r.c))
         assert prim[0].c == best.c
+
+
+def test_publish_lifecycle(spark):
+    from tessera.plans.publish import publish
+    root = shared_path(spark, "t_lifecycle")
+    events = []
+    good = spark.createDataFrame([(1,), (2,)], "k int")
+    bad = spark.createDataFrame([(1,), (1,)], "k int")
+
+    def checks(df):
+        return dq.unique(df, ["k"], table_name="t", check_name="u")
+
+    assert publish(spark, good, checks, staging=f"{root}/s1", published=f"{root}/pub", dq_log=f"{root}/log",
+                   run_id="r1", on_published=lambda p: events.append(("registered", p)))
+    with pytest.raises(dq.DQFailure):
+        publish(spark, bad, checks, staging=f"{root}/s2", published=f"{root}/pub", dq_log=f"{root}/log", run_id="r2",
+                on_published=lambda p: events.append(("registered", p)))
+    assert len(events) == 1  # the failed run never registered
+    assert lake.read_current(spark, f"{root}/pub").count() == 2  # and never replaced the published version
+    logged = sorted((r.run_id, r.passed) for r in spark.read.parquet(f"{root}/log").collect())
+    assert logged == [("r1", True), ("r2", False)]  # DQ rows persisted on success and on failure
