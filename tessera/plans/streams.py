@@ -57,7 +57,7 @@ def stream_upsert(spark, sf):
             F.round(F.sum("value"), 2).alias("total"), F.count(F.lit(1)).alias("n"))
 
     fn = S.upsert_batches(table, ["user_id", "obs_date", "event_type"], prepare)
-    S.run_available_now(S.file_stream(spark, landing, ev.schema, max_files=2), shared_path(spark, "ckpt_daily"),
+    S.run_available_now(S.file_stream(spark, landing, ev.schema, max_files=3), shared_path(spark, "ckpt_daily"),
                         foreach_batch=fn)
     return table.read()
 
@@ -86,7 +86,7 @@ def stream_late_revision(spark, sf):
                                    lambda b: b.withColumn("obs_date", F.to_date("ts")))
 
     def stream():
-        s = S.file_stream(spark, landing, orig.schema, max_files=3)
+        s = S.file_stream(spark, landing, orig.schema)  # each run drains what has landed in one batch
         s = s.withColumn("ts", ntz_to_instant("ts")).withWatermark("ts", REVISION_LAG) \
              .dropDuplicatesWithinWatermark(["event_id", "revision"])
         return s.withColumn("ts", instant_to_ntz("ts"))
@@ -110,7 +110,7 @@ def stream_tumbling(spark, sf):
     ev = Tables(spark, sf).events
     landing = _land(spark, sf, "landing_windows")
     table = S.PartitionedTable(spark, shared_path(spark, "window_totals"), "window_day")
-    s = S.file_stream(spark, landing, ev.schema, max_files=2).withColumn("ts", ntz_to_instant("ts"))
+    s = S.file_stream(spark, landing, ev.schema, max_files=3).withColumn("ts", ntz_to_instant("ts"))
     agg = (s.withWatermark("ts", ARRIVAL_LATENESS).groupBy("event_type", F.window("ts", "1 day"))
              .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("__s")))
 
