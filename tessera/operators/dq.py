@@ -92,6 +92,7 @@ def row_checks(df: DataFrame, table_name: str, checks: Sequence[RowCheck]) -> Da
 
 
 def not_null(cols: Sequence[str], check_name: str | None = None, severity: str = "fail") -> RowCheck:
+    """Row check: any of the columns is NULL."""
     pred = None
     for c in cols:
         pred = F.col(c).isNull() if pred is None else (pred | F.col(c).isNull())
@@ -99,11 +100,13 @@ def not_null(cols: Sequence[str], check_name: str | None = None, severity: str =
 
 
 def in_range(col: str, low, high, check_name: str | None = None, severity: str = "fail") -> RowCheck:
+    """Row check: a non-NULL value outside [low, high]."""
     c = F.col(col)
     return RowCheck(check_name or f"range_{col}", "range", c.isNotNull() & ~c.between(low, high), severity)
 
 
 def in_vocab(col: str, values: Sequence[str], check_name: str | None = None, severity: str = "fail") -> RowCheck:
+    """Row check: NULL or a value outside the vocabulary."""
     c = F.col(col)
     return RowCheck(check_name or f"vocab_{col}", "business_rule", c.isNull() | ~c.isin(*values), severity)
 
@@ -137,6 +140,7 @@ def foreign_key(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
 
 def cardinality(df: DataFrame, *, table_name: str, check_name: str, min_rows: int | None = None,
                 max_rows: int | None = None, severity: str = "warn") -> DataFrame:
+    """Q2: row count within [min_rows, max_rows]; failing = the count when outside."""
     one = df.agg(F.count(F.lit(1)).alias("__n"))
     n = F.col("__n")
     ok = F.lit(True)
@@ -163,6 +167,7 @@ def rowcount_equals(df: DataFrame, other: DataFrame, *, table_name: str, other_n
 
 
 def union_results(parts: Sequence[DataFrame]) -> DataFrame:
+    """Stack result frames in the canonical column order."""
     out = parts[0].select(*RESULT_COLUMNS)
     for p in parts[1:]:
         out = out.unionByName(p.select(*RESULT_COLUMNS))

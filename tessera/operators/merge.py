@@ -17,6 +17,7 @@ class MergeConflict(ValueError):
 
 
 def assert_unique_source(source: DataFrame, keys: Sequence[str]) -> None:
+    """TR3: a source key matching twice would make a MERGE fail; refuse it up front."""
     dup = (source.filter(F.coalesce(*[F.col(k).isNotNull() for k in keys]))
            .groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count())
     if dup:

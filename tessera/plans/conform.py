@@ -200,6 +200,7 @@ SELECT o_orderkey, lower(regexp_replace(trim(o_orderpriority), '[\\s\\-]+', '_',
 FROM orders
 """)
 def label_normalize(spark, sf):
+    """trim, collapse runs of spaces/hyphens to '_', lower-case."""
     o = Tables(spark, sf).orders
     return o.select("o_orderkey", C.snake_label("o_orderpriority").alias("priority_label"))
 
@@ -337,6 +338,7 @@ SELECT o_orderkey, raw_flag, COALESCE(upper(trim(raw_flag)) = 'Y', FALSE) AS fla
 FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN ' y' WHEN 'O' THEN 'N' ELSE '' END AS raw_flag FROM orders)
 """)
 def flag_bool(spark, sf):
+    """Y/N flag to boolean; blank and anything else is False."""
     o = Tables(spark, sf).orders
     raw = F.when(F.col("o_orderstatus") == "F", " y").when(F.col("o_orderstatus") == "O", "N").otherwise("")
     return o.select("o_orderkey", raw.alias("raw_flag")).withColumn("flag", C.yn_bool("raw_flag"))

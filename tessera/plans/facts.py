@@ -67,6 +67,7 @@ SELECT user_id, obs_date, {_type_cols_sql()},
 FROM long GROUP BY user_id, obs_date
 """)
 def long_to_wide_pivot(spark, sf):
+    """Long (user, day, type) totals to one wide row per (user, day) with an any-flag."""
     ev = Tables(spark, sf).events
     long = (ev.groupBy("user_id", F.to_date("ts").alias("obs_date"), "event_type")
               .agg(F.round(F.sum("value"), 2).alias("value")))
@@ -88,6 +89,7 @@ LEFT JOIN customer c ON f.geo_level = 'customer' AND f.geo_key = c.c_custkey
 LEFT JOIN nation n ON f.geo_level = 'nation' AND f.geo_key = n.n_nationkey
 """)
 def level_switch_labels(spark, sf):
+    """A two-level fact (customer, nation); each row joins only its own level's dimension."""
     t = Tables(spark, sf)
     # aggregate the fact per customer first; the nation level is rolled up from that
     # (one row per customer), so the big fact never meets the customer table

@@ -19,6 +19,7 @@ _EV_VOCAB_SQL = ", ".join(f"'{t}'" for t in EVENT_TYPES)
        + dq_row("lineitem", "unique_order_line", "uniqueness", "fail", failing="d", total="t", source="a",
                 details="json_object('duplicate_key_groups', CAST(d AS BIGINT), 'keys', ['l_orderkey', 'l_linenumber'])"))
 def dq_unique(spark, sf):
+    """A2/Q2: natural-key uniqueness; failing = duplicated key groups."""
     li = Tables(spark, sf).lineitem
     return dq.unique(li, ["l_orderkey", "l_linenumber"], table_name="lineitem", check_name="unique_order_line")
 
@@ -30,6 +31,7 @@ _ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_or
     ("not_null_all", "nullability", "fail", " OR ".join(f"{c} IS NULL" for c in _ORDER_COLS)),
     ("not_null_key", "nullability", "fail", "o_orderkey IS NULL")]))
 def dq_not_null(spark, sf):
+    """A3/Q2: null checks of one table fused into one aggregate pass."""
     o = Tables(spark, sf).orders
     return dq.row_checks(o, "orders", [dq.not_null(_ORDER_COLS, "not_null_all"), dq.not_null(["o_orderkey"], "not_null_key")])
 
@@ -109,6 +111,7 @@ _CARD = (("orders", 1000, 10_000_000), ("lineitem", 5000, 100_000_000), ("custom
            details=f"json_object('actual', n, 'expected_max', CAST({hi} AS BIGINT), 'expected_min', CAST({lo} AS BIGINT))")
     for tb, lo, hi in _CARD))
 def dq_cardinality(spark, sf):
+    """Q2: row count inside a declared band, one result per table."""
     t = Tables(spark, sf)
     return dq.union_results([dq.cardinality(getattr(t, tb), table_name=tb, check_name=f"rowcount_{tb}",
                                             min_rows=lo, max_rows=hi) for tb, lo, hi in _CARD])
