@@ -332,3 +332,19 @@ def test_publish_lifecycle(spark):
     assert lake.read_current(spark, f"{root}/pub").count() == 2  # and never replaced the published version
     logged = sorted((r.run_id, r.passed) for r in spark.read.parquet(f"{root}/log").collect())
     assert logged == [("r1", True), ("r2", False)]  # DQ rows persisted on success and on failure
+
+
+def test_merge_partitions_touches_only_source_partitions(spark):
+    import glob
+    base = shared_path(spark, "t_merge_parts")
+    path, local = f"{base}/table", f"{base}/table".replace("file:", "")
+    upsert = lambda cur, src: MG.upsert(cur, src, ["k"])
+    first = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 2)], "k int, v string, p int")
+    lake.merge_partitions(spark, path, first, "p", upsert, f"{base}/_s0")
+    before = sorted(glob.glob(f"{local}/p=1/*.parquet"))
+    src = spark.createDataFrame([(2, "B", 2), (4, "d", 2)], "k int, v string, p int")
+    for i in range(2):  # the replay of the same batch changes nothing
+        lake.merge_partitions(spark, path, src, "p", upsert, f"{base}/_s1")
+        got = sorted(tuple(r) for r in lake.read_table(spark, path, first.schema).collect())
+        assert got == [(1, "a", 1), (2, "B", 2), (3, "c", 2), (4, "d", 2)]
+    assert sorted(glob.glob(f"{local}/p=1/*.parquet")) == before  # untouched partition kept its files
