@@ -1,6 +1,8 @@
 """Every registered query against its independent SQL statement (DuckDB) on the
 smallest driver tables: row count, column names and the order-free multiset of rows."""
 
+import contextlib
+import io
 import math
 
 import duckdb
@@ -48,6 +50,12 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert "CartesianProduct" not in plan  # no cross joins
+    assert "BatchEvalPython" not in plan  # no row-at-a-time Python UDFs
     srows = df.collect()
     cur = duck.execute(ORACLES[key])
     dcols = [d[0] for d in cur.description]
