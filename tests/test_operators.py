@@ -348,3 +348,14 @@ def test_merge_partitions_touches_only_source_partitions(spark):
         got = sorted(tuple(r) for r in lake.read_table(spark, path, first.schema).collect())
         assert got == [(1, "a", 1), (2, "B", 2), (3, "c", 2), (4, "d", 2)]
     assert sorted(glob.glob(f"{local}/p=1/*.parquet")) == before  # untouched partition kept its files
+
+
+def test_quarantine_tag_and_split(spark):
+    from tessera.operators import quarantine as QX
+    df = spark.createDataFrame([(1, 5.0, "a"), (2, 500.0, "b"), (3, 7.0, None), (4, 900.0, None)], "k int, v double, s string")
+    tagged = QX.tag_reasons(df, [("too_big", F.col("v") > 400), ("no_label", F.col("s").isNull())])
+    clean, bad = QX.split(tagged, F.lit("2026-01-01"))
+    assert sorted(r.k for r in clean.collect()) == [1]
+    assert sorted((r.k, r.reason, r.quarantined_at) for r in bad.collect()) == [
+        (2, "too_big", "2026-01-01"), (3, "no_label", "2026-01-01"), (4, "too_big", "2026-01-01")]  # first rule wins
+    assert clean.columns == ["k", "v", "s"]
