@@ -97,4 +97,4 @@ def register_dataset(spark: SparkSession, path: str, entry: dict, columns: list[
                                         for c in current.columns if c != "refreshed_at"})
         new = upsert_columns(current, src.select(*[c for c in current.columns if c in src.columns]), [key],
                              columns, "refreshed_at", F.lit(stamp))
-    lake.publish_version(spark, new, path)
+    lake.publish_version(spark, new, path, allow_schema_change=True)  # additive columns are expected

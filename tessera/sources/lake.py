@@ -95,12 +95,21 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, partitio
      .partitionBy(partition_col).parquet(path))
 
 
-def publish_version(spark: SparkSession, df: DataFrame, base: str) -> str:
+class SchemaDrift(ValueError):
+    """A rewrite would change a published table's schema without opting in."""
+
+
+def publish_version(spark: SparkSession, df: DataFrame, base: str, *, allow_schema_change: bool = False) -> str:
     """Write a complete new version folder, then point ``<base>/_current`` at it.
 
     Readers follow the pointer, so a job that dies mid-write (lost executors, a
     killed driver) leaves the previous version published and intact; re-running
-    simply writes another version."""
+    simply writes another version. A schema different from the published one
+    fails loudly unless ``allow_schema_change`` is set."""
+    if not allow_schema_change:
+        current = read_current(spark, base)
+        if current is not None and current.schema.simpleString() != df.schema.simpleString():
+            raise SchemaDrift(f"{base}: published {current.schema.simpleString()} != new {df.schema.simpleString()}")
     path = new_version_path(base)
     full_refresh(df, path)
     pointer = spark.createDataFrame([(path,)], "value string").coalesce(1)

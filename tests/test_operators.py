@@ -359,3 +359,12 @@ def test_quarantine_tag_and_split(spark):
     assert sorted((r.k, r.reason, r.quarantined_at) for r in bad.collect()) == [
         (2, "too_big", "2026-01-01"), (3, "no_label", "2026-01-01"), (4, "too_big", "2026-01-01")]  # first rule wins
     assert clean.columns == ["k", "v", "s"]
+
+
+def test_publish_refuses_schema_drift(spark):
+    base = shared_path(spark, "t_drift")
+    lake.publish_version(spark, spark.createDataFrame([(1, "a")], "k int, v string"), base)
+    with pytest.raises(lake.SchemaDrift):
+        lake.publish_version(spark, spark.createDataFrame([(1, 2)], "k int, v int"), base)
+    lake.publish_version(spark, spark.createDataFrame([(1, 2)], "k int, v int"), base, allow_schema_change=True)
+    assert lake.read_current(spark, base).schema.simpleString() == "struct<k:int,v:int>"
