@@ -104,7 +104,8 @@ def scd2(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str], tracke
 
     ``bucket`` (default: calendar month of ``from_col``) must be non-decreasing in
     ``order``; it only decides how a key's snapshots are split across tasks, never
-    the result."""
+    the result. One (key, bucket) still sorts in one task, so for entities that
+    take bursts of snapshots pass a finer bucket (day, hour)."""
     bucket = bucket if bucket is not None else (F.year(from_col) * 12 + F.month(from_col))
     state = F.struct(*[F.col(c) for c in tracked])  # compared exactly, no hash collisions
     s = _bucketed_neighbor(snapshots.withColumn("__h", state), keys, order, bucket, F.col("__h"), "lag", "__prev")
