@@ -98,15 +98,22 @@ def overlay_added(base: DataFrame, update: DataFrame, keys: Sequence[str]) -> Da
 
 
 def scd2(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str],
-         from_col: str, bucket: Column | None = None) -> DataFrame:
+         from_col: str, bucket: Column | None = None, hot_rows: int | None = None) -> DataFrame:
     """History rows from ordered snapshots. A new version starts whenever the
     tracked values change; ``_effective_to`` is the next version's start.
 
     ``bucket`` (default: calendar month of ``from_col``) must be non-decreasing in
     ``order``; it only decides how a key's snapshots are split across tasks, never
-    the result. One (key, bucket) still sorts in one task, so for entities that
-    take bursts of snapshots pass a finer bucket (day, hour)."""
-    bucket = bucket if bucket is not None else (F.year(from_col) * 12 + F.month(from_col))
+    the result. With ``hot_rows`` set, every (key, month) holding more snapshots
+    than that is refined to day buckets (found with a partial-aggregated count), so
+    a burst inside one month is spread as well."""
+    month = F.year(from_col) * 12 + F.month(from_col)
+    if bucket is None and hot_rows is not None:
+        hot = (snapshots.groupBy(*keys, month.alias("__m")).count().filter(F.col("count") > hot_rows)
+               .select(*keys, "__m", F.lit(True).alias("__hot")))
+        snapshots = snapshots.withColumn("__m", month).join(hot, [*keys, "__m"], "left").drop("__m")
+        bucket = month * 32 + F.when(F.col("__hot"), F.dayofmonth(from_col)).otherwise(0)
+    bucket = bucket if bucket is not None else month
     state = F.struct(*[F.col(c) for c in tracked])  # compared exactly, no hash collisions
     s = _bucketed_neighbor(snapshots.withColumn("__h", state), keys, order, bucket, F.col("__h"), "lag", "__prev")
     v = s.filter(F.col("__prev").isNull() | ~F.col("__prev").eqNullSafe(F.col("__h")))

@@ -240,10 +240,14 @@ h AS (SELECT o_custkey, o_orderpriority, d AS _effective_from,
 """
 
 
+HOT_SNAPSHOTS = 100_000
+
+
 def _history(spark, sf):
     o = Tables(spark, sf).orders.select("o_custkey", "o_orderpriority", "o_orderkey",
                                        F.to_date("o_orderdate").alias("d"), "o_orderdate")
-    return MG.scd2(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderpriority"], "d")
+    # customers with more than HOT_SNAPSHOTS orders in one month get day buckets
+    return MG.scd2(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderpriority"], "d", hot_rows=HOT_SNAPSHOTS)
 
 
 @query("scd2_history", sql=f"WITH {_SCD2_SQL} SELECT * FROM h")

@@ -48,7 +48,11 @@ def test_keep_one_plans_partial_aggregation(spark):
 def test_scd2_hot_key_matches_brute_force(spark):
     rows = _rows()
     df = spark.createDataFrame(rows, "k int, d date, i int, s string")
-    h = MG.scd2(df, ["k"], ["d", "i"], ["s"], "d")
+    for hot_rows in (None, 3):  # month buckets, and months refined to days where a key is hot
+        _check_scd2(MG.scd2(df, ["k"], ["d", "i"], ["s"], "d", hot_rows=hot_rows), rows)
+
+
+def _check_scd2(h, rows):
     def key(t):
         return (t[0], t[1], t[2] or dt.date.max, t[3], t[4])
 
