@@ -126,8 +126,7 @@ def fixed_width_parse(spark, sf):
                                     F.concat_ws(" / ", "o_orderpriority", "o_orderstatus")))))
     staged = _stage(spark, o.select(line.alias("value")), "fixed_width")
     rows = TX.fixed_width(staged, FIXED_SPANS, min_len=MIN_LINE)
-    flag = F.when(F.col("flag").isin("0", "1"), F.col("flag") == "1") \
-            .otherwise(F.raise_error(F.concat(F.lit("bad billable flag: "), F.col("flag"))).cast("boolean"))
+    flag = TX.strict_flag(F.col("flag"), "billable flag")
     short = F.trim("short")
     return rows.select(F.col("order_no").cast("bigint").alias("order_no"), F.trim("code").alias("code"),
                        flag.alias("is_billable"), short.alias("short_description"),

@@ -39,6 +39,12 @@ def fixed_width(lines: DataFrame, spans: Mapping[str, tuple[int, int | None]], *
     return df.select(*cols)
 
 
+def strict_flag(flag: Column, what: str = "flag") -> Column:
+    """A '0'/'1' flag as boolean; any other value fails the job (naming it)."""
+    return F.when(flag.isin("0", "1"), flag == "1").otherwise(
+        F.raise_error(F.concat(F.lit(f"bad {what}: "), F.coalesce(flag, F.lit("NULL")))).cast("boolean"))
+
+
 def code_title(lines: DataFrame, code_pattern: str) -> DataFrame:
     """Keep lines shaped ``<code> <title>`` (banners and notes fail the pattern)."""
     pat = rf"^\s*({code_pattern})\s+(\S.*?)\s*$"

@@ -168,3 +168,18 @@ def test_conform_region(spark):
     got = {(r.t, r.c): r.geoid for r in K.conform_region(df, "t", "c", state_map, {"18511": "11001"}).collect()}
     assert got == {("ste", "02"): "04", ("cty", "02001"): "04001", ("cty", "18511"): "11001", ("cty", "99001"): None,
                    ("cty", "0201x"): None, ("xx", "01"): None}
+
+
+def test_fixed_width_layout_and_bad_flag(spark):
+    from pyspark.sql import Row
+    from tessera.sources import text as TX
+    spans = {"code": (1, 7), "flag": (9, 1), "short": (11, 10), "long": (22, None)}
+    lines = ["A000001 1 Short one  Long text one", "A000002 0 Short two  ", "HEADER", "B000003 1 Third      "]
+    df = TX.fixed_width(spark.createDataFrame([Row(value=x) for x in lines]), spans, min_len=16)
+    rows = {r.code: (r.flag, r.short.strip(), (r.long or "").strip()) for r in df.collect()}
+    assert rows == {"A000001": ("1", "Short one", "Long text one"), "A000002": ("0", "Short two", ""),
+                    "B000003": ("1", "Third", "")}  # the short HEADER line is skipped
+    flag = TX.strict_flag(F.col("flag"), "billable flag")
+    bad = TX.fixed_width(spark.createDataFrame([Row(value="C000004 7 Bad flag   ")]), spans, min_len=16)
+    with pytest.raises(Exception, match="bad billable flag"):
+        bad.select(flag).collect()
