@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
-def conform_distinct(fact: DataFrame, code_cols: Sequence[str], conform: callable,
+def conform_distinct(fact: DataFrame, code_cols: Sequence[str], conform: Callable[[DataFrame], DataFrame],
                      out_col: str) -> DataFrame:
     """Conform each distinct code combination once, then join the result back.
 
