@@ -1,9 +1,12 @@
 """Ranking, keep-one and rolling operators.
 
 Keep-one-per-key operators are written as ``min``/``max`` over a struct whose
-leading fields are the ordering keys: a hash aggregate with map-side partial
+leading fields are the ordering keys: an aggregate with map-side partial
 aggregation, so a key holding a third of all rows is pre-reduced on every
-partition instead of being sorted whole inside one task.
+partition instead of being sorted whole inside one task. (A struct buffer is not
+a fixed-width hash-map slot, so Spark plans it as a partial + final sort-based
+aggregate; both phases spill, and the partial phase still cuts every key to one
+row per partition before the shuffle.)
 """
 
 from __future__ import annotations
