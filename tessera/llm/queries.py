@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import chat_formatting, exact_dedup, quality_rules, sharding
+from tessera.llm import byte_bpe, chat_formatting, exact_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +63,13 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_formatting.rotate_perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 20 words that also start earlier, removed from all documents."""
+    done = substring_dedup.substring_dedup(_documents(spark, sf_dir))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 #: Production shards: 24 of equal weight; one more when the set grows.
 SHARDS = {s: 1.0 for s in range(24)}
 GROWN = {24: 1.0}
@@ -72,6 +81,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.rendezvous_shards(_documents(spark, sf_dir), SHARDS, GROWN)
 
 
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word BPE tokens of all documents."""
+    return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op7_quality_rules", r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
@@ -97,3 +112,15 @@ SELECT *, fail_bits % 4 <> 0 AS base_failed, 'v2' AS policy, fail_bits = 0 AS ke
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of all documents under policy v2."""
     return quality_rules.apply_policy(quality_rules.quality_ledger(_documents(spark, sf_dir)), "v2")
+
+
+@query("op8_bpe_round_trip")
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte BPE ids of all documents, and the texts decoded from them."""
+    return byte_bpe.round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 word BPE tokens."""
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))

@@ -50,8 +50,9 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[id_col].alias("id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
 
 
-def unique_ids(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` (id, text, ...) with ``rid``, a unique, non-null long in the order of the ids.
+def unique_ids(rows: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """``rows`` (id, text, ...) with ``rid``, a unique, non-null long in the order of the ids, and
+    whether ``rid`` is the id itself.
 
     Integer ids without repeats or nulls are used as they are. Otherwise the rows are sorted
     by (id, nulls last, text hash), numbered in that order and staged; rows that repeat an id
@@ -60,9 +61,9 @@ def unique_ids(rows: DataFrame, name: str) -> DataFrame:
     plain = dict(rows.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint")
     odd = F.col("id").isNull() | (F.col("n") > 1)
     if plain and rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(odd).isEmpty():
-        return rows.withColumn("rid", F.col("id").cast("long"))
+        return rows.withColumn("rid", F.col("id").cast("long")), True
     ordered = rows.orderBy(F.col("id").asc_nulls_last(), F.xxhash64("text"))
-    return stage(ordered.withColumn("rid", F.monotonically_increasing_id()), name)
+    return stage(ordered.withColumn("rid", F.monotonically_increasing_id()), name), False
 
 
 def let(value: Column, body) -> Column:
