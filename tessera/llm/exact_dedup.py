@@ -48,7 +48,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
                              .otherwise(F.concat("h", F.lit(":"), F.hex("sha")))))
 
     best = F.min(F.struct((-F.col("n_chars")).alias("c"), F.col("id").isNull().alias("no_id"), "id", "tag"))
-    groups = keyed.groupBy("g").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    # staged, so that both sides of the join are plain exchanges, of which AQE can split a hot one
+    groups = stage(keyed.groupBy("g").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "exact-groups")
     return keyed.join(groups, "g").select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("tag") == F.col("best.tag")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, chat_formatting, exact_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
+from tessera.llm import byte_bpe, chat_formatting, exact_dedup, lm_scoring, packing, quality_rules, sharding, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.rendezvous_shards(_documents(spark, sf_dir), SHARDS, GROWN)
 
 
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under a trigram automaton of the training documents."""
+    return lm_scoring.score_documents(_documents(spark, sf_dir))
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word BPE tokens of all documents."""
