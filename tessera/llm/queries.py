@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, chat_formatting, exact_dedup, lm_scoring, packing, quality_rules, sharding, substring_dedup, token_counts
+from tessera.llm import byte_bpe, chat_formatting, exact_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,9 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 word BPE tokens."""
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_minhash_near_dedup")
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, five-word shingles, similarity 0.85."""
+    return near_dedup.near_dedup(_documents(spark, sf_dir), threshold=85)
