@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.rows import WORD_GAP, let
 
 WINDOW = 8
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper")
 SYMBOLS = "#*$%&|<>"
 
-#: Every rule once, as (name, failing condition over the measurements); the position is its bit.
-RULES: tuple[tuple[str, str], ...] = (
-    ("few_words", "n_words < 20"),
-    ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
-    ("symbols", "10 * n_symbols > n_words"),
-    ("duplicate_lines", "2 * n_dup_lines > n_lines"),
-    ("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
-    ("shouting", "2 * n_upper > n_letters"),
+#: Every rule once, as (name, failing condition over the measurements m); the position is its bit.
+RULES: tuple[tuple[str, Callable[[Column], Column]], ...] = (
+    ("few_words", lambda m: m["n_words"] < 20),
+    ("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
+    ("symbols", lambda m: 10 * m["n_symbols"] > m["n_words"]),
+    ("duplicate_lines", lambda m: 2 * m["n_dup_lines"] > m["n_lines"]),
+    ("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"])),
+    ("shouting", lambda m: 2 * m["n_upper"] > m["n_letters"]),
 )
 
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
@@ -55,13 +58,14 @@ def _repeat_words(words: Column) -> Column:
     return let(words, count)
 
 
-def quality_ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality_ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """Measurements and failure bits of every document, each rule evaluated once.
 
     Returns one row per input row: (``id_col``, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, n_lines, n_letters, n_upper, fail_bits). Bit i of ``fail_bits`` is set if
     rule i of ``RULES`` fails. One narrow pass: no shuffle, no Python; windows are compared
-    by a 64-bit hash inside their document.
+    by a 64-bit hash inside their document. With ``carry`` the input row comes along as the
+    struct ``row``, so that documents can be filtered without a join.
 
     Null text counts as empty and has no words. Null ids and repeated rows pass through. An
     empty table gives no rows.
@@ -75,15 +79,21 @@ def quality_ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         long(_repeat_words(w), "n_repeat_words")))
     by_line = let(lines, lambda x: F.struct(
         long(F.size(x), "n_lines"), long(F.size(x) - F.size(F.array_distinct(x)), "n_dup_lines")))
-    rows = df.select(
-        df[id_col].alias("id"), counts.alias("c"), by_line.alias("l"),
+    measured = let(F.struct(counts.alias("c"), by_line.alias("l")), lambda x: F.struct(
+        *[x["c"][n].alias(n) for n in ("n_words", "word_chars", "n_repeat_words")],
+        *[x["l"][n].alias(n) for n in ("n_lines", "n_dup_lines")],
         long(F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, "")), "n_symbols"),
         long(F.regexp_count(text, F.lit(r"\p{L}")), "n_letters"),
-        long(F.regexp_count(text, F.lit(r"\p{Lu}")), "n_upper"))
-    rows = rows.select("id", "c.*", "l.*", "n_symbols", "n_letters", "n_upper")
-    bits = sum((F.when(F.expr(cond), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, cond) in enumerate(RULES)), F.lit(0))
-    return rows.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       "n_lines", "n_letters", "n_upper", bits.cast("int").alias("fail_bits"))
+        long(F.regexp_count(text, F.lit(r"\p{Lu}")), "n_upper")))
+
+    def ledger(m: Column) -> Column:
+        bits = sum((F.when(fails(m), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, fails) in enumerate(RULES)), F.lit(0))
+        return F.struct(*[m[n].alias(n) for n in MEASURES], bits.alias("fail_bits"))
+
+    # one expression yields the whole ledger: a filter on it that is pushed down costs it once
+    own = [F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []
+    rows = df.select(df[id_col].alias("id"), *own, let(measured, ledger).alias("m"))
+    return rows.select(F.col("id").alias(id_col), *(["row"] if carry else []), "m.*")
 
 
 def apply_policy(ledger: DataFrame, version: str) -> DataFrame:

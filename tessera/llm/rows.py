@@ -50,20 +50,31 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[id_col].alias("id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
 
 
-def unique_ids(rows: DataFrame, name: str) -> tuple[DataFrame, bool]:
-    """``rows`` (id, text, ...) with ``rid``, a unique, non-null long in the order of the ids, and
-    whether ``rid`` is the id itself.
+def _unique(ids: DataFrame) -> bool:
+    """Whether the one column ``id`` holds integers without nulls or repeats."""
+    if dict(ids.dtypes)["id"] not in ("tinyint", "smallint", "int", "bigint"):
+        return False
+    return ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("id").isNull() | (F.col("n") > 1)).isEmpty()
+
+
+def with_row_key(df: DataFrame, id_col: str, text_col: str, name: str) -> tuple[DataFrame, str]:
+    """``df`` and the name of a column with a unique, non-null long per row, in the order of the ids.
 
-    Integer ids without repeats or nulls are used as they are. Otherwise the rows are sorted
-    by (id, nulls last, text hash), numbered in that order and staged; rows that repeat an id
-    are then separate documents, the later of two equal rows counting as the larger id.
+    Integer ids without repeats or nulls serve as they are. Otherwise the rows are sorted by
+    (id, nulls last, text hash), numbered in that order and staged; rows that repeat an id are
+    then separate documents, the later of two equal rows counting as the larger id.
     """
-    plain = dict(rows.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint")
-    odd = F.col("id").isNull() | (F.col("n") > 1)
-    if plain and rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(odd).isEmpty():
-        return rows.withColumn("rid", F.col("id").cast("long")), True
-    ordered = rows.orderBy(F.col("id").asc_nulls_last(), F.xxhash64("text"))
-    return stage(ordered.withColumn("rid", F.monotonically_increasing_id()), name), False
+    if _unique(df.select(df[id_col].alias("id"))):
+        return df, id_col
+    key = f"row_{uuid.uuid4().hex[:8]}"
+    ordered = df.orderBy(df[id_col].asc_nulls_last(), F.xxhash64(df[text_col]))
+    return stage(ordered.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
+def unique_ids(rows: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """``rows`` (id, text) with the row key as ``rid``, and whether ``rid`` is the id itself."""
+    keyed, key = with_row_key(rows, "id", "text", name)
+    return keyed.select("id", "text", keyed[key].cast("long").alias("rid")), key == "id"
 
 
 def let(value: Column, body) -> Column:
