@@ -136,8 +136,7 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
     crowded = stage(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("center"))
                     .where("n > 1"), "near-buckets")
     placed = stage(rows.join(crowded, ["band", "key"]).select("band", "key", "rid", "center", "n"), "near-places")
-    some = stage(placed.select("rid").distinct(), "near-candidates")
-    sketches = stage(reps.join(some, "rid"), "near-candidate-sketches")
+    sketches = stage(reps.join(placed.select("rid"), "rid", "left_semi"), "near-candidates")
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -146,7 +145,7 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
                 rows = [s.tobytes() for s in shingle_sets(texts[lo:hi], shingle)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(rows, pa.binary())], ["rid", "items"])
 
-    sets = stage(text.join(some, "rid").mapInArrow(full_sets, "rid long, items binary"), "near-sets")
+    sets = stage(text.join(sketches.select("rid"), "rid").mapInArrow(full_sets, "rid long, items binary"), "near-sets")
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -182,14 +181,14 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
             name, F.coalesce("_c", node)).drop("_c")
 
     # step 3: buckets that still hold several components
-    marked = stage(labelled(labelled(placed, "rid", "part"), "center", "middle"), "near-marked")
-    alone = F.col("part") != F.col("middle")
-    mixed = stage(marked.where(alone).groupBy("band", "key").agg(F.count(F.lit(1)).alias("n_alone")), "near-mixed")
-    both = marked.join(mixed, ["band", "key"]).join(sketches, "rid")
+    marked = labelled(labelled(placed, "rid", "part"), "center", "middle").withColumn("alone", F.col("part") != F.col("middle"))
+    several = marked.where("alone").groupBy("band", "key").agg(F.count(F.lit(1)).alias("n_alone"))
+    mixed = stage(marked.join(several, ["band", "key"]).select("band", "key", "rid", "part", "alone", "n", "n_alone"), "near-mixed")
+    both = mixed.join(sketches, "rid")
     spread = lambda n: F.pmod(F.xxhash64("rid"), F.ceil(n / F.lit(BLOCK)))
     every = lambda n: F.sequence(F.lit(0).cast("long"), F.ceil(n / F.lit(BLOCK)) - 1)
     side = ["band", "key", "rid", "part", "sketch"]
-    asked = both.where(alone).select(*side, F.lit(True).alias("ask"), spread(F.col("n_alone")).alias("i"), F.explode(every(F.col("n"))).alias("j"))
+    asked = both.where("alone").select(*side, F.lit(True).alias("ask"), spread(F.col("n_alone")).alias("i"), F.explode(every(F.col("n"))).alias("j"))
     held = both.select(*side, F.lit(False).alias("ask"), F.explode(every(F.col("n_alone"))).alias("i"), spread(F.col("n")).alias("j"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
