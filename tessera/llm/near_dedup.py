@@ -19,6 +19,8 @@ from tessera.llm.rows import id_and_text, ship_package, stage, unique_ids
 ROWS = 8
 #: A pair at the threshold shares no band with at most this probability.
 MISS = 1e-6
+#: Times the coordinates that a second sketch has, for members that have to be compared in earnest.
+WIDE = 4
 #: Members of a bucket that are compared in one piece.
 BLOCK = 2048
 
@@ -94,7 +96,7 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
        confirmed on full sets. Components follow by star contraction.
     3. In a bucket whose members are then all in one component there is nothing left to find.
        Elsewhere, every member outside the component of the bucket's star is compared by sketch
-       with all other members, in blocks of ``BLOCK`` x ``BLOCK``; pairs of different components
+       (then by one of ``WIDE`` times the coordinates) with all other members, in blocks of ``BLOCK`` x ``BLOCK``; pairs of different components
        that pass are confirmed on full sets. So each pair that shares a bucket is either
        connected already or tested, while only pairs that matter are made into rows.
 
@@ -104,7 +106,8 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
     ship_package(df.sparkSession)
     bands = n_bands(threshold / 100)
     t = bands * ROWS
-    cut = threshold / 100 - 5 * math.sqrt(threshold / 100 * (1 - threshold / 100) / t)
+    spread_of = lambda coordinates: 5 * math.sqrt(threshold / 100 * (1 - threshold / 100) / coordinates)
+    cut, wide_cut = threshold / 100 - spread_of(t), threshold / 100 - spread_of(WIDE * t)
     docs, plain = unique_ids(id_and_text(df, id_col, text_col), "near-rows")
     text = docs.select("rid", "text")
 
@@ -184,7 +187,16 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
     marked = labelled(labelled(placed, "rid", "part"), "center", "middle").withColumn("alone", F.col("part") != F.col("middle"))
     several = marked.where("alone").groupBy("band", "key").agg(F.count(F.lit(1)).alias("n_alone"))
     mixed = stage(marked.join(several, ["band", "key"]).select("band", "key", "rid", "part", "alone", "n", "n_alone"), "near-mixed")
-    both = mixed.join(sketches, "rid")
+
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [fast_sketch(np.frombuffer(x, np.uint64), WIDE * t).tobytes() for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), _longs(rows, WIDE * bands)], ["rid", "sketch", "wide"])
+
+    members_left = sets.join(mixed.select("rid"), "rid", "left_semi").join(sketches, "rid").select("rid", "items", "sketch")
+    wide = stage(members_left.mapInArrow(widen, "rid long, sketch array<long>, wide array<long>"), "near-wide")
+    both = mixed.join(wide.select("rid", F.concat("sketch", "wide").alias("sketch")), "rid")
     spread = lambda n: F.pmod(F.xxhash64("rid"), F.ceil(n / F.lit(BLOCK)))
     every = lambda n: F.sequence(F.lit(0).cast("long"), F.ceil(n / F.lit(BLOCK)) - 1)
     side = ["band", "key", "rid", "part", "sketch"]
@@ -196,12 +208,13 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
         def run(rid, part, ask, sk, band) -> tuple[np.ndarray, np.ndarray]:
             us, vs = [], []
             q, d = np.flatnonzero(ask), np.flatnonzero(~ask)
-            long = np.ascontiguousarray(sk).view(np.uint64)
+            long = sk.view(np.uint64)
             for k in q:
                 near = d[(part[d] != part[k])]
                 if band:  # an earlier band has shown this pair
                     near = near[~(long[near, :band] == long[k, :band]).any(1)]
-                near = near[(sk[near] == sk[k]).mean(1) >= cut]
+                near = near[(sk[near, :t] == sk[k, :t]).mean(1) >= cut]
+                near = near[(sk[near, t:] == sk[k, t:]).mean(1) >= wide_cut]
                 us.append(np.maximum(rid[near], rid[k]))
                 vs.append(np.minimum(rid[near], rid[k]))
             return np.concatenate(us) if us else rid[:0], np.concatenate(vs) if vs else rid[:0]
@@ -218,7 +231,7 @@ def near_dedup(df: DataFrame, threshold: int = 80, shingle: int = 5, id_col: str
         for b in batches:
             keys = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(4)], 1)
             rid, part = b.column(4).to_numpy(), b.column(5).to_numpy()
-            ask, sk = b.column(6).to_numpy(zero_copy_only=False), _matrix(b.column(7), bands)
+            ask, sk = b.column(6).to_numpy(zero_copy_only=False), _matrix(b.column(7), (1 + WIDE) * bands)
             edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if hi == lo:

@@ -74,7 +74,7 @@ def with_row_key(df: DataFrame, id_col: str, text_col: str, name: str) -> tuple[
 def unique_ids(rows: DataFrame, name: str) -> tuple[DataFrame, bool]:
     """``rows`` (id, text) with the row key as ``rid``, and whether ``rid`` is the id itself."""
     keyed, key = with_row_key(rows, "id", "text", name)
-    return keyed.select("id", "text", keyed[key].cast("long").alias("rid")), key == "id"
+    return keyed.select(keyed[key].cast("long").alias("rid"), "id", "text"), key == "id"
 
 
 def let(value: Column, body) -> Column:

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bpe import pieces
 from tessera.llm.rolling import BASE_A, BASE_B, BASE_K, mix, sliding, windows, word_hashes
-from tessera.llm.rows import id_and_text, ship_package, unique_ids
+from tessera.llm.rows import WORD_GAP, id_and_text, ship_package, stage, unique_ids
 
 #: Words in a sub-window by whose smallest hash windows are paired before they are counted.
 SUB = 8
 #: What a task gathers before it combines and sends (occurrences or windows).
 FLUSH = 1_500_000
+#: Stands for all windows of a document.
+WHOLE = -1
 
 
 class _Group:
@@ -66,7 +68,8 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
     ``removed`` holds maximal intervals [start, end) of word numbers, ``kept_text`` the kept
     words joined by one space.
 
-    Every window gets a Rabin-Karp hash of its words (128 bits). Before windows are counted,
+    Of documents with equal word sequences only the smallest id goes on; the others lose all
+    their windows. Every window gets a Rabin-Karp hash of its words (96 bits). Before windows are counted,
     they are paired by the smallest hash of their ``sub``-word sub-windows: equal windows have
     equal smallest sub-windows, so a window whose smallest sub-window stands at one place of
     the corpus is provably single and need not be sent. This changes no result and cuts the
@@ -80,7 +83,14 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
     """
     ship_package(df.sparkSession)
     docs, plain = unique_ids(id_and_text(df, id_col, text_col), "substring-rows")
-    text = docs.select("rid", "text")  # one exchange of it serves both joins below
+    # the filter drops nothing; with it, one exchange of the texts serves the three joins below
+    text = docs.select("rid", "text").where("rid IS NOT NULL")
+
+    digest = F.unhex(F.md5(F.trim(F.regexp_replace("text", WORD_GAP, " "))))
+    digests = stage(text.select("rid", digest.alias("d")), "substring-digests")
+    first = stage(digests.groupBy("d").agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "substring-first")
+    copies = stage(digests.join(first, "d").where("rid <> first").select("rid"), "substring-copies")
+    originals = text.join(copies, "rid", "left_anti")
 
     def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def combined(rids: list[np.ndarray], values: list[np.ndarray]) -> pa.RecordBatch:
@@ -110,7 +120,7 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
         if held:
             yield combined(rids, values)
 
-    found = text.mapInArrow(find_anchors, "key long, v long, rid long, twice boolean")
+    found = originals.mapInArrow(find_anchors, "key long, v long, rid long, twice boolean")
     by_key = Window.partitionBy("key").orderBy("rid")
     again = F.col("twice") | F.lag("rid").over(by_key).isNotNull() | F.lead("rid").over(by_key).isNotNull()
     shared = (found.select(F.coalesce("v", "key").alias("v"), "rid", again.alias("again")).where("again")
@@ -122,16 +132,17 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
             order = np.lexsort((start, rid, b, a))
             a, b, rid, start = a[order], b[order], rid[order], start[order]
             first = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            later = np.flatnonzero(~first)
+            later, lead = np.flatnonzero(~first), np.flatnonzero(first)
             later = later[np.lexsort((start[later], rid[later]))]
+            lead = lead[np.lexsort((start[lead], rid[lead]))]  # neighbours share bytes, which shuffles compress
             doc, lo, hi = _runs(rid[later], start[later])
             spread = mix(mix(doc.view(np.uint64)) ^ lo.astype(np.uint64))
-            gone = np.concatenate([np.zeros(int(first.sum()), bool), np.ones(len(doc), bool)])
+            gone = np.concatenate([np.zeros(len(lead), bool), np.ones(len(doc), bool)])
+            low = np.concatenate([b[lead], spread]).astype(np.uint32).view(np.int32)
             return pa.RecordBatch.from_arrays(
-                [_signed(np.concatenate([a[first], spread])), _signed(np.concatenate([b[first], spread])),
-                 pa.array(np.concatenate([rid[first], doc])), pa.array(np.concatenate([start[first], lo]).astype(np.int32)),
-                 pa.array(np.concatenate([start[first] + 1, hi]).astype(np.int32)), pa.array(gone)],
-                ["a", "b", "rid", "s", "e", "gone"])
+                [_signed(np.concatenate([a[lead], spread])), pa.array(low), pa.array(np.concatenate([rid[lead], doc])),
+                 pa.array((np.concatenate([start[lead], lo]) << 32) + np.concatenate([start[lead] + 1, hi])), pa.array(gone)],
+                ["a", "b", "rid", "se", "gone"])
 
         held, size = [], 0
         for b in batches:
@@ -145,7 +156,7 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
                 known = part.flatten().to_numpy().view(np.uint64) ^ salt[owner]
                 pick = np.flatnonzero(g.whole & np.isin(g.low ^ salt[g.doc], known)) if len(g.doc) else g.doc
                 start = pick - g.first[g.doc[pick]]
-                held.append((windows(g.words, n, BASE_A)[pick], windows(g.words, n, BASE_B)[pick], ids[lo:hi][g.doc[pick]], start))
+                held.append((windows(g.words, n, BASE_A)[pick], windows(g.words, n, BASE_B)[pick] & np.uint64(0xFFFFFFFF), ids[lo:hi][g.doc[pick]], start))
                 size += len(pick)
                 if size > FLUSH:
                     yield combined(held)
@@ -154,10 +165,10 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
             yield combined(held)
 
     counted = text.join(shared, "rid").select("rid", "text", "anchors").mapInArrow(
-        count_windows, "a long, b long, rid long, s int, e int, gone boolean")
-    earlier = F.row_number().over(Window.partitionBy("a", "b", "gone").orderBy("rid", "s")) > 1
-    spans = (counted.select("rid", (F.shiftleft(F.col("s").cast("long"), 32) + F.col("e")).alias("se"),
-                            (F.col("gone") | earlier).alias("out")).where("out")
+        count_windows, "a long, b int, rid long, se long, gone boolean")
+    earlier = F.row_number().over(Window.partitionBy("a", "b", "gone").orderBy("rid", "se")) > 1
+    spans = (counted.select("rid", "se", (F.col("gone") | earlier).alias("out")).where("out").select("rid", "se")
+             .unionAll(copies.select("rid", F.lit(WHOLE).alias("se")))
              .groupBy("rid").agg(F.collect_list("se").alias("spans")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +180,12 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
                 gaps: list[dict] = []
                 if spans[i].is_valid:
                     se = spans[i].values.to_numpy()
+                    if se[0] == WHOLE:  # an equal document stands earlier: all windows, if it has any
+                        se = np.array([max(len(words) - n + 1, 0)])
                     change = np.zeros(len(words) + 1, dtype=np.int64)
-                    np.add.at(change, se >> 32, 1)
-                    np.add.at(change, (se & 0xFFFFFFFF) + n - 1, -1)
+                    lo, hi = se >> 32, se & 0xFFFFFFFF
+                    np.add.at(change, lo[hi > lo], 1)
+                    np.add.at(change, hi[hi > lo] + n - 1, -1)
                     out = np.cumsum(change)[:-1] > 0
                     edge = np.diff(out.view(np.int8), prepend=0, append=0)
                     gaps = [{"start": x, "end": y} for x, y in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)]
