@@ -54,7 +54,7 @@ def positional_decode(key, level) -> Column:
     """Decode a ``G``-prefixed positional key into the plain id for its level.
     NULL when the key is malformed for the level or the level is unknown."""
     g = F.upper(F.trim(_c(key)))
-    body = F.substring(g, 2, 1000)
+    body = F.substr(g, F.lit(2))
     lvl = _c(level)
     out = None
     for name, (blen, spans) in POSITIONAL_LEVELS.items():
@@ -90,7 +90,7 @@ def dotted(x, category_len: int = 3, e_category_len: int | None = None, upper: b
     if e_category_len is not None:
         cat = F.when(s.startswith("E"), F.lit(e_category_len)).otherwise(cat)
     return F.when(F.length(s) <= cat, s).otherwise(
-        F.concat(s.substr(F.lit(1), cat), F.lit("."), s.substr(cat + 1, F.lit(1000))))
+        F.concat(s.substr(F.lit(1), cat), F.lit("."), F.substr(s, cat + 1)))
 
 
 # --- F7: format validators (fixed values: the published code shapes) ----------------
@@ -167,33 +167,51 @@ def snake_label(x) -> Column:
 # --- F12: accent-insensitive name key ---------------------------------------------
 
 def name_key(x) -> Column:
-    """Lower, strip diacritics, runs of non-alphanumerics -> one space, empty -> NULL.
+    """Compatibility decomposition without combining marks, lower-cased; runs of anything
+    but a-z and 0-9 become one space; empty -> NULL.
 
-    Diacritics are removed by Unicode NFKD decomposition (built-in ``normalize``
-    is not available as a Column function, so ``translate`` maps the Latin-1 and
-    Latin Extended-A accented letters to their bases — see ``ACCENT_FROM``)."""
-    s = F.translate(F.lower(_c(x)), ACCENT_FROM, ACCENT_TO)
+    No built-in decomposes, so the two tables below state its outcome for every character
+    that yields an ASCII letter or digit: ``translate`` handles one-to-one forms and drops
+    marks; the rare forms of several characters (ligatures, fractions) are looked up character by
+    character, only in texts that hold one."""
+    s = _c(x)
+    forms = F.create_map(*[F.lit(v) for kv in MULTI_FORMS.items() for v in kv])
+    spelled = F.array_join(F.transform(F.split(s, ""), lambda ch: F.coalesce(forms[ch], ch)), "")
+    s = F.when(s.rlike(f"[{''.join(MULTI_FORMS)}]"), spelled).otherwise(s)
+    s = F.lower(F.translate(s, SINGLE_FORMS + MARKS, SINGLE_BASES))
     s = F.trim(F.regexp_replace(s, r"[^a-z0-9]+", " "))
     return F.when(s != "", s)
 
 
-def _accent_map() -> tuple[str, str]:
-    """Lower-case accented Latin letters and their NFKD base letter, generated from
-    the Unicode database so the mapping is exactly NFKD-then-drop-marks."""
+def _decomposed_forms() -> tuple[str, str, str, dict[str, str]]:
+    """From the Unicode database: characters with a one-character ASCII outcome, these outcomes,
+    all combining marks, and characters whose outcome is longer."""
+    import sys
     import unicodedata
-    src, dst = [], []
-    for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
+    one, base, marks, many = [], [], [], {}
+    for cp in range(0x80, sys.maxunicode + 1):
         ch = chr(cp)
-        if ch != ch.lower():
+        if unicodedata.combining(ch):
+            marks.append(ch)
+            continue
+        if not unicodedata.decomposition(ch):
+            continue
+        out = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        if not out:  # made of marks alone
+            marks.append(ch)
+            continue
+        ascii_only = "".join(c if c.isascii() and c.isalnum() else " " for c in out)
+        if not ascii_only.strip():
             continue
-        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if base != ch and len(base) == 1 and base.isascii():
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
+        if len(out) == 1:
+            one.append(ch)
+            base.append(out)
+        else:
+            many[ch] = ascii_only
+    return "".join(one), "".join(base), "".join(marks), many
 
 
-ACCENT_FROM, ACCENT_TO = _accent_map()
+SINGLE_FORMS, SINGLE_BASES, MARKS, MULTI_FORMS = _decomposed_forms()
 
 
 # --- F13 / F14: ISO code checks -------------------------------------------------------
@@ -243,8 +261,8 @@ def primary_code(x) -> Column:
 def secondary_code(x) -> Column:
     """Dotted secondary code: ``10`` -> ``10.0``; ``99``/``99.x`` -> ``99``; no rounding."""
     s = F.trim(_c(x).cast("string"))
-    whole = F.substring_index(s, ".", 1).cast("int")
-    frac = F.when(F.instr(s, ".") > 0, F.substring(s, F.instr(s, ".") + 1, 1000)).otherwise(F.lit("0"))
+    whole = F.substring_index(s, ".", 1).try_cast("int")
+    frac = F.when(F.instr(s, ".") > 0, F.substr(s, F.instr(s, ".") + 1)).otherwise(F.lit("0"))
     return F.when(s == "", None).when(whole == 99, F.lit("99")).otherwise(
         F.concat(whole.cast("string"), F.lit("."), frac))
 
@@ -280,7 +298,7 @@ def lenient_double(x) -> Column:
 # --- F19: range suffix ---------------------------------------------------------------
 
 def strip_range_suffix(x) -> Column:
-    return F.trim(F.regexp_replace(_c(x), r"\s*\([A-Z0-9.]+-[A-Z0-9.]+\)\s*$", ""))
+    return F.trim(F.regexp_replace(_c(x), r"\s*\([A-Z0-9][A-Z0-9.\-]*\)\s*$", ""))
 
 
 # --- G2: namespace:value tags ---------------------------------------------------------
@@ -294,4 +312,4 @@ def tag_namespace(x) -> Column:
 def tag_value(x) -> Column:
     s = _c(x)
     ok = (F.instr(s, ":") > 1) & (F.instr(s, ":") < F.length(s))
-    return F.when(ok, F.substring(s, F.instr(s, ":") + 1, 1 << 20))
+    return F.when(ok, F.substr(s, F.instr(s, ":") + 1))

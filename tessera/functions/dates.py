@@ -101,20 +101,12 @@ def half_open_year_range(ts_col, start_year: int, end_year: int) -> Column:
            (c < F.lit(f"{end_year + 1}-01-01").cast("timestamp_ntz"))
 
 
-def resolve_year_window(*, start_year: int | None = None, end_year: int | None = None,
-                        recent_years: int | None = None, today_year: int) -> tuple[int, int]:
-    """Explicit (start, end) XOR a rolling window of N years ending this year."""
-    explicit = start_year is not None or end_year is not None
-    if explicit and recent_years is not None:
-        raise ValueError("give either start/end years or recent_years, not both")
-    if explicit:
-        if start_year is None or end_year is None:
-            raise ValueError("start_year and end_year must be given together")
-        if start_year > end_year:
-            raise ValueError(f"start_year {start_year} is after end_year {end_year}")
-        return start_year, end_year
-    if recent_years is None:
-        raise ValueError("no window given")
-    if recent_years < 1:
-        raise ValueError("recent_years must be >= 1")
-    return today_year - recent_years + 1, today_year
+def build_years(first: int | None = None, last: int | None = None, back: int | None = None, *, this_year: int) -> tuple[int, int]:
+    """The years of a build, both ends included: an explicit span, or this year and the
+    ``back`` years before it. Anything else (mixed, half a span, reversed, negative) is refused."""
+    given = (first is not None, last is not None, back is not None)
+    if given == (True, True, False) and first <= last:
+        return first, last
+    if given == (False, False, True) and back >= 0:
+        return this_year - back, this_year
+    raise ValueError(f"neither a span nor a number of years back: first={first}, last={last}, back={back}")

@@ -38,9 +38,8 @@ def conform_region(df: DataFrame, type_col: str, code_col: str, state_map: DataF
     """region code -> geoid. ``state_map(src, dst)`` maps the 2-digit state
     prefix; a county keeps its 3-digit suffix; listed county overrides win; an
     unmapped prefix or a malformed suffix gives NULL (for a blocking DQ check)."""
-    from tessera.operators.sizing import broadcast_if_small
     code = F.trim(F.col(code_col))
-    m = broadcast_if_small(state_map.select(F.col("src").alias("__src"), F.col("dst").alias("__fips")), 100_000)
+    m = state_map.groupBy(F.col("src").alias("__src")).agg(F.min("dst").alias("__fips"))  # one row a code
     j = df.join(m, F.substring(code, 1, 2) == F.col("__src"), "left")
     suffix = F.substring(code, 3, 3)
     ov = F.create_map(*[F.lit(x) for kv in overrides.items() for x in kv]) if overrides else None

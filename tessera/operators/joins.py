@@ -7,19 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.sizing import broadcast_if_small
 
 
 def enrich(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
-           parent_keys: Sequence[str], columns: Sequence[str], *,
-           bounded_rows: int | None = None) -> DataFrame:
-    """Left-join parent attributes onto the child.
-
-    ``bounded_rows`` — when the parent is a bounded dimension, broadcast it after a
-    size check; otherwise the optimizer (and AQE) pick the strategy."""
+           parent_keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Left-join parent attributes onto the child; the optimizer and AQE broadcast
+    the parent if its measured bytes allow."""
     p = parent.select(*[F.col(k).alias(f"__pk{i}") for i, k in enumerate(parent_keys)], *columns)
-    if bounded_rows:
-        p = broadcast_if_small(p, bounded_rows)
     cond = [F.col(c) == F.col(f"__pk{i}") for i, c in enumerate(child_keys)]
     out = child.join(p, cond, "left")
     return out.drop(*[f"__pk{i}" for i in range(len(parent_keys))])
@@ -74,17 +68,17 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
 
 
 def range_lookup(df: DataFrame, value: Column, bands: DataFrame, low: str, high: str,
-                 columns: Sequence[str], *, bounded_rows: int = 10_000) -> DataFrame:
-    """Non-equi lookup of a value into [low, high] bands.
-
-    Band tables are small by construction (chapters, classes); the size is checked
-    and the bands broadcast, so the theta join runs as a broadcast nested-loop join
-    probed per row. A band table over the bound is refused rather than planned as a
-    cartesian product."""
-    from tessera.operators.sizing import row_count_at_most
-    b = bands.select(F.col(low).alias("__lo"), F.col(high).alias("__hi"), *columns)
-    if not row_count_at_most(b, bounded_rows):
-        raise ValueError(f"band table exceeds {bounded_rows} rows; bucketize the ranges into an equi-join instead")
-    b = F.broadcast(b)
-    out = df.join(b, (value >= F.col("__lo")) & (value <= F.col("__hi")), "left")
-    return out.drop("__lo", "__hi")
+                 columns: Sequence[str]) -> DataFrame:
+    """Left lookup of a value into [low, high] bands of any number.
+
+    An equi-join on buckets of the value line, as wide as two mean bands: a band then
+    meets two and a half buckets on average, so the bands grow by a bounded factor and a
+    value meets the bands of one bucket only. The width takes one aggregate over the
+    bands, which the caller reads from storage or states literally."""
+    b = bands.select(F.col(low).alias("__lo"), F.col(high).alias("__hi"), *columns).where("__lo <= __hi")
+    span = b.agg(F.avg(F.col("__hi").cast("double") - F.col("__lo").cast("double"))).first()[0]
+    width = max(1.0, 2 * (span or 0.0))
+    bucket = lambda c: F.floor(c.cast("double") / F.lit(width))
+    b = b.withColumn("__bucket", F.explode(F.sequence(bucket(F.col("__lo")), bucket(F.col("__hi")))))
+    out = df.join(b, (bucket(value) == F.col("__bucket")) & (value >= F.col("__lo")) & (value <= F.col("__hi")), "left")
+    return out.drop("__lo", "__hi", "__bucket")

@@ -32,10 +32,11 @@ def tiered_match(targets: DataFrame, target_code: str, target_scope: str, target
     pairing inside a scope); an ambiguous name is recorded but not linked."""
     t = targets.select(F.col(target_code).alias("__code"), F.col(target_scope).alias("__scope"),
                        C.name_key(F.col(target_name)).alias("__key"))
-    cm = code_map.select(F.col("code").alias("__cm_code"), F.col(rid).alias("__code_rid"))
+    one = lambda m, key, out: m.groupBy(F.col("code").alias(key)).agg(F.min(rid).alias(out))  # noqa: E731  a repeated code links once
+    cm = one(code_map, "__cm_code", "__code_rid")
     nm = names.select(F.col(names.columns[0]).alias("__nm_scope"), F.col("key").alias("__nm_key"),
                       F.col(rid).alias("__name_rid"), F.col("ambiguous").alias("__amb"))
-    fx = fixups.select(F.col("code").alias("__fx_code"), F.col(rid).alias("__fix_rid"))
+    fx = one(fixups, "__fx_code", "__fix_rid")
     j = (t.join(cm, F.col("__code") == F.col("__cm_code"), "left")
           .join(nm, (F.col("__scope") == F.col("__nm_scope")) & (F.col("__key") == F.col("__nm_key")), "left")
           .join(fx, F.col("__code") == F.col("__fx_code"), "left"))

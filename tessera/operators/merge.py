@@ -84,9 +84,10 @@ def _bucketed_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         d = d.withColumn("__in", F.lead(value).over(w)).withColumn("__edge", F.row_number().over(wd) == 1)
         ends = d.groupBy(*keys, "__b").agg(F.min_by(value, ordered).alias("__end"))
         link = F.lead("__end").over(Window.partitionBy(*keys).orderBy("__b"))
-    # one row per (key, bucket): bounded by the number of buckets a key spans
-    ends = ends.withColumn("__link", link).drop("__end")
-    d = d.join(ends, [*keys, "__b"], "left")
+    # one row per (key, bucket): bounded by the number of buckets a key spans; keys may be null
+    ends = ends.withColumn("__link", link).select("__link", *[F.col(k).alias(f"__k_{k}") for k in [*keys, "__b"]])
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in [*keys, "__b"]]
+    d = d.join(ends, same, "left").drop(*[f"__k_{k}" for k in [*keys, "__b"]])
     return d.withColumn(out, F.when(F.col("__edge"), F.col("__link")).otherwise(F.col("__in"))) \
             .drop("__b", "__in", "__edge", "__link")
 
@@ -98,26 +99,21 @@ def overlay_added(base: DataFrame, update: DataFrame, keys: Sequence[str]) -> Da
 
 
 def scd2(snapshots: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str],
-         from_col: str, bucket: Column | None = None, hot_rows: int | None = None) -> DataFrame:
+         from_col: str, bucket: Column | None = None) -> DataFrame:
     """History rows from ordered snapshots. A new version starts whenever the
     tracked values change; ``_effective_to`` is the next version's start.
 
-    ``bucket`` (default: calendar month of ``from_col``) must be non-decreasing in
-    ``order``; it only decides how a key's snapshots are split across tasks, never
-    the result. With ``hot_rows`` set, every (key, month) holding more snapshots
-    than that is refined to day buckets (found with a partial-aggregated count), so
-    a burst inside one month is spread as well."""
-    month = F.year(from_col) * 12 + F.month(from_col)
-    if bucket is None and hot_rows is not None:
-        hot = (snapshots.groupBy(*keys, month.alias("__m")).count().filter(F.col("count") > hot_rows)
-               .select(*keys, "__m", F.lit(True).alias("__hot")))
-        snapshots = snapshots.withColumn("__m", month).join(hot, [*keys, "__m"], "left").drop("__m")
-        bucket = month * 32 + F.when(F.col("__hot"), F.dayofmonth(from_col)).otherwise(0)
-    bucket = bucket if bucket is not None else month
+    ``bucket`` (default: the day of ``from_col``) must be non-decreasing in ``order``; it
+    only decides how a key's snapshots are split across tasks, never the result. The
+    projected snapshots and the version starts are checkpointed once each, so the
+    source is read a single time. Null keys are a key like others."""
+    bucket = bucket if bucket is not None else F.datediff(F.col(from_col), F.lit("1970-01-01"))
+    names = list(dict.fromkeys([*keys, *order, *tracked, from_col]))
+    snapshots = snapshots.select(*names).checkpoint()
     state = F.struct(*[F.col(c) for c in tracked])  # compared exactly, no hash collisions
     s = _bucketed_neighbor(snapshots.withColumn("__h", state), keys, order, bucket, F.col("__h"), "lag", "__prev")
     v = s.filter(F.col("__prev").isNull() | ~F.col("__prev").eqNullSafe(F.col("__h")))
-    v = v.withColumn("__first", F.col("__prev").isNull())
+    v = v.withColumn("__first", F.col("__prev").isNull()).drop("__prev", "__h").checkpoint()
     v = _bucketed_neighbor(v, keys, order, bucket, F.col(from_col), "lead", "_effective_to")
     return v.select(*keys, *tracked, F.col(from_col).alias("_effective_from"), "_effective_to",
                     F.col("_effective_to").isNull().alias("_is_current"),

@@ -11,7 +11,6 @@ from tessera.functions import dates as D
 from tessera.operators import aggregates as A
 from tessera.operators import conform as K
 from tessera.operators import joins as J
-from tessera.operators.sizing import broadcast_if_small
 from tessera.plans.registry import query
 from tessera.sources.tables import Tables
 
@@ -230,22 +229,15 @@ def vectorised_name_key(spark, sf):
     from pyspark.sql.functions import pandas_udf
 
     # defined here (not at module level) so it is shipped to the Python workers by
-    # value: the workers need numpy/pandas/unicodedata, not this package
-    def nfkd_key(s: pd.Series) -> pd.Series:
-        import re
-        import unicodedata
-        pat = re.compile(r"[^a-z0-9]+")
-
-        def one(v):
-            if v is None:
-                return None
-            dec = unicodedata.normalize("NFKD", v)
-            stripped = "".join(ch for ch in dec if not unicodedata.combining(ch))
-            out = pat.sub(" ", stripped.lower()).strip()
-            return out or None
-        return s.map(one)
-
-    key = pandas_udf(nfkd_key, T.StringType())
+    # value: the workers need pandas, not this package
+    def batch_key(names: pd.Series) -> pd.Series:
+        marks = "[" + "".join(MARKS_IN_BATCH) + "]+"
+        plain = names.str.normalize("NFKD").str.replace(marks, "", regex=True).str.lower()
+        key = plain.str.replace("[^a-z0-9]+", " ", regex=True).str.strip()
+        return key.where(key != "", None)
+
+    MARKS_IN_BATCH = list(C.MARKS)
+    key = pandas_udf(batch_key, T.StringType())
     c = Tables(spark, sf).conversations
     return c.select("conv_id", "turn", key("text").alias("name_key"))
 
@@ -403,14 +395,14 @@ LEFT JOIN a ON s.scheme_version = a.v AND o.code = a.code
 """)
 def versioned_vocab(spark, sf):
     """Vintage -> scheme version -> allowed codes, two lookups against tiny
-    literal tables (broadcast after the size check)."""
+    literal tables."""
     o = Tables(spark, sf).orders
     versions = spark.createDataFrame(list(SCHEME_BY_VINTAGE), "lo int, hi int, scheme_version string")
     allowed = spark.createDataFrame([(v, c) for v, cs in ALLOWED_CODES.items() for c in cs], "v string, a_code int")
     o = o.select("o_orderkey", F.year("o_orderdate").alias("vintage"),
                  F.substring("o_orderpriority", 1, 1).cast("int").alias("code"))
     o = J.range_lookup(o, F.col("vintage"), versions, "lo", "hi", ["scheme_version"])
-    allowed = broadcast_if_small(allowed.withColumn("__ok", F.lit(True)), 10_000)
+    allowed = allowed.withColumn("__ok", F.lit(True))
     o = o.join(allowed, (F.col("scheme_version") == F.col("v")) & (F.col("code") == F.col("a_code")), "left")
     return o.select("o_orderkey", "vintage", "scheme_version", "code",
                     F.coalesce(F.col("__ok"), F.lit(False)).alias("is_allowed"))
@@ -579,7 +571,7 @@ def conform_dictionary(spark, sf):
     overrides = F.create_map(*[F.lit(x) for kv in CODE_OVERRIDES.items() for x in kv])
 
     def conform(codes):
-        j = codes.join(broadcast_if_small(lookup, 100_000), F.col("region_code") == F.col("__code"), "left")
+        j = codes.join(lookup, F.col("region_code") == F.col("__code"), "left")
         val = (F.when(~F.col("region_code").rlike(r"^[0-9]{2}$"), F.lit(None))
                .otherwise(F.coalesce(overrides[F.col("region_code")], F.col("n_name"))))
         return j.select("region_type", "region_code", val.alias("conformed_name"))
@@ -600,7 +592,7 @@ def region_rollup(spark, sf):
     t = Tables(spark, sf)
     per_nation = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("c_acctbal").alias("s"))
     lookup = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
-    j = per_nation.join(broadcast_if_small(lookup, 100_000), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = per_nation.join(lookup, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy("r_name").agg(F.sum("n").alias("n_customers"), F.round(F.sum("s"), 2).alias("total_acctbal"))
 
 
@@ -616,7 +608,7 @@ def group_members(spark, sf):
     t = Tables(spark, sf)
     per_nation = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
     lookup = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
-    j = per_nation.join(broadcast_if_small(lookup, 100_000), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = per_nation.join(lookup, F.col("c_nationkey") == F.col("n_nationkey"))
     members = A.sorted_members(j, ["r_name"], "n_name", "members")
     counts = j.groupBy("r_name").agg(F.sum("n").alias("n_customers"))
     return members.join(counts, "r_name")
@@ -624,8 +616,8 @@ def group_members(spark, sf):
 
 def _enriched(t):
     out = J.enrich(t.customer.select("c_custkey", "c_name", "c_nationkey"), t.nation, ["c_nationkey"], ["n_nationkey"],
-                   ["n_name", "n_regionkey"], bounded_rows=100_000)
-    out = J.enrich(out, t.region, ["n_regionkey"], ["r_regionkey"], ["r_name"], bounded_rows=100_000)
+                   ["n_name", "n_regionkey"])
+    out = J.enrich(out, t.region, ["n_regionkey"], ["r_regionkey"], ["r_name"])
     return out.select("c_custkey", "c_name", "n_name", "r_name")
 
 

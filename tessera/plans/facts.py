@@ -53,7 +53,7 @@ def weather_like_daily(spark, sf):
                     F.count(F.lit(1)).alias("n_events")])
     daily = daily.withColumn("epi_year", D.epi_year("obs_date")).withColumn("epi_week", D.epi_week("obs_date"))
     out = J.enrich(daily, t.customer, ["user_id"], ["c_custkey"], ["c_name", "c_nationkey"])
-    out = J.enrich(out, t.nation, ["c_nationkey"], ["n_nationkey"], ["n_name"], bounded_rows=10_000)
+    out = J.enrich(out, t.nation, ["c_nationkey"], ["n_nationkey"], ["n_name"])
     return out.drop("c_nationkey")
 
 

@@ -208,7 +208,7 @@ def discovery_view(spark, sf):
     from tessera.sources import lake
     t = Tables(spark, sf)
     root = shared_path(spark, "ops")
-    with dq.DQRecorder(f"{root}/dq_results", "discovery", "discovery_view") as rec:
+    with dq.ResultLog(f"{root}/dq_results", "discovery", "discovery_view") as rec:
         for k in _DQ_FEEDS:
             rec.record(REGISTRY[k][0](spark, sf))
     lake.publish_version(spark, REGISTRY["labelled_counts"][0](spark, sf), f"{root}/dataset_catalog")

@@ -20,7 +20,7 @@ def publish(spark: SparkSession, frame: DataFrame, checks: Callable[[DataFrame],
     blocking check failed."""
     lake.full_refresh(frame, staging)
     staged = spark.read.parquet(staging)
-    with dq.DQRecorder(dq_log, run_id, "gated_publish") as rec:  # persisted either way
+    with dq.ResultLog(dq_log, run_id, "gated_publish") as rec:  # persisted either way
         rec.record(checks(staged))
     logged = spark.read.parquet(dq_log).filter(F.col("run_id") == run_id)
     blocking = logged.filter(~F.col("passed") & F.col("severity").isin(*dq.BLOCKING)).limit(1).count() > 0

@@ -4,65 +4,68 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import instant_to_ntz, ntz_to_instant
 from tessera.plans.registry import query
 from tessera.session import shared_path
 from tessera.sources.tables import Tables
 from tessera.streaming import ingest as S
 
-N_FILES = 6
+#: Files of one micro-batch.
+MAX_FILES = 3
 
 
-def _land(spark, sf, name, df=None):
-    ev = df if df is not None else Tables(spark, sf).events
+def _land(spark, name, df):
+    """Land a payload as about as many files as the cluster runs tasks at once."""
     path = shared_path(spark, name)
-    S.land_files(ev, path, F.to_date("ts"), N_FILES)
+    folder = S.land_files(df, path, spark.sparkContext.defaultParallelism)
+    if not S.landing_complete(spark, folder):
+        raise RuntimeError(f"landing {folder} is incomplete")
     return path
 
 
 @query("stream_file_ingest", sql="SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_file_ingest(spark, sf):
     """Fetch-once landing with a completion marker, ingested by an AvailableNow
-    file stream; the second run finds nothing new (checkpointed progress). The same
-    payload also feeds a second table (per-type daily counts) through its own
-    streaming query and checkpoint."""
+    file stream; the second run finds nothing new (checkpointed progress)."""
     ev = Tables(spark, sf).events
-    landing = _land(spark, sf, "landing_events")
-    if not S.landing_complete(spark, landing):
-        raise RuntimeError("landing incomplete")
+    landing = _land(spark, "landing_events", ev)
     sink, ckpt = shared_path(spark, "raw_events"), shared_path(spark, "ckpt_raw_events")
-    counts = S.PartitionedTable(spark, shared_path(spark, "event_type_counts"), "obs_date")
-    count_fn = S.upsert_batches(counts, ["obs_date", "event_type"], lambda b: b.groupBy(
-        F.to_date("ts").alias("obs_date"), "event_type").agg(F.count(F.lit(1)).alias("n")))
-    count_ckpt = shared_path(spark, "ckpt_event_type_counts")
     for _ in range(2):
-        S.run_available_now(S.file_stream(spark, landing, ev.schema, max_files=3), ckpt, sink_path=sink)
-        S.run_available_now(S.file_stream(spark, landing, ev.schema), count_ckpt, foreach_batch=count_fn)
+        S.run_available_now(S.file_stream(spark, landing, ev.schema, MAX_FILES), ckpt, sink_path=sink)
     return spark.read.schema(ev.schema).parquet(sink)
 
 
+@query("stream_second_table", sql="""
+SELECT CAST(ts AS DATE) AS obs_date, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2
+""")
+def stream_second_table(spark, sf):
+    """One landed payload feeds a second table, per-type daily counts, through a
+    streaming query and checkpoint of its own; batches add up."""
+    ev = Tables(spark, sf).events
+    landing = _land(spark, "landing_counts", ev)
+    counts = S.PartialSums(spark, shared_path(spark, "event_type_counts"), ["obs_date", "event_type"], ["n"],
+                           "obs_date date, event_type string, n long")
+    fn = counts.batches(lambda b: b.select(F.to_date("ts").alias("obs_date"), "event_type", F.lit(1).alias("n")))
+    ckpt = shared_path(spark, "ckpt_event_type_counts")
+    for _ in range(2):
+        S.run_available_now(S.file_stream(spark, landing, ev.schema, MAX_FILES), ckpt, foreach_batch=fn)
+    return counts.read()
+
+
 @query("stream_upsert", sql="""
 SELECT user_id, CAST(ts AS DATE) AS obs_date, event_type, ROUND(SUM(value), 2) AS total, COUNT(*) AS n
 FROM events GROUP BY 1, 2, 3
 """)
 def stream_upsert(spark, sf):
-    """Per-batch daily totals upserted on the natural key by foreachBatch; each
-    landed day lives in one file and files are never split across batches."""
+    """Events upserted on their key by foreachBatch, in the partition of their day;
+    daily totals are aggregated when read, so a day may span any number of batches."""
     ev = Tables(spark, sf).events
-    landing = _land(spark, sf, "landing_daily")
-    table = S.PartitionedTable(spark, shared_path(spark, "daily_totals"), "obs_date")
-
-    def prepare(batch):
-        return batch.groupBy("user_id", F.to_date("ts").alias("obs_date"), "event_type").agg(
-            F.round(F.sum("value"), 2).alias("total"), F.count(F.lit(1)).alias("n"))
-
-    fn = S.upsert_batches(table, ["user_id", "obs_date", "event_type"], prepare)
-    S.run_available_now(S.file_stream(spark, landing, ev.schema, max_files=3), shared_path(spark, "ckpt_daily"),
-                        foreach_batch=fn)
-    return table.read()
-
-
-REVISION_LAG = "60 days"
+    landing = _land(spark, "landing_daily", ev)
+    table = S.PartitionedTable(spark, shared_path(spark, "daily_events"), "obs_date",
+                               "event_id long, user_id long, event_type string, value double, obs_date date", ["event_id", "obs_date"])
+    fn = S.upsert_batches(table, lambda b: b.withColumn("obs_date", F.to_date("ts")))
+    S.run_available_now(S.file_stream(spark, landing, ev.schema, MAX_FILES), shared_path(spark, "ckpt_daily"), foreach_batch=fn)
+    return table.read().groupBy("user_id", "obs_date", "event_type").agg(
+        F.round(F.sum("value"), 2).alias("total"), F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_late_revision", sql="""
@@ -71,54 +74,37 @@ SELECT event_id, CASE WHEN event_type = 'error' THEN value + 1000 ELSE value END
 FROM events
 """)
 def stream_late_revision(spark, sf):
-    """Originals land first, revised rows (error events re-issued) land later in
-    the same folder; the watermark is as long as the revision lag so no revision is
-    dropped as late, exact re-deliveries are dropped within it, and the highest
-    revision per key wins in the upsert."""
+    """Originals land first, revised rows (error events re-issued, moved by a day) land
+    later in the same folder, however late; the highest revision per key wins in the
+    upsert. The partition is a bucket of the key, which a revision cannot change."""
     ev = Tables(spark, sf).events.select("event_id", "ts", "event_type", "value")
     orig = ev.withColumn("revision", F.lit(0))
-    rev = ev.filter(F.col("event_type") == "error").withColumn("value", F.col("value") + 1000).withColumn("revision", F.lit(1))
-    landing = shared_path(spark, "landing_revisions")
-    S.land_files(orig, landing, F.to_date("ts"), N_FILES)
-    table = S.PartitionedTable(spark, shared_path(spark, "revised_events"), "obs_date")
+    rev = (ev.filter(F.col("event_type") == "error").withColumn("value", F.col("value") + 1000)
+           .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).withColumn("revision", F.lit(1)))
+    landing = _land(spark, "landing_revisions", orig)
+    table = S.PartitionedTable(spark, shared_path(spark, "revised_events"), "bucket",
+                               "event_id long, value double, revision int, bucket int", ["event_id", "bucket"])
     ckpt = shared_path(spark, "ckpt_revisions")
-    fn = S.latest_revision_batches(table, ["event_id"], "revision",
-                                   lambda b: b.withColumn("obs_date", F.to_date("ts")))
-
-    def stream():
-        s = S.file_stream(spark, landing, orig.schema)  # each run drains what has landed in one batch
-        s = s.withColumn("ts", ntz_to_instant("ts")).withWatermark("ts", REVISION_LAG) \
-             .dropDuplicatesWithinWatermark(["event_id", "revision"])
-        return s.withColumn("ts", instant_to_ntz("ts"))
-
-    S.run_available_now(stream(), ckpt, foreach_batch=fn)
-    S.land_files(rev, landing, F.to_date("ts"), 2, mode="append")  # the late revisions arrive
-    S.run_available_now(stream(), ckpt, foreach_batch=fn)
+    fn = S.latest_revision_batches(table, "revision",
+                                   lambda b: b.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(8)).cast("int")))
+    S.run_available_now(S.file_stream(spark, landing, orig.schema), ckpt, foreach_batch=fn)
+    S.land_files(rev, landing)  # the late revisions arrive
+    S.run_available_now(S.file_stream(spark, landing, orig.schema), ckpt, foreach_batch=fn)
     return table.read().select("event_id", "value", "revision")
 
 
-ARRIVAL_LATENESS = "31 days"
-
-
 @query("stream_tumbling", sql="""
 SELECT event_type, date_trunc('day', ts) AS window_start, COUNT(*) AS n, ROUND(SUM(value), 2) AS total
 FROM events GROUP BY 1, 2
 """)
 def stream_tumbling(spark, sf):
-    """T4: one-day tumbling windows with a watermark, emitted in update mode and
-    upserted per (type, window) so the table holds every window once drained."""
+    """T4: one-day tumbling windows as an incremental derived table: every batch adds its
+    partial counts and sums, so no lateness bound can drop a row."""
     ev = Tables(spark, sf).events
-    landing = _land(spark, sf, "landing_windows")
-    table = S.PartitionedTable(spark, shared_path(spark, "window_totals"), "window_day")
-    s = S.file_stream(spark, landing, ev.schema, max_files=3).withColumn("ts", ntz_to_instant("ts"))
-    agg = (s.withWatermark("ts", ARRIVAL_LATENESS).groupBy("event_type", F.window("ts", "1 day"))
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("__s")))
-
-    def prepare(batch):
-        start = instant_to_ntz(F.col("window.start"))
-        return batch.select("event_type", start.alias("window_start"), "n", F.round("__s", 2).alias("total"),
-                            F.to_date(start).alias("window_day"))
-
-    fn = S.upsert_batches(table, ["event_type", "window_start"], prepare)
-    S.run_available_now(agg, shared_path(spark, "ckpt_windows"), foreach_batch=fn, output_mode="update")
-    return table.read().drop("window_day")
+    landing = _land(spark, "landing_windows", ev)
+    table = S.PartialSums(spark, shared_path(spark, "window_totals"), ["event_type", "window_start"], ["n", "total"],
+                          "event_type string, window_start timestamp_ntz, n long, total double")
+    fn = table.batches(lambda b: b.select("event_type", F.to_date("ts").cast("timestamp_ntz").alias("window_start"),
+                                          F.lit(1).alias("n"), F.col("value").alias("total")))
+    S.run_available_now(S.file_stream(spark, landing, ev.schema, MAX_FILES), shared_path(spark, "ckpt_windows"), foreach_batch=fn)
+    return table.read().withColumn("total", F.round("total", 2))

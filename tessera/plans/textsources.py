@@ -18,6 +18,24 @@ def _stage(spark, lines, name):
     return TX.read_lines(spark, path)
 
 
+@query("csv_link_extract", sql="""
+WITH e AS (SELECT page_id, page_id % 3 AS kind FROM pages)
+SELECT page_id, CAST(0 AS INTEGER) AS pos, 'obs-' || page_id || '.csv' AS link FROM e WHERE kind < 2
+UNION ALL SELECT page_id, 1, 'B' || page_id || '.CSV' FROM e WHERE kind = 0
+""")
+def csv_link_extract(spark, sf):
+    """The ``.csv`` files that directory pages list, derived from the given pages: bare names
+    in any case count once; links with a path or a query and other files do not."""
+    link = lambda *x: F.concat(F.lit('<a HREF="'), *[F.lit(v) if isinstance(v, str) else v for v in x], F.lit('">x</a>'))
+    pid = F.col("page_id").cast("string")
+    kind = F.col("page_id") % 3
+    pages = Tables(spark, sf).pages.select("page_id", F.concat(
+        F.col("html"), link("../"), link("/up/", pid, ".csv"), link("c.csv?v=1"), link("notes.txt"),
+        F.when(kind < 2, F.concat(link("obs-", pid, ".csv"), link("obs-", pid, ".csv"))).otherwise(""),
+        F.when(kind == 0, link("B", pid, ".CSV")).otherwise("")).alias("html"))
+    return pages.select("page_id", F.posexplode(TX.listed_files(F.col("html"), ".csv")).alias("pos", "link"))
+
+
 @query("html_link_extract", sql="""
 WITH raw AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link0,
                     generate_subscripts(regexp_extract_all(html, 'href="([^"]*)"', 1), 1) AS i FROM pages),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,8 +47,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when nothing is set
-    (local tests) do we create one of our own.
+    The cluster names it in ``spark.checkpoint.dir``; only when nothing is set and the
+    master is local (tests) do we create one of our own. On a cluster a folder of the
+    driver's machine would be a different one on every executor, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"master {sc.master}: name a folder that all executors share in spark.checkpoint.dir")
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
@@ -67,6 +69,3 @@ def shared_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

@@ -6,7 +6,6 @@ column expressions."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,33 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def normalize_header(name: str) -> str:
-    """Case, space and punctuation-insensitive header form (BOM dropped)."""
-    return re.sub(r"[^a-z0-9]", "", name.replace("﻿", "").lower())
+def header_key(name: str) -> str:
+    """A header reduced to its lower-case ASCII letters and digits; byte-order marks fall away with the rest."""
+    return "".join(c for c in name.lower() if c.isascii() and c.isalnum())
 
 
-def resolve_column(headers: Iterable[str], *, equals: Iterable[str] = (), contains: Iterable[str] = (),
-                   exclude: Iterable[str] = ()) -> str | None:
-    """An exact normalised name wins; otherwise the first header containing a
-    token (and none of the ``exclude`` tokens). Returns the original header."""
-    headers = list(headers)
-    norm = {h: normalize_header(h) for h in headers}
-    eq = {normalize_header(e) for e in equals}
-    for h in headers:
-        if norm[h] in eq:
-            return h
-    toks = [normalize_header(c) for c in contains]
-    excl = [normalize_header(x) for x in exclude]
-    for h in headers:
-        if any(t in norm[h] for t in toks) and not any(x in norm[h] for x in excl):
-            return h
-    return None
+def pick_header(headers: Iterable[str], *, exact: Iterable[str] = (), token: Iterable[str] = (),
+                without: Iterable[str] = ()) -> str | None:
+    """The header that fits best. Equality with an alias scores above holding a token
+    (and none of ``without``); among equals the leftmost wins; no score, no header."""
+    wanted, parts, barred = (set(map(header_key, x)) for x in (exact, token, without))
+
+    def score(key: str) -> int:
+        held = any(p in key for p in parts) and not any(x in key for x in barred)
+        return 2 * (key in wanted) + held
+
+    ranked = max(((score(header_key(h)), -at, h) for at, h in enumerate(headers)), default=(0, 0, None))
+    return ranked[2] if ranked[0] else None
 
 
 def require_columns(columns: Iterable[str], required: Iterable[str], what: str = "source") -> None:
     """P10: fail with the whole missing set, not the first miss."""
-    have = {normalize_header(c) for c in columns}
-    missing = sorted(r for r in required if normalize_header(r) not in have)
+    have = {header_key(c) for c in columns}
+    missing = sorted(r for r in required if header_key(r) not in have)
     if missing:
         raise ValueError(f"{what} is missing required columns: {missing}")
 
@@ -64,10 +59,10 @@ def _pick(df: DataFrame, fields: Mapping[str, Sequence[str]]) -> DataFrame:
     """First present alias per field (case-insensitive); a missing field is ''."""
     by_norm = {}
     for c in df.columns:
-        by_norm.setdefault(normalize_header(c), c)
+        by_norm.setdefault(header_key(c), c)
     cols = []
     for out, names in fields.items():
-        src = next((by_norm[normalize_header(n)] for n in names if normalize_header(n) in by_norm), None)
+        src = next((by_norm[header_key(n)] for n in names if header_key(n) in by_norm), None)
         val = F.coalesce(F.trim(F.col(f"`{src}`").cast("string")), F.lit("")) if src else F.lit("")
         cols.append(val.alias(out))
     return df.select(*cols)
@@ -108,7 +103,7 @@ def read_relationship(spark: SparkSession, path: str, fields: Mapping[str, Seque
     sep = sniff_delimiter(spark, path)
     raw = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
     present = {f for f, names in fields.items()
-               if any(normalize_header(n) in {normalize_header(c) for c in raw.columns} for n in names)}
+               if any(header_key(n) in {header_key(c) for c in raw.columns} for n in names)}
     missing = sorted(set(required) - present)
     if missing:
         raise ValueError(f"relationship file {path} lacks required fields {missing}")
@@ -120,12 +115,13 @@ def read_relationship(spark: SparkSession, path: str, fields: Mapping[str, Seque
 
 def read_code_map(spark: SparkSession, path: str, *, src: str, dst: str, src_width: int, dst_width: int,
                   sep: str = ",") -> DataFrame:
-    """Code -> code lookup; both sides zero-padded; other columns (names) are
-    deliberately ignored; rows with a blank side are dropped."""
+    """Code -> code lookup; both sides zero-padded (wider codes stay whole); other
+    columns (names) are deliberately ignored; rows with a blank side are dropped."""
+    from tessera.functions.codes import pad_id
     raw = spark.read.option("header", True).option("sep", sep).csv(path)
     m = _pick(raw, {"src": (src,), "dst": (dst,)})
     m = m.filter((F.col("src") != "") & (F.col("dst") != ""))
-    return m.select(F.lpad("src", src_width, "0").alias("src"), F.lpad("dst", dst_width, "0").alias("dst"))
+    return m.select(pad_id("src", src_width).alias("src"), pad_id("dst", dst_width).alias("dst"))
 
 
 def read_cast(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

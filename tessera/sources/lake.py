@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,8 @@ def full_refresh(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
-    df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    """One shuffle by the partition value keeps files few; AQE splits a value that is too large."""
+    df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
 
 
 def replace_vintage(df: DataFrame, path: str, vintage_col: str, vintage) -> None:
@@ -37,11 +39,11 @@ def replace_vintage(df: DataFrame, path: str, vintage_col: str, vintage) -> None
     other = df.filter(~F.col(vintage_col).eqNullSafe(F.lit(vintage))).limit(1).count()
     if other:
         raise ValueError(f"frame holds rows outside vintage {vintage!r}")
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(vintage_col).parquet(path))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read with the declared schema so partition values keep their declared type
     (no inference: ``"2.80"`` stays a string, ``"01"`` keeps its zero)."""
     return spark.read.schema(schema).parquet(path)
@@ -57,27 +59,33 @@ def vintage_exists(df_table: DataFrame, vintage_col: str, vintage) -> bool:
     return df_table.filter(F.col(vintage_col) == F.lit(vintage)).limit(1).count() > 0
 
 
-def try_read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The table at ``path``, or None when nothing has been written there yet."""
+def is_missing_path(e: Exception) -> bool:
+    """Whether a read failed because nothing is stored there; any other failure is a failure."""
+    return isinstance(e, AnalysisException) and e.getCondition() == "PATH_NOT_FOUND"
+
+
+def try_read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The table at ``path``, or None when nothing has been written there yet. A store that
+    cannot be read raises: taking it for an empty table would lose what it holds."""
     try:
-        df = read_table(spark, path, schema)
-        df.limit(0).collect()  # resolves the file listing
-        return df
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
+        return read_table(spark, path, schema)
+    except AnalysisException as e:
+        if is_missing_path(e):
+            return None
+        raise
 
 
 def merge_partitions(spark: SparkSession, path: str, source: DataFrame, partition_col: str, combine,
-                     staging: str, *, max_touched: int = 100_000) -> None:
+                     staging: str) -> None:
     """Upsert-style merge that rewrites only the partitions ``source`` touches.
 
-    ``source`` is staged first (one pass over it); the set of partition values it
-    touches is read from the staged copy — a list bounded by the number of
-    partitions one batch can touch (checked against ``max_touched``) — and becomes
-    a literal ``IN`` filter, so the current table is read with static partition
-    pruning. ``combine(current, source)`` computes the new content, which is staged
-    (never overwrite what is being read) and swapped in with dynamic partition
-    overwrite. Replaying the same source gives the same partitions."""
+    ``source`` is staged first (one pass over it). The current table is read through a
+    semi-join with the staged partition values, so untouched partitions are pruned at
+    run time and their number never reaches the driver. ``combine(current, source)``
+    computes the new content, which is staged (never overwrite what is being read) and
+    swapped in with dynamic partition overwrite. Replaying the same source gives the
+    same partitions. The keys that ``combine`` matches on must hold the partition
+    column (see ``PartitionedTable``), or an old row could stay in another partition."""
     schema = source.schema
     full_refresh(source.select(*schema.fieldNames()), f"{staging}/source")
     source = read_table(spark, f"{staging}/source", schema)
@@ -85,13 +93,11 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, partitio
     if current is None:
         new = source
     else:
-        values = [r[0] for r in source.select(partition_col).distinct().limit(max_touched + 1).collect()]
-        if len(values) > max_touched:
-            raise ValueError(f"one merge touches more than {max_touched} partitions; split the source")
-        new = combine(current.filter(F.col(partition_col).isin(values)), source)
+        touched = source.select(F.col(partition_col).alias("__touched")).distinct()
+        same = current[partition_col].eqNullSafe(touched["__touched"])
+        new = combine(current.join(touched, same, "left_semi"), source)
     full_refresh(new.select(*schema.fieldNames()), f"{staging}/merged")
-    staging = f"{staging}/merged"
-    (read_table(spark, staging, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (read_table(spark, f"{staging}/merged", schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
@@ -100,10 +106,11 @@ class SchemaDrift(ValueError):
 
 
 def publish_version(spark: SparkSession, df: DataFrame, base: str, *, allow_schema_change: bool = False) -> str:
-    """Write a complete new version folder, then point ``<base>/_current`` at it.
+    """Write a complete new version folder, then add a pointer with the next number.
 
-    Readers follow the pointer, so a job that dies mid-write (lost executors, a
-    killed driver) leaves the previous version published and intact; re-running
+    Readers follow the highest pointer, and pointers are only ever added, so a job that
+    dies at any moment (mid-write, or between the data and its pointer) leaves the
+    previous version published and intact; re-running
     simply writes another version. A schema different from the published one
     fails loudly unless ``allow_schema_change`` is set."""
     if not allow_schema_change:
@@ -112,17 +119,21 @@ def publish_version(spark: SparkSession, df: DataFrame, base: str, *, allow_sche
             raise SchemaDrift(f"{base}: published {current.schema.simpleString()} != new {df.schema.simpleString()}")
     path = new_version_path(base)
     full_refresh(df, path)
-    pointer = spark.createDataFrame([(path,)], "value string").coalesce(1)
-    pointer.write.mode("overwrite").text(f"{base.rstrip('/')}/_current")
+    turn = 1 + max((n for n, _ in _pointers(spark, base)), default=0)
+    pointer = spark.createDataFrame([(turn, path)], "turn long, path string").coalesce(1)
+    pointer.write.mode("append").parquet(f"{base.rstrip('/')}/_pointers")
     return path
 
 
+def _pointers(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """The last pointer written, if any."""
+    pointers = try_read(spark, f"{base.rstrip('/')}/_pointers", "turn long, path string")
+    return [] if pointers is None else [tuple(r) for r in pointers.orderBy(F.desc("turn"), "path").limit(1).collect()]
+
+
 def current_version(spark: SparkSession, base: str) -> str | None:
-    try:
-        rows = spark.read.text(f"{base.rstrip('/')}/_current").collect()
-    except Exception:  # noqa: BLE001 - never published
-        return None
-    return rows[0][0] if rows else None
+    """The folder that the highest pointer names; None before the first publish."""
+    return next((path for _, path in _pointers(spark, base)), None)
 
 
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:

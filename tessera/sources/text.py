@@ -5,6 +5,7 @@ expressions, no Python per line."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -76,14 +77,21 @@ def carry_forward(df: DataFrame, group: Sequence[str], order: str, header: Colum
 
 
 def extract_links(html: Column, *, drop_parents: bool = True) -> Column:
-    """Href targets in document order, query/fragment stripped, parent links
-    and blanks dropped, duplicates removed keeping the first occurrence."""
-    raw = F.regexp_extract_all(html, F.lit(r'href="([^"]*)"'), 1)
+    """Href targets in document order, query/fragment stripped, parent links and blanks
+    dropped, duplicates removed keeping the first occurrence."""
+    raw = F.regexp_extract_all(html, F.lit(r'(?i)\bhref="([^"]*)"'), 1)
     cleaned = F.transform(raw, lambda x: F.regexp_replace(x, r"[?#].*$", ""))
     keep = F.filter(cleaned, lambda x: (x != "") & (~x.startswith("..") if drop_parents else F.lit(True)))
     return F.array_distinct(keep)
 
 
+def listed_files(html: Column, suffix: str) -> Column:
+    """The files of one kind (``.csv``, any case) that a directory page links to, in
+    document order without repeats. Only bare file names count: a link with a path or a
+    query names something else. The attribute name may be of any case."""
+    return F.array_distinct(F.regexp_extract_all(html, F.lit(rf'(?i)\bhref="([^"?/#]+{re.escape(suffix)})"'), 1))
+
+
 def name_fields(name: Column, pattern: str, fields: Mapping[str, int]) -> list[Column]:
     """Fields of a file/URL name by regex group; NULL for every field when the
     name does not match (callers drop those rows)."""
@@ -96,7 +104,6 @@ def name_fields(name: Column, pattern: str, fields: Mapping[str, int]) -> list[C
 WIDE_KEY_FIELDS = ("region_type", "region_code", "region_name", "year", "month", "variable")
 WIDE_DAY_FIELDS = 31
 SENTINEL_AT_OR_BELOW = -999.0
-_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # commas outside double quotes
 
 
 def wide_day_lines(lines: DataFrame, source_file: Column | None = None) -> DataFrame:
@@ -106,23 +113,24 @@ def wide_day_lines(lines: DataFrame, source_file: Column | None = None) -> DataF
     fails naming the line; days past the month end are dropped; sentinel values
     become NULL rows. Quoted fields may contain commas."""
     from tessera.operators.reshape import wide_days_to_long
-    n = len(WIDE_KEY_FIELDS) + WIDE_DAY_FIELDS
-    v = F.col("value")
-    body = lines.filter(F.trim(v) != "")
-    parts = F.split(v, _CSV_SPLIT)
-    f = body.select(F.when(F.size(parts) == n, parts).otherwise(
-        F.raise_error(F.concat(F.lit(f"expected {n} fields, got "), F.size(parts).cast("string"),
-                               F.lit(": "), F.substring(v, 1, 80))).cast("array<string>")).alias("__f"),
-        *([source_file.alias("source_file")] if source_file is not None else []))
-    clean = [F.trim(F.regexp_replace(F.get(F.col("__f"), i), r'^\s*"|"\s*$', "")) for i in range(n)]
-    keyed = f.select(*[clean[i].alias(k) for i, k in enumerate(WIDE_KEY_FIELDS)],
-                     *[clean[len(WIDE_KEY_FIELDS) + d].cast("double").alias(f"d{d + 1}") for d in range(WIDE_DAY_FIELDS)],
-                     *(["source_file"] if source_file is not None else []))
+    names = [*WIDE_KEY_FIELDS, *[f"d{d}" for d in range(1, WIDE_DAY_FIELDS + 1)]]
+    schema = ", ".join(f"{c} string" for c in names)
+    keep = ["source_file"] if source_file is not None else []
+    body = lines.filter(F.trim("value") != "").select("value", *([source_file.alias("source_file")] if keep else []))
+    bare = F.regexp_replace("value", r'"[^"]*"', "")  # commas inside quotes do not count
+    n_fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    wrong = F.raise_error(F.concat(F.lit(f"expected {len(names)} fields, got "), n_fields.cast("string"), F.lit(": "), F.substring("value", 1, 80)))
+    options = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "escape": '"'}
+    line = F.when(n_fields == len(names), F.col("value")).otherwise(wrong.cast("string"))
+    checked = body.select(*keep, F.from_csv(line, schema, options).alias("__f"))
+    # values stay text until days past the month's end, which may be blank, are gone
+    keyed = checked.select(*[F.col("__f")[k].alias(k) for k in names], *keep)
     keyed = keyed.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int")) \
                  .withColumn("variable", F.lower("variable"))
     ids = ["region_type", "region_code", "region_name", "variable"] + (["source_file"] if source_file is not None else [])
-    return wide_days_to_long(keyed, ids, "year", "month", [f"d{d}" for d in range(1, WIDE_DAY_FIELDS + 1)],
-                             is_sentinel=lambda x: x <= SENTINEL_AT_OR_BELOW)
+    days = wide_days_to_long(keyed, ids, "year", "month", names[len(WIDE_KEY_FIELDS):],
+                             is_sentinel=lambda x: x.cast("double") <= SENTINEL_AT_OR_BELOW)
+    return days.withColumn("value", F.col("value").cast("double"))
 
 
 # File-name pattern of wide daily files and the fields it carries.

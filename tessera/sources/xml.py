@@ -28,7 +28,7 @@ def _as_array(c: Column, dt: T.DataType) -> Column:
 
 
 def tree_pairs(spark: SparkSession, path: str, *, root_tag: str, group_tag: str, node_tag: str,
-               name_field: str = "name", group_attr: str = "_id", max_depth: int = 8) -> DataFrame:
+               name_field: str = "name", group_attr: str = "_id") -> DataFrame:
     """Nested ``node_tag`` elements under ``group_tag`` under each ``root_tag`` row
     -> (code, parent, root, group) pairs. The nesting is unrolled level by level with
     ``explode`` (one narrow step per level) up to the depth the schema holds."""
@@ -40,9 +40,9 @@ def tree_pairs(spark: SparkSession, path: str, *, root_tag: str, group_tag: str,
                           F.explode(_as_array(F.col(f"g.{node_tag}"), gtype[node_tag].dataType)).alias("n"),
                           F.lit(None).cast("string").alias("parent"))
     out = None
-    for _ in range(max_depth):
+    while True:  # the schema that was read ends the walk
         ntype = level.schema["n"].dataType
-        rows = level.select(F.trim(F.col(f"n.{name_field}").cast("string")).alias("code"), "parent", "root", "group")
+        rows = level.select(F.trim(F.col(f"n.{name_field}").cast("string")).alias("code"), "parent", "root", "group").where("code <> ''")
         out = rows if out is None else out.unionByName(rows)
         if _child_array_type(ntype, node_tag) is None:
             break

@@ -3,37 +3,46 @@ folder, foreachBatch upserts that are safe to re-run (T1-T4)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import merge as MG
 from tessera.operators import windows as W
 from tessera.sources import lake
+from tessera.sources.lake import is_missing_path
 
 
-def land_files(df: DataFrame, path: str, by: Column, n_files: int, mode: str = "overwrite") -> None:
-    """Stage a payload as files; each value of ``by`` lands in exactly one file, and
-    the writer's ``_SUCCESS`` marker says the landing is complete."""
-    df.repartition(n_files, by).write.mode(mode).parquet(path)
+def land_files(df: DataFrame, path: str, n_files: int | None = None) -> str:
+    """Stage a payload as files in a folder of its own below ``path`` and return that
+    folder; its ``_SUCCESS`` marker says that this landing is complete. Files follow the
+    frame's partitions unless ``n_files`` is given."""
+    folder = f"{path.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+    (df.repartition(n_files) if n_files else df).write.parquet(folder)
+    return folder
 
 
-def landing_complete(spark: SparkSession, path: str) -> bool:
-    """The completion marker is present (a partial landing is never ingested)."""
+def landing_complete(spark: SparkSession, folder: str) -> bool:
+    """The completion marker of one landing is present."""
     try:
-        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").limit(1).collect()
+        spark.read.text(f"{folder.rstrip('/')}/_SUCCESS")
         return True
-    except Exception:  # noqa: BLE001 - missing marker
-        return False
+    except AnalysisException as e:
+        if is_missing_path(e):
+            return False
+        raise
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """Files of all landings below ``path``; those still being written are not visible."""
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.parquet(path)
+    return r.parquet(f"{path.rstrip('/')}/*")
 
 
 def run_available_now(stream: DataFrame, checkpoint: str, *, sink_path: str | None = None,
@@ -52,44 +61,71 @@ def run_available_now(stream: DataFrame, checkpoint: str, *, sink_path: str | No
 
 
 class PartitionedTable:
-    """A keyed table partitioned by ``partition_col`` and merged per micro-batch.
+    """A keyed table of a declared schema, partitioned by ``partition_col`` and merged per
+    micro-batch; a restarted job reads it as before.
 
     Each batch rewrites only the partitions it touches (``lake.merge_partitions``);
     the cost of a batch grows with the batch, not with the table. Staging folders
-    are named by batch id, so a replayed batch rewrites the same content."""
-
-    def __init__(self, spark: SparkSession, base: str, partition_col: str):
-        self.spark = spark
-        self.base = base.rstrip("/")
-        self.path = f"{self.base}/table"
-        self.partition_col = partition_col
-        self.schema: T.StructType | None = None
-
-    def read(self) -> DataFrame | None:
-        return lake.read_table(self.spark, self.path, self.schema) if self.schema is not None else None
+    are named by batch id, so a replayed batch rewrites the same content. The keys
+    must hold the partition column: otherwise a row whose partition changes would
+    leave its older self behind."""
+
+    def __init__(self, spark: SparkSession, base: str, partition_col: str, schema: T.StructType | str, keys: Sequence[str]):
+        if partition_col not in keys:
+            raise ValueError(f"keys {list(keys)} lack the partition column {partition_col!r}")
+        self.spark, self.base, self.path = spark, base.rstrip("/"), f"{base.rstrip('/')}/table"
+        self.partition_col, self.keys = partition_col, list(keys)
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def read(self) -> DataFrame:
+        """The table; empty before the first batch."""
+        now = lake.try_read(self.spark, self.path, self.schema)
+        return self.spark.createDataFrame([], self.schema) if now is None else now
 
     def merge(self, source: DataFrame, batch_id: int, combine) -> None:
-        self.schema = source.schema
-        lake.merge_partitions(self.spark, self.path, source, self.partition_col, combine,
+        typed = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        lake.merge_partitions(self.spark, self.path, typed, self.partition_col, combine,
                               f"{self.base}/_staging/b-{batch_id:08d}")
 
 
-def upsert_batches(table: PartitionedTable, keys: Sequence[str],
-                   prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function — shape the batch, upsert it on ``keys``."""
+def upsert_batches(table: PartitionedTable,
+                   prepare: Callable[[DataFrame], DataFrame] = lambda b: b) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that upserts the batch's rows on the table's keys. Rows, not
+    totals: a total of one batch must not replace that of another (see ``PartialSums``)."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        table.merge(prepare(batch), batch_id, lambda cur, src: MG.upsert(cur, src, keys))
+        table.merge(prepare(batch), batch_id, lambda cur, src: MG.upsert(cur, src, table.keys))
     return fn
 
 
-def latest_revision_batches(table: PartitionedTable, keys: Sequence[str], revision: str,
+def latest_revision_batches(table: PartitionedTable, revision: str,
                             prepare: Callable[[DataFrame], DataFrame] = lambda b: b) -> Callable[[DataFrame, int], None]:
     """foreachBatch function — the highest revision per key wins, whichever
     batch it arrives in (a late revision replaces the earlier row, never duplicates)."""
     def combine(cur: DataFrame, src: DataFrame) -> DataFrame:
-        return W.keep_one(cur.unionByName(src), list(keys), [-F.col(revision)])
+        return W.keep_one(cur.unionByName(src), table.keys, [-F.col(revision)])
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        src = W.keep_one(prepare(batch), list(keys), [-F.col(revision)])
-        table.merge(src, batch_id, combine)
+        table.merge(W.keep_one(prepare(batch), table.keys, [-F.col(revision)]), batch_id, combine)
     return fn
+
+
+class PartialSums:
+    """T4: totals that grow batch by batch. Each batch stores its partial sums under its own
+    batch id (a replay overwrites just those), and reading adds them up, so a group may be
+    spread over any number of batches and arrive however late."""
+
+    def __init__(self, spark: SparkSession, base: str, keys: Sequence[str], sums: Sequence[str], schema: str):
+        self.spark, self.path, self.keys, self.sums = spark, f"{base.rstrip('/')}/partials", list(keys), list(sums)
+        self.schema = f"{schema}, batch_id long"
+
+    def batches(self, prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+        def fn(batch: DataFrame, batch_id: int) -> None:
+            part = prepare(batch).groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])
+            part.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        return fn
+
+    def read(self) -> DataFrame:
+        now = lake.try_read(self.spark, self.path, self.schema)
+        if now is None:
+            now = self.spark.createDataFrame([], self.schema)
+        return now.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])

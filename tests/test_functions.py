@@ -99,18 +99,37 @@ def test_safe_date(spark):
 
 
 def test_year_window_resolution():
-    assert D.resolve_year_window(start_year=2000, end_year=2001, today_year=2026) == (2000, 2001)
-    assert D.resolve_year_window(recent_years=3, today_year=2026) == (2024, 2026)
-    for kwargs in ({"start_year": 2000, "today_year": 2026}, {"start_year": 2002, "end_year": 2001, "today_year": 2026},
-                   {"start_year": 2000, "end_year": 2001, "recent_years": 2, "today_year": 2026}, {"today_year": 2026}):
+    assert D.build_years(2000, 2001, this_year=2026) == (2000, 2001)
+    assert [D.build_years(back=n, this_year=2026) for n in (0, 1, 3)] == [(2026, 2026), (2025, 2026), (2023, 2026)]
+    for kwargs in ({"first": 2000}, {"first": 2002, "last": 2001}, {"first": 2000, "last": 2001, "back": 2}, {}, {"back": -1}):
         with pytest.raises(ValueError):
-            D.resolve_year_window(**kwargs)
+            D.build_years(this_year=2026, **kwargs)
 
 
 def test_strip_range_suffix(spark):
-    vals = ["Certain infectious diseases (A00-B99)", "Neoplasms (C00-D49) ", "No range here", "Odd (x)"]
+    vals = ["Certain infectious diseases (A00-B99)", "Neoplasms (C00-D49) ", "Tumors (C7A)", "No range here", "Odd (x)"]
     assert one_col(spark, vals, C.strip_range_suffix) == [
-        "Certain infectious diseases", "Neoplasms", "No range here", "Odd (x)"]
+        "Certain infectious diseases", "Neoplasms", "Tumors", "No range here", "Odd (x)"]
+
+
+def test_long_texts_are_not_cut(spark):
+    tail = "9" * 1_100_000
+    assert one_col(spark, ["G" + tail], lambda x: C.positional_decode(x, F.lit("state"))) == [None]
+    assert one_col(spark, ["A00" + tail], C.dotted) == ["A00." + tail]
+    assert one_col(spark, ["10." + tail, "x"], C.secondary_code) == ["10." + tail, None]
+    assert one_col(spark, ["ns:" + tail], C.tag_value) == [tail]
+
+
+def test_name_key_of_every_decomposable_character(spark):
+    import unicodedata
+    chars = [chr(i) for i in range(0xA1, 0x1F700) if not 0xD800 <= i < 0xE000 and (unicodedata.decomposition(chr(i)) or unicodedata.combining(chr(i)))]
+    vals = [f"a{c}b" for c in chars] + ["İstanbul", "ﬁord", "Ａｂｃ", "Bavīria", "．", "e\u0301\u0302"]
+
+    def want(v):
+        kept = [c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)]
+        return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in "".join(kept).lower()).split()) or None
+
+    assert one_col(spark, vals, C.name_key) == [want(v) for v in vals]
 
 
 def test_clean_text_and_month_lengths(spark):

@@ -177,6 +177,7 @@ def test_text_parsers(spark):
     html = spark.createDataFrame([('<a href="a.csv?x=1">a</a><a href="../">up</a><a href="b.csv">b</a><a href="a.csv">',)],
                                  "html string")
     assert html.select(TX.extract_links(F.col("html"))).first()[0] == ["a.csv", "b.csv"]
+    assert html.select(TX.listed_files(F.col("html"), ".csv")).first()[0] == ["b.csv", "a.csv"]
 
 
 def test_carry_forward_resets(spark):
@@ -193,16 +194,16 @@ def test_dq_recorder_flushes_on_failure_and_success(spark):
     log = shared_path(spark, "t_dqlog")
     df = spark.createDataFrame([(1,), (1,)], "k int")
     with pytest.raises(RuntimeError):
-        with dq.DQRecorder(log, "run1", "p") as rec:
+        with dq.ResultLog(log, "run1", "p") as rec:
             rec.record(dq.unique(df, ["k"], table_name="t", check_name="u"))
             raise RuntimeError("job failed after checks")
-    with dq.DQRecorder(log, "run2", "p") as rec:
+    with dq.ResultLog(log, "run2", "p") as rec:
         rec.record(dq.row_checks(df, "t", [dq.not_null(["k"])]))
-        assert rec.buffered == 1
+        assert rec.waiting == 1
     got = sorted((r.run_id, r.check_name, r.passed) for r in spark.read.parquet(log).collect())
     assert got == [("run1", "u", False), ("run2", "not_null_k", True)]
     with pytest.raises(ValueError):
-        dq.DQRecorder(log, "r", "p").record(df)
+        dq.ResultLog(log, "r", "p").record(df)
 
 
 def test_register_dataset_partial_columns(spark):

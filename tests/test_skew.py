@@ -45,11 +45,25 @@ def test_keep_one_plans_partial_aggregation(spark):
     assert "partial_min" in plan and plan.index("partial_min") > plan.index("Exchange")  # partial below the shuffle
 
 
+def test_scd2_null_keys_are_one_key(spark):
+    rows = [(None, dt.date(2020, m, 1), "x") for m in (1, 2, 3)]
+    h = MG.scd2(spark.createDataFrame(rows, "k int, d date, v string"), ["k"], ["d"], ["v"], "d").collect()
+    assert [(r.k, r.v, r._effective_from, r._is_current) for r in h] == [(None, "x", dt.date(2020, 1, 1), True)]
+
+
+def test_range_lookup_with_many_bands(spark):
+    from tessera.operators import joins as J
+    bands = spark.range(30000).selectExpr("id * 10 AS lo", "id * 10 + 6 AS hi", "id AS band").unionByName(
+        spark.createDataFrame([(5, 900, -1)], "lo long, hi long, band long"))
+    out = J.range_lookup(spark.createDataFrame([(3,), (8,), (299995,), (299999,), (None,)], "x long"), F.col("x"), bands, "lo", "hi", ["band"])
+    assert sorted(((r.x or -9, r.band) for r in out.collect()), key=str) == sorted([(-9, None), (299995, 29999), (299999, None), (3, 0), (8, -1)], key=str)
+
+
 def test_scd2_hot_key_matches_brute_force(spark):
     rows = _rows()
     df = spark.createDataFrame(rows, "k int, d date, i int, s string")
-    for hot_rows in (None, 3):  # month buckets, and months refined to days where a key is hot
-        _check_scd2(MG.scd2(df, ["k"], ["d", "i"], ["s"], "d", hot_rows=hot_rows), rows)
+    _check_scd2(MG.scd2(df, ["k"], ["d", "i"], ["s"], "d"), rows)
+    _check_scd2(MG.scd2(df, ["k"], ["d", "i"], ["s"], "d", bucket=F.year("d")), rows)
 
 
 def _check_scd2(h, rows):

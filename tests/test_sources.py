@@ -64,10 +64,10 @@ def test_code_map(spark):
 
 def test_alias_resolution_and_required():
     headers = ["State", "Primary RUCA Code 2020", "Tract Population, 2020", "Population Density (per square mile), 2020"]
-    assert DL.resolve_column(headers, equals=("primaryruca",), contains=("primaryruca",)) == "Primary RUCA Code 2020"
-    assert DL.resolve_column(headers, contains=("population",), exclude=("density",)) == "Tract Population, 2020"
-    assert DL.resolve_column(headers, equals=("populationdensity",), contains=("density",)).startswith("Population Density")
-    assert DL.resolve_column(headers, equals=("zip",)) is None
+    assert DL.pick_header(headers, exact=("primaryruca",), token=("primaryruca",)) == "Primary RUCA Code 2020"
+    assert DL.pick_header(headers, token=("population",), without=("density",)) == "Tract Population, 2020"
+    assert DL.pick_header(headers, exact=("populationdensity",), token=("density",)).startswith("Population Density")
+    assert DL.pick_header(headers, exact=("zip",)) is None
     with pytest.raises(ValueError, match=r"\['GID_1', 'NAME_1'\]"):
         DL.require_columns(["GID_0"], ["GID_0", "GID_1", "NAME_1"])
 
@@ -122,9 +122,10 @@ def test_override_record():
     assert out == Entry("geo.state", "team", "states")
     with pytest.raises(ValueError):
         CAT.override_record(base, {"nope": 1})
-    assert CAT.schema_for("geography", "processed") == "geography_processed"
+    assert [CAT.layer_schema("geography", x) for x in ("raw", "processed", "analysis")] == ["geography_raw", "geography_processed", "geography"]
+    assert CAT.dotted_name("Cat", "_ops", "t") == "Cat._ops.t"
     with pytest.raises(ValueError):
-        CAT.full_table_name("Cat", "s", "t")
+        CAT.dotted_name("Cat", "no space", "t")
 
 
 def _wide_line(rtype, code, name, year, month, var, days):

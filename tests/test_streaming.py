@@ -1,51 +1,119 @@
-"""Streams drain with AvailableNow and are safe to re-run."""
+"""Streams drain with AvailableNow, lose no row however late it lands, and are safe to re-run."""
 
-import os
+import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.session import shared_path
+from tessera.operators import merge as MG
+from tessera.session import ensure_checkpoint_dir, shared_path
+from tessera.sources import lake
 from tessera.streaming import ingest as S
 
 
 def test_rerun_ingests_only_new_files(spark):
     df = spark.range(0, 100).select(F.col("id"), (F.col("id") % 5).alias("g"))
     landing = shared_path(spark, "t_landing")
-    S.land_files(df, landing, F.col("g"), 3)
-    assert S.landing_complete(spark, landing)
-    assert not S.landing_complete(spark, shared_path(spark, "t_missing"))
+    first = S.land_files(df, landing, 3)
+    assert S.landing_complete(spark, first) and not S.landing_complete(spark, shared_path(spark, "t_missing"))
     sink, ckpt = shared_path(spark, "t_sink"), shared_path(spark, "t_ckpt")
     for _ in range(2):
         S.run_available_now(S.file_stream(spark, landing, df.schema, 1), ckpt, sink_path=sink)
     assert spark.read.parquet(sink).count() == 100
-    S.land_files(spark.range(100, 110).select(F.col("id"), F.lit(9).cast("bigint").alias("g")), landing, F.col("g"), 1,
-                 mode="append")
+    second = S.land_files(spark.range(100, 110).select(F.col("id"), F.lit(9).cast("bigint").alias("g")), landing)
+    assert second != first  # each landing has a marker of its own
     S.run_available_now(S.file_stream(spark, landing, df.schema, 1), ckpt, sink_path=sink)
     assert spark.read.parquet(sink).count() == 110
 
 
-def test_latest_revision_wins_across_batches(spark):
-    table = S.PartitionedTable(spark, shared_path(spark, "t_rev"), "p")
-    fn = S.latest_revision_batches(table, ["k"], "rev")
-    fn(spark.createDataFrame([(1, 0, "a", 1), (2, 0, "b", 2)], "k int, rev int, v string, p int"), 0)
-    fn(spark.createDataFrame([(1, 1, "A", 1), (2, 0, "b", 2)], "k int, rev int, v string, p int"), 1)
-    fn(spark.createDataFrame([(1, 0, "stale", 1)], "k int, rev int, v string, p int"), 2)
-    fn(spark.createDataFrame([(1, 0, "stale", 1)], "k int, rev int, v string, p int"), 2)  # replayed batch
-    assert sorted(tuple(r) for r in table.read().select("k", "rev", "v", "p").collect()) == [
-        (1, 1, "A", 1), (2, 0, "b", 2)]
-
-
-def test_one_payload_feeds_two_tables(spark):
-    from tessera.plans.streams import stream_file_ingest
-    sf = "/root/testdata/sf0.001"
-    raw = stream_file_ingest(spark, sf)
-    ev = spark.read.parquet(f"{sf}/events.parquet")
-    assert raw.count() == ev.count()
-    # the counts table of the run just made is the newest event_type_counts folder
-    import glob
-    base = sorted(glob.glob(spark.sparkContext.getCheckpointDir().replace("file:", "") + "/tessera/event_type_counts-*"),
-                  key=os.path.getmtime)[-1]
-    counts = spark.read.parquet(base + "/table")
-    expect = ev.groupBy(F.to_date("ts").alias("obs_date"), "event_type").count()
-    assert sorted((r.obs_date, r.event_type, r.n) for r in counts.collect()) == sorted(
-        (r.obs_date, r.event_type, r["count"]) for r in expect.collect())
+REV = "k int, rev int, v string, p int"
+
+
+def test_latest_revision_wins_across_batches_and_restarts(spark):
+    base = shared_path(spark, "t_rev")
+    table = lambda: S.PartitionedTable(spark, base, "p", REV, ["k", "p"])  # noqa: E731  a restart each time
+    assert table().read().count() == 0
+    run = lambda rows, batch: S.latest_revision_batches(table(), "rev")(spark.createDataFrame(rows, REV), batch)
+    run([(1, 0, "a", 1), (2, 0, "b", 2)], 0)
+    run([(1, 1, "A", 1), (2, 0, "b", 2)], 1)
+    run([(1, 0, "stale", 1)], 2)
+    run([(1, 0, "stale", 1)], 2)  # replayed batch
+    assert sorted(tuple(r) for r in table().read().select("k", "rev", "v", "p").collect()) == [(1, 1, "A", 1), (2, 0, "b", 2)]
+
+
+def test_keys_must_hold_the_partition(spark):
+    with pytest.raises(ValueError):
+        S.PartitionedTable(spark, shared_path(spark, "t_bad"), "p", REV, ["k"])
+
+
+def test_a_failing_read_fails_the_merge_and_keeps_the_table(spark, monkeypatch):
+    path, st = shared_path(spark, "t_fail"), "k int, p int, v int"
+    up = lambda cur, src: MG.upsert(cur, src, ["k", "p"])
+    lake.merge_partitions(spark, path, spark.createDataFrame([(i, 1, 0) for i in range(5)], st), "p", up, shared_path(spark, "t_s0"))
+
+    def broken(*a):
+        raise OSError("store unavailable")
+
+    whole = lake.read_table
+    monkeypatch.setattr(lake, "read_table", lambda s, p, schema: broken() if p == path else whole(s, p, schema))
+    with pytest.raises(OSError):
+        lake.merge_partitions(spark, path, spark.createDataFrame([(9, 1, 9)], st), "p", up, shared_path(spark, "t_s1"))
+    monkeypatch.undo()
+    assert lake.read_table(spark, path, st).count() == 5
+    lake.merge_partitions(spark, path, spark.createDataFrame([(9, 1, 9)], st), "p", up, shared_path(spark, "t_s2"))
+    assert lake.read_table(spark, path, st).count() == 6
+
+
+def _events(spark):
+    """240 days, each day's rows spread over all files."""
+    start = dt.date(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(days=i % 240), f"t{i % 3}", float(i % 7)) for i in range(1200)]
+    return rows, spark.createDataFrame(rows, "event_id long, day date, kind string, value double")
+
+
+def test_totals_add_up_over_many_batches_and_landings(spark):
+    rows, df = _events(spark)
+    landing, ckpt = shared_path(spark, "t_long"), shared_path(spark, "t_long_ckpt")
+    S.land_files(df.where("event_id < 900"), landing, 13)
+    sums = S.PartialSums(spark, shared_path(spark, "t_sums"), ["day", "kind"], ["n", "total"], "day date, kind string, n long, total double")
+    assert sums.read().count() == 0
+    fn = sums.batches(lambda b: b.select("day", "kind", F.lit(1).alias("n"), F.col("value").alias("total")))
+    S.run_available_now(S.file_stream(spark, landing, df.schema, 1), ckpt, foreach_batch=fn)
+    S.land_files(df.where("event_id >= 900"), landing, 2)  # old days again
+    S.run_available_now(S.file_stream(spark, landing, df.schema, 1), ckpt, foreach_batch=fn)
+    want = {}
+    for _, day, kind, value in rows:
+        n, t = want.get((day, kind), (0, 0.0))
+        want[day, kind] = (n + 1, t + value)
+    assert {(r.day, r.kind): (r.n, r.total) for r in sums.read().collect()} == want
+
+
+def test_revisions_land_however_late_and_may_move_a_row(spark):
+    rows, df = _events(spark)
+    schema = "event_id long, day date, value double, rev int, bucket int"
+    table = S.PartitionedTable(spark, shared_path(spark, "t_moved"), "bucket", schema, ["event_id", "bucket"])
+    landing, ckpt = shared_path(spark, "t_moved_in"), shared_path(spark, "t_moved_ckpt")
+    shaped = df.select("event_id", "day", "value", F.lit(0).alias("rev"))
+    fn = S.latest_revision_batches(table, "rev", lambda b: b.withColumn("bucket", (F.col("event_id") % 4).cast("int")))
+    S.land_files(shaped, landing, 6)
+    S.run_available_now(S.file_stream(spark, landing, shaped.schema, 2), ckpt, foreach_batch=fn)
+    late = shaped.where("event_id % 6 = 0").select("event_id", F.date_add("day", 9).alias("day"), (F.col("value") + 100).alias("value"), F.lit(1).alias("rev"))
+    S.land_files(late, landing, 3)
+    S.run_available_now(S.file_stream(spark, landing, shaped.schema, 2), ckpt, foreach_batch=fn)
+    out = {r.event_id: (r.day, r.value) for r in table.read().collect()}
+    assert len(out) == table.read().count() == 1200
+    assert out == {i: (d + dt.timedelta(days=9), v + 100) if i % 6 == 0 else (d, v) for i, d, _, v in rows}
+
+
+def test_a_cluster_must_name_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda k, d=None: d)}))
+
+    class Session:
+        sparkContext = Context
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session)
