@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -187,20 +189,24 @@ class Memo:
     def __init__(self, limit: int) -> None:
         self.limit, self.new, self.old = limit, {}, {}
 
-    def get_many(self, keys: list[str]) -> list:
-        """Values in order; None where a key is unknown."""
-        out = list(map(self.new.get, keys))
-        if self.old and None in out:
-            for i, v in enumerate(out):
-                if v is None and (v := self.old.get(keys[i])) is not None:
-                    out[i] = self.new[keys[i]] = v
+    def resolve(self, lists: list[list], make: Callable[[list], list]) -> dict:
+        """Key to value for every key of the lists; unknown ones are made together, once each."""
+        out, new, old = dict.fromkeys(chain.from_iterable(lists)), self.new, self.old
+        missing = []
+        for k in out:
+            if (v := new.get(k)) is None:
+                if (v := old.get(k)) is None:
+                    missing.append(k)
+                    continue
+                new[k] = v
+            out[k] = v
+        if missing:
+            out.update(zip(missing, make(missing), strict=True))
+        if len(new) + len(missing) > self.limit:
+            self.old, self.new = new, {}
+        self.new.update((k, out[k]) for k in missing)
         return out
 
-    def put_many(self, keys: list[str], values: list) -> None:
-        if len(self.new) + len(keys) > self.limit:
-            self.old, self.new = self.new, {}
-        self.new.update(zip(keys, values, strict=True))
-
 
 @lru_cache(maxsize=4)
 def rank_table(path: str) -> RankTable:

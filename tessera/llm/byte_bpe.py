@@ -28,8 +28,6 @@ class TextCodec:
         names = sorted(self.table.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.memo = memo(f"byte-bpe:{path}")
-        for s, i in self.table.special.items():
-            self.memo.new[s] = self.memo.old[s] = np.array([i], dtype="<u4").tobytes()
 
     def parts(self, text: str) -> list[str]:
         """The text in pieces that are encoded independently; special strings stand alone."""
@@ -40,22 +38,15 @@ class TextCodec:
             out += [x] if k % 2 else self.find(x)
         return out
 
+    def _new(self, words: list[str]) -> list[bytes]:
+        special = self.table.special
+        ids = self.table.encode([b"" if w in special else w.encode() for w in words])
+        return [np.array([special[w]], dtype="<u4").tobytes() if w in special else x for w, x in zip(words, ids, strict=True)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.parts(t) for t in texts]
-        found = [self.memo.get_many(p) for p in split]
-        missing = list({w for p, v in zip(split, found, strict=True) if None in v
-                        for w, x in zip(p, v, strict=True) if x is None})
-        new = {}
-        if missing:
-            plain = [w for w in missing if w not in self.table.special]
-            new = dict(zip(plain, self.table.encode([w.encode() for w in plain]), strict=True))
-            new |= {s: np.array([i], dtype="<u4").tobytes() for s, i in self.table.special.items()}
-        out = []
-        for p, v in zip(split, found, strict=True):
-            ids = b"".join([new[w] if x is None else x for w, x in zip(p, v, strict=True)] if None in v else v)
-            out.append(np.frombuffer(ids, dtype="<u4"))
-        self.memo.put_many(list(new), list(new.values()))
-        return out
+        known = self.memo.resolve(split, self._new)
+        return [np.frombuffer(b"".join(map(known.__getitem__, p)), dtype="<u4") for p in split]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.table.decode(ids).decode("utf-8", errors="replace")

@@ -43,16 +43,11 @@ class ChunkCounter:
         """Tokens of each text: one chunk at most by its units between stable boundaries (their
         counts are remembered), longer ones chunk by chunk."""
         split = [t.encode().split() if len(t) <= self.chunk else [] for t in texts]
-        found = [self.memo.get_many(u) for u in split]
-        missing = list({w for u, v in zip(split, found, strict=True) if None in v
-                        for w, x in zip(u, v, strict=True) if x is None})
-        sizes = [len(e.ids) for e in self.library.encode_batch([w.decode() for w in missing], add_special_tokens=False)]
-        new = dict(zip(missing, sizes, strict=True))
-        out = [sum([new[w] if x is None else x for w, x in zip(u, v, strict=True)] if None in v else v)
-               if len(t) <= self.chunk else self.spliced(t)
-               for t, u, v in zip(texts, split, found, strict=True)]
-        self.memo.put_many(missing, sizes)
-        return out
+        known = self.memo.resolve(split, self._new)
+        return [sum(map(known.__getitem__, u)) if len(t) <= self.chunk else self.spliced(t) for t, u in zip(texts, split, strict=True)]
+
+    def _new(self, units: list[bytes]) -> list[int]:
+        return [len(e.ids) for e in self.library.encode_batch([u.decode() for u in units], add_special_tokens=False)]
 
     def _chunk(self, text: str, lo: int, hi: int) -> tuple[list[int], list[int]]:
         """Ids and first characters of the tokens of text[lo:hi], as places in the whole text."""

@@ -14,8 +14,8 @@ from tessera.llm.bpe import memo, rank_table
 
 #: How this kind of vocabulary parts a lower-cased text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
-#: Characters that normalisation only lower-cases, one by one; other units go through the library.
-PLAIN = regex.compile(r"[\x21-\x7E¡-¬®-įı-ſ‐-…€]+")
+#: Characters that normalisation only lower-cases, one by one; the line feed parts units; others go through the library.
+PLAIN = regex.compile(r"[\n\x21-\x7E¡-¬®-įı-ſ‐-…€]+")
 
 
 class WordIds:
@@ -28,37 +28,34 @@ class WordIds:
     def __init__(self, path: str) -> None:
         self.table = rank_table(path)
         self.library = Tokenizer.from_file(path)
-        self.find = regex.compile(PATTERN).findall
+        self.find = regex.compile(PATTERN + r"|\n").findall
         self.memo = memo(f"word-bpe:{path}", 300_000)
 
     def _new(self, units: list[bytes]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(units)
-        words: list[bytes] = []
-        spans: list[tuple[int, int, int]] = []
-        odd: list[tuple[int, str]] = []
-        for k, u in enumerate(units):
-            s = u.decode()
-            if b"<|" not in u and PLAIN.fullmatch(s):
-                part = [w.encode() for w in self.find(s.lower())]
-                spans.append((k, len(words), len(words) + len(part)))
-                words += part
+        """Ids of units; plain ones are parted and merged together, the library sees the others."""
+        blob = b"\n".join(units).decode()
+        if "<|" not in blob and PLAIN.fullmatch(blob):
+            return self._plain(blob)
+        odd = [k for k, s in enumerate(blob.split("\n")) if "<|" in s or not PLAIN.fullmatch(s)]
+        encoded = self.library.encode_batch([units[k].decode() for k in odd], add_special_tokens=False)
+        known = {k: np.array(e.ids, dtype="<u4").tobytes() for k, e in zip(odd, encoded, strict=True)}
+        plain = [u for k, u in enumerate(units) if k not in known]
+        rest = iter(self._plain(b"\n".join(plain).decode()) if plain else [])
+        return [known[k] if k in known else next(rest) for k in range(len(units))]
+
+    def _plain(self, lines: str) -> list[bytes]:
+        words, ends = [], []
+        for w in self.find(lines.lower()):
+            if w == "\n":
+                ends.append(len(words))
             else:
-                odd.append((k, s))
-        ids = self.table.encode(words)
-        for k, a, b in spans:
-            out[k] = ids[a] if b == a + 1 else b"".join(ids[a:b])
-        for (k, _), e in zip(odd, self.library.encode_batch([s for _, s in odd], add_special_tokens=False), strict=True):
-            out[k] = np.array(e.ids, dtype="<u4").tobytes()
-        return out
+                words.append(w)
+        ends.append(len(words))
+        ids = self.table.encode("\n".join(words).encode().split(b"\n"))
+        return [ids[a] if b == a + 1 else b"".join(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each UTF-8 text as little-endian unsigned 32-bit bytes."""
         split = [t.split() for t in texts]
-        found = [self.memo.get_many(u) for u in split]
-        missing = list({w for u, v in zip(split, found, strict=True) if None in v
-                        for w, x in zip(u, v, strict=True) if x is None})
-        new = dict(zip(missing, self._new(missing), strict=True)) if missing else {}
-        out = [b"".join([new[w] if x is None else x for w, x in zip(u, v, strict=True)] if None in v else v)
-               for u, v in zip(split, found, strict=True)]
-        self.memo.put_many(list(new), list(new.values()))
-        return out
+        known = self.memo.resolve(split, self._new)
+        return [b"".join(map(known.__getitem__, u)) for u in split]

@@ -293,11 +293,17 @@ def test_rank_array_and_heap_agree():
     assert table.encode(some) == [table._heap(w) for w in some]
 
 
-def test_memo_keeps_two_generations():
-    m = bpe.Memo(4)
-    for k in "abcdef":
-        m.put_many([k], [k])
-    assert len(m.new) + len(m.old) <= 8 and m.get_many(["a", "f", "z"]) == ["a", "f", None]
+def test_memo_is_bounded_and_makes_what_it_has_lost():
+    m, made = bpe.Memo(4), []
+
+    def make(keys):
+        made.extend(keys)
+        return [k.upper() for k in keys]
+
+    for k in "abcdefabc":
+        assert m.resolve([[k, k], []], make) == {k: k.upper()}
+        assert len(m.new) + len(m.old) <= 8
+    assert made[:6] == list("abcdef") and m.resolve([], make) == {}
 
 
 def test_packing(spark, edge, documents):
