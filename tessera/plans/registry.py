@@ -20,6 +20,7 @@ PLAN_MODULES = (
     "tessera.plans.hierarchy",
     "tessera.plans.entities",
     "tessera.plans.textsources",
+    "tessera.plans.readers",
     "tessera.plans.writes",
     "tessera.plans.streams",
 )

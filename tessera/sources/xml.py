@@ -28,24 +28,29 @@ def _as_array(c: Column, dt: T.DataType) -> Column:
 
 
 def tree_pairs(spark: SparkSession, path: str, *, root_tag: str, group_tag: str, node_tag: str,
-               name_field: str = "name", group_attr: str = "_id") -> DataFrame:
+               name_field: str = "name", group_attr: str = "_id", label_field: str | None = None) -> DataFrame:
     """Nested ``node_tag`` elements under ``group_tag`` under each ``root_tag`` row
     -> (code, parent, root, group) pairs. The nesting is unrolled level by level with
-    ``explode`` (one narrow step per level) up to the depth the schema holds."""
+    ``explode`` (one narrow step per level) up to the depth the schema holds. With
+    ``label_field`` the labels of root and group come along, their code ranges stripped."""
     df = (spark.read.format("xml").option("rowTag", root_tag).option("inferSchema", False).load(path))
     root_name = F.col(name_field).cast("string")
-    groups = df.select(root_name.alias("root"), F.explode(_as_array(F.col(group_tag), df.schema[group_tag].dataType)).alias("g"))
+    from tessera.functions.codes import strip_range_suffix
+    label = lambda c, name: [strip_range_suffix(c.cast("string")).alias(name)] if label_field else []
+    kept = ["root", "group", "root_label", "group_label"] if label_field else ["root", "group"]
+    groups = df.select(root_name.alias("root"), *label(F.col(label_field or name_field), "root_label"), F.explode(_as_array(F.col(group_tag), df.schema[group_tag].dataType)).alias("g"))
     gtype = groups.schema["g"].dataType
-    level = groups.select("root", F.col(f"g.{group_attr}").cast("string").alias("group"),
+    level = groups.select("root", F.col(f"g.{group_attr}").cast("string").alias("group"), *kept[2:3],
+                          *label(F.col(f"g.{label_field or name_field}"), "group_label"),
                           F.explode(_as_array(F.col(f"g.{node_tag}"), gtype[node_tag].dataType)).alias("n"),
                           F.lit(None).cast("string").alias("parent"))
     out = None
     while True:  # the schema that was read ends the walk
         ntype = level.schema["n"].dataType
-        rows = level.select(F.trim(F.col(f"n.{name_field}").cast("string")).alias("code"), "parent", "root", "group").where("code <> ''")
+        rows = level.select(F.trim(F.col(f"n.{name_field}").cast("string")).alias("code"), "parent", *kept).where("code <> ''")
         out = rows if out is None else out.unionByName(rows)
         if _child_array_type(ntype, node_tag) is None:
             break
-        level = level.select("root", "group", F.trim(F.col(f"n.{name_field}").cast("string")).alias("parent"),
+        level = level.select(*kept, F.trim(F.col(f"n.{name_field}").cast("string")).alias("parent"),
                              F.explode(_as_array(F.col(f"n.{node_tag}"), ntype[node_tag].dataType)).alias("n"))
     return out
