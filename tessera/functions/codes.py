@@ -243,6 +243,18 @@ def subdivision_parts(x) -> tuple[Column, Column]:
     return F.when(ok, F.substring_index(s, "-", 1)), F.when(ok, F.substring_index(s, "-", -1))
 
 
+def dashed_subdivision(x) -> Column:
+    """``AA.LLL`` (dots) as ``AA-LLL``; NULL unless two letters and one to three letters or digits."""
+    s = F.upper(F.trim(_c(x)))
+    return F.when(s.rlike(r"^[A-Z]{2}\.[A-Z0-9]{1,3}$"), F.translate(s, ".", "-"))
+
+
+def subdivision_code(dotted_col, dashed_col) -> Column:
+    """One code of a subdivision: its dotted spelling if well formed, else its dashed one."""
+    s = F.upper(F.trim(_c(dashed_col)))
+    return F.coalesce(dashed_subdivision(dotted_col), F.when(s.rlike(r"^[A-Z]{2}-[A-Z0-9]{1,3}$"), s))
+
+
 # --- F15: level implied by dot count ------------------------------------------------
 
 def dot_level(x) -> Column:

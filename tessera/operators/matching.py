@@ -56,3 +56,16 @@ def first_writer_map(df: DataFrame, key: str, value: str, order: Sequence[Column
     st = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], F.col(value).alias("__v"))
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(st).alias("__s")) \
              .select(key, F.col("__s.__v").alias(value))
+
+
+def code_claims(refs: DataFrame, dotted_col: str, dashed_col: str, rid: str) -> DataFrame:
+    """(code, rid) by each reference's own code, the dotted spelling before the dashed one; a
+    code that several claim goes to the smallest rid."""
+    claims = refs.select(C.subdivision_code(dotted_col, dashed_col).alias("code"), rid)
+    return claims.where("code IS NOT NULL").groupBy("code").agg(F.min(rid).alias(rid))
+
+
+def unmatched_ids(refs: DataFrame, matched: DataFrame, rid: str) -> DataFrame:
+    """Reference ids that no target was linked to (an ambiguous name claims none)."""
+    claimed = matched.select(F.col("linked_" + rid).alias(rid)).where(F.col(rid).isNotNull())
+    return refs.select(rid).where(F.col(rid).isNotNull()).distinct().join(claimed, rid, "left_anti")

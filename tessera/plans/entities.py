@@ -147,3 +147,47 @@ def defining_row(spark, sf):
                        F.col("doc_id"), F.col("lang"))).alias("__s"),
         F.count(F.lit(1)).alias("n_atoms"))
     return picked.select("source", "__s.doc_id", "__s.lang", "n_atoms")
+
+
+_SUBDIVISION_SQL = """
+r AS (SELECT s_suppkey AS rid, chr((65 + s_nationkey % 26)::INTEGER) || 'Q' AS scope, s_suppkey % 90 AS loc, s_suppkey % 4 AS kind FROM supplier),
+own AS (SELECT rid, scope || '-' || loc AS code FROM r WHERE kind IN (0, 1) UNION ALL SELECT rid, scope || '-' || loc FROM r WHERE kind = 2),
+c AS (SELECT code, MIN(rid) AS rid FROM own GROUP BY 1),
+n AS (SELECT scope, 'place ' || loc AS k, MIN(rid) AS rid, COUNT(DISTINCT rid) > 1 AS amb FROM r GROUP BY 1, 2),
+t AS (SELECT DISTINCT chr((65 + c_nationkey % 26)::INTEGER) || 'Q' AS scope, c_custkey % 100 AS loc FROM customer),
+m AS (SELECT t.scope || '-' || loc AS code,
+             CASE WHEN c.rid IS NOT NULL THEN 'code' WHEN n.rid IS NOT NULL AND amb THEN 'name_ambiguous' WHEN n.rid IS NOT NULL THEN 'name' ELSE 'none' END AS method,
+             CASE WHEN c.rid IS NOT NULL THEN c.rid WHEN n.rid IS NOT NULL AND NOT amb THEN n.rid END AS linked_rid
+      FROM t LEFT JOIN c ON c.code = t.scope || '-' || loc LEFT JOIN n ON n.scope = t.scope AND n.k = 'place ' || loc)
+"""
+
+
+def _subdivisions(spark, sf):
+    """References whose code is dotted (kinds 0 and 1), dashed (2) or absent (3); targets by code and name."""
+    t = Tables(spark, sf)
+    letters = lambda c: F.concat(F.chr(F.col(c) % 26 + 65), F.lit("Q"))
+    kind, loc = F.col("s_suppkey") % 4, (F.col("s_suppkey") % 90).cast("string")
+    scope = letters("s_nationkey")
+    refs = t.supplier.select(
+        F.col("s_suppkey").alias("rid"), scope.alias("scope"), F.concat(F.lit("Pläce  "), loc).alias("name"),
+        F.when(kind < 2, F.concat(F.lit(" "), F.lower(scope), F.lit("."), loc)).when(kind == 2, "broken.code.x").alias("hasc"),
+        F.when(kind == 1, "ZZ-9").when(kind == 2, F.concat(F.lower(scope), F.lit("-"), loc, F.lit(" "))).otherwise("").alias("iso"))
+    spot = (F.col("c_custkey") % 100).cast("string")
+    targets = t.customer.select(letters("c_nationkey").alias("scope"), spot.alias("loc")).distinct().select(
+        F.concat("scope", F.lit("-"), "loc").alias("code"), "scope", F.concat(F.lit("PLACE-"), "loc").alias("name"))
+    names = M.name_index(refs, "scope", "rid", F.array("name"))
+    none = spark.createDataFrame([], "code string, rid long")
+    return refs, M.tiered_match(targets, "code", "scope", "name", M.code_claims(refs, "hasc", "iso", "rid"), names, none, "rid")
+
+
+@query("subdivision_match", sql=f"WITH {_SUBDIVISION_SQL} SELECT code, method, linked_rid FROM m")
+def subdivision_match(spark, sf):
+    """Own codes first (dotted spelling, then dashed), names within the country next."""
+    return _subdivisions(spark, sf)[1]
+
+
+@query("unmatched_ids", sql=f"WITH {_SUBDIVISION_SQL} SELECT rid FROM r WHERE rid NOT IN (SELECT linked_rid FROM m WHERE linked_rid IS NOT NULL)")
+def unmatched_ids(spark, sf):
+    """References that no target claims."""
+    refs, matched = _subdivisions(spark, sf)
+    return M.unmatched_ids(refs, matched, "rid")

@@ -198,3 +198,28 @@ def density_completeness(spark, sf):
     return out.select("yr", "l_returnflag", "n_rows", "n_cells", "n_days", "n_suppliers",
                       expected.alias("expected_days"), (F.col("yr") == F.col("max_yr")).alias("exempt"),
                       ((F.col("n_days") < expected) & (F.col("yr") != F.col("max_yr"))).alias("incomplete"))
+
+
+@query("density_full_set", sql="""
+WITH c AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS yr, l_returnflag, CAST(l_shipdate AS DATE) AS d, l_suppkey FROM lineitem),
+full_set AS (SELECT l_returnflag, COUNT(DISTINCT l_suppkey) AS expected_regions FROM lineitem GROUP BY 1),
+per AS (SELECT yr, l_returnflag, COUNT(*) AS actual_rows, COUNT(DISTINCT d) AS distinct_days, COUNT(DISTINCT l_suppkey) AS distinct_regions FROM c GROUP BY 1, 2),
+e AS (SELECT per.*, expected_regions, CAST(make_date(yr + 1, 1, 1) - make_date(yr, 1, 1) AS INTEGER) AS days FROM per JOIN full_set USING (l_returnflag))
+SELECT yr, l_returnflag, actual_rows, distinct_days, days AS days_in_year, distinct_regions, expected_regions,
+       distinct_days <> days OR distinct_regions <> expected_regions OR actual_rows <> days * expected_regions AS incomplete
+FROM e WHERE yr < (SELECT MAX(yr) FROM per)
+""")
+def density_full_set(spark, sf):
+    """Every (year, flag) cell should hold each day of the year for the full supplier set of the
+    whole table; the running year is exempt. One distinct pass feeds all three comparisons."""
+    li = Tables(spark, sf).lineitem
+    cells = li.select(F.year("l_shipdate").alias("yr"), "l_returnflag", F.to_date("l_shipdate").alias("d"), "l_suppkey").distinct()
+    full = li.groupBy("l_returnflag").agg(F.count_distinct("l_suppkey").alias("expected_regions"))
+    last = li.agg(F.max(F.year("l_shipdate")).alias("last"))
+    per = cells.groupBy("yr", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("actual_rows"), F.count_distinct("d").alias("distinct_days"), F.count_distinct("l_suppkey").alias("distinct_regions"))
+    days = D.days_in_year(F.col("yr"))
+    out = per.join(last, F.col("yr") < F.col("last")).join(full, "l_returnflag")
+    return out.select("yr", "l_returnflag", "actual_rows", "distinct_days", days.alias("days_in_year"), "distinct_regions", "expected_regions",
+                      ((F.col("distinct_days") != days) | (F.col("distinct_regions") != F.col("expected_regions"))
+                       | (F.col("actual_rows") != days * F.col("expected_regions"))).alias("incomplete"))

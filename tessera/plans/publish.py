@@ -11,24 +11,23 @@ from tessera.operators import dq
 from tessera.sources import lake
 
 
-def publish(spark: SparkSession, frame: DataFrame, checks: Callable[[DataFrame], DataFrame], *, staging: str,
-            published: str, dq_log: str, run_id: str, raise_on_block: bool = True,
+def publish(spark: SparkSession, frame: DataFrame, checks: Callable[[DataFrame], DataFrame], *, published: str,
+            dq_log: str, run_id: str, raise_on_block: bool = True,
             on_published: Callable[[str], None] | None = None) -> bool:
-    """Write the frame to staging, run the checks on the staged copy, append the
-    results to the DQ log (on success and on failure), and publish the staged copy
-    as a new version (pointer flipped after the write completes) only when no
-    blocking check failed."""
-    lake.full_refresh(frame, staging)
-    staged = spark.read.parquet(staging)
-    with dq.ResultLog(dq_log, run_id, "gated_publish") as rec:  # persisted either way
-        rec.record(checks(staged))
-    logged = spark.read.parquet(dq_log).filter(F.col("run_id") == run_id)
-    blocking = logged.filter(~F.col("passed") & F.col("severity").isin(*dq.BLOCKING)).limit(1).count() > 0
-    if blocking:
+    """Write the frame once, as a version folder that no pointer names; run the checks on it,
+    append their results to the DQ log (on success and on failure), and add the pointer
+    only when no blocking check of this run failed. A second try under the same run id is
+    judged by its own results alone."""
+    version = lake.write_version(spark, frame, published)
+    written = spark.read.parquet(version)
+    results = checks(written).checkpoint()  # judged and logged from one evaluation
+    with dq.ResultLog(dq_log, run_id, "gated_publish") as log:  # persisted either way
+        log.record(results)
+    if not results.filter(~F.col("passed") & F.col("severity").isin(*dq.BLOCKING)).isEmpty():
         if raise_on_block:
-            dq.raise_if_blocking(logged)
+            dq.raise_if_blocking(results)
         return False
-    path = lake.publish_version(spark, staged, published)
+    lake.point_to(spark, published, version)
     if on_published is not None:  # registration happens only after a successful publish
-        on_published(path)
+        on_published(version)
     return True

@@ -25,6 +25,42 @@ def full_refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, keys: list[str]) -> None:
+    """O1: files hold disjoint key ranges, each sorted, so readers prune by the keys' statistics."""
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
+def write_snapshot_once(df: DataFrame, path: str, vintage_col: str, vintage) -> bool:
+    """U8: write the snapshot of ``vintage`` unless it is there; True if it was written. A
+    snapshot counts as there once its write has committed, so a broken one is written again."""
+    folder = f"{path.rstrip('/')}/{vintage_col}={vintage}"
+    try:
+        df.sparkSession.read.text(f"{folder}/_SUCCESS")
+        return False
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+    df.drop(vintage_col).write.mode("overwrite").parquet(folder)
+    return True
+
+
+def write_if_changed(df: DataFrame, base: str, signature: list) -> bool:
+    """Publish ``df`` unless the stored signature of the last publish equals its own (the
+    aggregates ``signature``, order-free); True if it was published."""
+    spark = df.sparkSession
+    now = df.agg(*signature).withColumn("turn", F.lit(0))
+    stored = try_read(spark, f"{base.rstrip('/')}/_signatures", now.schema)
+    mark = tuple(now.first())[:-1]
+    if stored is not None:
+        last = stored.orderBy(F.desc("turn")).limit(1).first()
+        if tuple(last)[:-1] == mark:
+            return False
+        now = now.withColumn("turn", F.lit(last.turn + 1))
+    publish_version(spark, df, base)
+    now.write.mode("append").parquet(f"{base.rstrip('/')}/_signatures")
+    return True
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
     """One shuffle by the partition value keeps files few; AQE splits a value that is too large."""
     df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
@@ -113,16 +149,27 @@ def publish_version(spark: SparkSession, df: DataFrame, base: str, *, allow_sche
     previous version published and intact; re-running
     simply writes another version. A schema different from the published one
     fails loudly unless ``allow_schema_change`` is set."""
+    path = write_version(spark, df, base, allow_schema_change=allow_schema_change)
+    point_to(spark, base, path)
+    return path
+
+
+def write_version(spark: SparkSession, df: DataFrame, base: str, *, allow_schema_change: bool = False) -> str:
+    """Write a version folder that no reader sees yet, and return it."""
     if not allow_schema_change:
         current = read_current(spark, base)
         if current is not None and current.schema.simpleString() != df.schema.simpleString():
             raise SchemaDrift(f"{base}: published {current.schema.simpleString()} != new {df.schema.simpleString()}")
     path = new_version_path(base)
     full_refresh(df, path)
+    return path
+
+
+def point_to(spark: SparkSession, base: str, path: str) -> None:
+    """Make ``path`` the published version by adding the next pointer."""
     turn = 1 + max((n for n, _ in _pointers(spark, base)), default=0)
     pointer = spark.createDataFrame([(turn, path)], "turn long, path string").coalesce(1)
     pointer.write.mode("append").parquet(f"{base.rstrip('/')}/_pointers")
-    return path
 
 
 def _pointers(spark: SparkSession, base: str) -> list[tuple[int, str]]:

@@ -324,15 +324,36 @@ def test_publish_lifecycle(spark):
     def checks(df):
         return dq.unique(df, ["k"], table_name="t", check_name="u")
 
-    assert publish(spark, good, checks, staging=f"{root}/s1", published=f"{root}/pub", dq_log=f"{root}/log",
+    assert publish(spark, good, checks, published=f"{root}/pub", dq_log=f"{root}/log",
                    run_id="r1", on_published=lambda p: events.append(("registered", p)))
     with pytest.raises(dq.DQFailure):
-        publish(spark, bad, checks, staging=f"{root}/s2", published=f"{root}/pub", dq_log=f"{root}/log", run_id="r2",
+        publish(spark, bad, checks, published=f"{root}/pub", dq_log=f"{root}/log", run_id="r2",
                 on_published=lambda p: events.append(("registered", p)))
     assert len(events) == 1  # the failed run never registered
     assert lake.read_current(spark, f"{root}/pub").count() == 2  # and never replaced the published version
     logged = sorted((r.run_id, r.passed) for r in spark.read.parquet(f"{root}/log").collect())
     assert logged == [("r1", True), ("r2", False)]  # DQ rows persisted on success and on failure
+    assert publish(spark, good, checks, published=f"{root}/pub", dq_log=f"{root}/log", run_id="r2")  # a second try stands alone
+
+
+def test_a_crash_between_data_and_pointer_keeps_the_published_version(spark):
+    base = shared_path(spark, "t_crash")
+    lake.publish_version(spark, spark.range(3), base)
+    lake.write_version(spark, spark.range(9), base)  # and then the job dies
+    assert lake.read_current(spark, base).count() == 3
+    lake.publish_version(spark, spark.range(5), base)
+    assert lake.read_current(spark, base).count() == 5
+
+
+def test_subdivision_codes(spark):
+    from tessera.functions import codes as C
+    from tessera.operators import matching as M
+    rows = [(1, "US.GA", "US-XX"), (2, None, " us-fl "), (3, " jp.01 ", ""), (4, "US.GAAA", None), (5, "U.GA", "USGA"), (6, "us.ga", None)]
+    refs = spark.createDataFrame(rows, "rid int, hasc string, iso string")
+    assert [r[0] for r in refs.orderBy("rid").select(C.subdivision_code("hasc", "iso")).collect()] == ["US-GA", "US-FL", "JP-01", None, None, "US-GA"]
+    assert sorted(map(tuple, M.code_claims(refs, "hasc", "iso", "rid").collect())) == [("JP-01", 3), ("US-FL", 2), ("US-GA", 1)]
+    linked = spark.createDataFrame([(1,), (None,)], "linked_rid int")
+    assert sorted(r.rid for r in M.unmatched_ids(refs, linked, "rid").collect()) == [2, 3, 4, 5, 6]
 
 
 def test_merge_partitions_touches_only_source_partitions(spark):

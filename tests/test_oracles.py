@@ -18,8 +18,10 @@ ORACLES = entry_mod.oracle_sql()
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None:
         return "NULL"
+    if isinstance(v, float) and math.isnan(v):
+        return "NaN"
     if isinstance(v, float):
         return f"{round(v, 6):.6f}"
     if hasattr(v, "isoformat"):

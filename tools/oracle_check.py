@@ -27,7 +27,7 @@ def norm(v):
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
-            return "NULL"
+            return "NaN"
         return f"{round(v, 6):.6f}"
     if hasattr(v, "isoformat"):
         return v.isoformat()
