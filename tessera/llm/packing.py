@@ -15,7 +15,7 @@ from tessera.llm.rows import id_and_text, ship_package, stage
 from tessera.llm.word_bpe import WordIds
 
 #: Lengths over this share of a sequence are large, and so grouped; the rest is best-fitted.
-LARGE_SHARE = 1 / 4
+LARGE_SHARE = 1 / 3
 #: Groups of equal cardinality into which the large lengths are rounded up.
 GROUPS = 32
 
