@@ -134,14 +134,16 @@ SELECT conv_id, turn, field FROM (
   SELECT conv_id, turn, 'role' AS field, role AS v FROM conversations
   UNION ALL SELECT conv_id, turn, 'text', text FROM conversations
   UNION ALL SELECT conv_id, turn, 'text_words', regexp_replace(text, '[^A-Za-z]', '', 'g') FROM conversations
+  UNION ALL SELECT conv_id, turn, 'text_figures', regexp_replace(text, '[^0-9]', '', 'g') FROM conversations
 ) s WHERE v IS NULL OR trim(v) = ''
 """)
 def dq_required_fields(spark, sf):
     """Q6: one row per (key, field) whose required value is blank."""
     c = Tables(spark, sf).conversations
     long = c.select("conv_id", "turn", F.col("role"), F.col("text"),
-                    F.regexp_replace("text", "[^A-Za-z]", "").alias("text_words"))
-    long = long.unpivot(["conv_id", "turn"], ["role", "text", "text_words"], "field", "v")
+                    F.regexp_replace("text", "[^A-Za-z]", "").alias("text_words"),
+                    F.regexp_replace("text", "[^0-9]", "").alias("text_figures"))  # few texts hold a figure
+    long = long.unpivot(["conv_id", "turn"], ["role", "text", "text_words", "text_figures"], "field", "v")
     return long.filter(F.col("v").isNull() | (F.trim("v") == "")).select("conv_id", "turn", "field")
 
 
@@ -265,7 +267,7 @@ SELECT event_id,
 FROM events e LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'AUTOMOBILE') c ON e.user_id = c.c_custkey
 """)
 def quarantine_split(spark, sf):
-    """Q12: one tagged pass; ``operators.quality_split.split`` turns it into the two
+    """Q12: one tagged pass; ``operators.quarantine`` turns it into the two
     writes (clean rows, quarantined rows with reason)."""
     from tessera.operators.quarantine import tag_reasons
     t = Tables(spark, sf)

@@ -191,7 +191,7 @@ WITH d1 AS (SELECT user_id, CAST(ts AS DATE) AS obs_date, ROUND(SUM(value), 2) A
 d2 AS (SELECT user_id, CAST(ts AS DATE) AS obs_date, ROUND(SUM(value), 2) AS total, COUNT(*) AS n, 'prelim' AS status
        FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-20' AND value < 100 GROUP BY 1, 2),
 d3 AS (SELECT user_id, CAST(ts AS DATE) AS obs_date, ROUND(SUM(value), 2) AS total, COUNT(*) AS n, 'scaled' AS status
-       FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-25' GROUP BY 1, 2),
+       FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-20' GROUP BY 1, 2),
 m1 AS (SELECT * FROM d1 ANTI JOIN d2 USING (user_id, obs_date) UNION ALL SELECT * FROM d2)
 SELECT * FROM m1 ANTI JOIN d3 USING (user_id, obs_date) UNION ALL SELECT * FROM d3
 """)
@@ -202,7 +202,7 @@ def revision_absorb(spark, sf):
     day = F.to_date("ts")
     loads = [_daily(ev.filter(day < F.lit("2024-01-20").cast("date")), "scaled"),
              _daily(ev.filter((day >= F.lit("2024-01-20").cast("date")) & (F.col("value") < 100)), "prelim"),
-             _daily(ev.filter(day >= F.lit("2024-01-25").cast("date")), "scaled")]
+             _daily(ev.filter(day >= F.lit("2024-01-20").cast("date")), "scaled")]  # the final load covers every preliminary day
     base = shared_path(spark, "daily_revisions")
     path = f"{base}/table"
     for i, load in enumerate(loads):  # each load rewrites only the days it touches
