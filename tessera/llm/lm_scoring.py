@@ -3,139 +3,236 @@
 from __future__ import annotations
 
 import math
-import uuid
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import pieces
 from tessera.llm.rows import id_and_text, ship_package, stage
 
-BITS = 20  # of a state-vocabulary id in a packed n-gram
-BEGIN, END, FIRST = 1, 2, 3  # ids of the two marks and of the first word
-#: Words a task gathers before it sends counts; tokens of a block of documents that are scored together.
-FLUSH, BLOCK_TOKENS = 1_000_000, 4_000_000
+#: The marks around a document; no word holds a line feed.
+BEGIN, END = b"\n<", b"\n>"
+#: Bytes of text that are counted and scored together.
+BLOCK_BYTES = 8_000_000
+#: Bytes that a task deals to blocks at once.
+DEAL_BYTES = 32_000_000
+#: Spark drops shuffle files at the end of a query that ran with this.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-class Automaton:
-    """States are contexts with stored continuations; an arc holds log10 P(word | context) and
-    the next state; a failure arc holds log10 of the backoff weight and leads to the shorter context.
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits in which every bit of the input reaches every bit of the output."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    P(w | h) = (c(hw) - D) / c(h) + b(h) P(w | h') on a stored arc, else b(h) P(w | h'), where
-    b(h) is what the stored arcs leave, so every state's distribution sums to one. At the root,
-    P(w) = (c(w) - D1) / N, and the D1 V / N taken off is the mass of unknown words.
+
+def _longer(head: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of the n-grams that a word makes of a context; even, while those of words are odd."""
+    return _mix(head * np.uint64(0x9E3779B97F4A7C15) + word) & ~np.uint64(1)
+
+
+def _word_keys(words: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words), "<u8") | np.uint64(1)
+
+
+BEGIN_KEY, END_KEY = _word_keys([BEGIN, END])
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """Eight-byte numbers by significance of their bytes, compressed: small ones are mostly zeros."""
+    return len(a).to_bytes(8, "little") + pa.compress(a.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, kind: type = np.int64) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    planes = pa.decompress(packed[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed, np.uint64), dtype=np.uint64)
+
+
+class Block:
+    """The tokens of some documents as rows of ``keys``, their distinct words and n-grams in order.
+
+    ``word``, ``before``: rows of the token and of the word before it; ``two``: of the bigram
+    they make; ``late``: which tokens have two before them; for those, ``pair`` and ``three``
+    are rows of the bigram before and of the trigram. ``start``: first token of each document.
     """
 
-    def __init__(self, unigram: np.ndarray, context: np.ndarray, keys: np.ndarray, counts: np.ndarray, discount: float) -> None:
-        """unigram[id]: P(id) at the root; context[id]: how often id is followed by a token."""
-        lo, mask = BITS, (1 << BITS) - 1
-        two = keys < (1 << (2 * BITS))
-        k2, c2, k3, c3 = keys[two], counts[two], keys[~two], counts[~two]
-        o2, o3 = np.argsort(k2), np.argsort(k3)
-        k2, c2, k3, c3 = k2[o2], c2[o2], k3[o3], c3[o3]
-        v = k2 >> lo
-        part2 = (c2 - discount) / context[v]
-        back2 = np.ones(len(context))
-        np.subtract.at(back2, v, part2)
-        p2 = part2 + back2[v] * unigram[k2 & mask]
-        states2 = np.unique(v)
-        uv, vw = k3 >> lo, k3 & ((1 << (2 * BITS)) - 1)
-        at, below = np.searchsorted(k2, uv), np.searchsorted(k2, vw)
-        part3 = (c3 - discount) / c2[at] if len(k3) else np.zeros(0)
-        states3, first = np.unique(uv, return_inverse=True)
-        back3 = np.ones(len(states3))
-        np.subtract.at(back3, first, part3)
-        p3 = part3 + (back3[first] * p2[below] if len(k3) else 0)
-
-        # numbers: 0 the root, then contexts of one word, then of two
-        one = np.zeros(len(context), dtype=np.int64)
-        one[states2] = 1 + np.arange(len(states2))
-        pair = {int(k): 1 + len(states2) + i for i, k in enumerate(states3)}
-        self.root = one.tolist()
-        follow = [pair.get(int(k), int(one[k & mask])) for k in k2]
-        arcs = {(int(one[a]) << BITS) | int(k & mask): (float(p), n) for k, a, p, n in zip(k2, v, np.log10(p2), follow, strict=True)}
-        for k, s, p in zip(k3, first, np.log10(p3), strict=True):
-            w = int(k) & ((1 << (2 * BITS)) - 1)
-            arcs[((1 + len(states2) + int(s)) << BITS) | int(k & mask)] = (float(p), pair.get(w, int(one[k & mask])))
-        self.arcs = arcs
-        self.back = [0.0, *np.log10(back2[states2]).tolist(), *np.log10(back3).tolist()]
-        self.fail = [0, *[0] * len(states2), *one[states3 & mask].tolist()]
-
-    def score(self, ids: list[int], root_score: list[float], tokens: list[int]) -> float:
-        """One left-to-right walk over ``tokens`` (rows of ``ids`` and ``root_score``)."""
-        arcs, back, fail, root = self.arcs, self.back, self.fail, self.root
-        state, total = root[BEGIN], 0.0
-        for t in tokens:
-            w = ids[t]
-            while state:
-                if w and (arc := arcs.get((state << BITS) | w)) is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += back[state]
-                state = fail[state]
-            else:
-                total += root_score[t]
-                state = root[w]
-        return total
-
-
-class Model:
-    """What scoring needs of the corpus besides rare words' counts; its size has a bound."""
-
-    def __init__(self, words: list[bytes], word_counts: list[int], n_docs: int, n_words: int, n_types: int,
-                 once: int, twice: int, keys: np.ndarray, counts: np.ndarray, discount: float) -> None:
-        self.n, self.v = n_words + n_docs, n_types + (n_docs > 0)
-        self.d1 = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
-        self.ids = {w: FIRST + i for i, w in enumerate(words)}
-        self.counts = np.array([0, 0, n_docs, *word_counts], dtype=np.int64)
-        follow = self.counts.copy()
-        follow[BEGIN], follow[END] = n_docs, 0
-        self.automaton = Automaton(10 ** self.root(self.counts), follow, keys, counts, discount)
-
-    def root(self, c: np.ndarray) -> np.ndarray:
-        """log10 P(w) of words with training count c; unknown words share one mass."""
-        unknown = self.d1 * self.v / self.n if self.n else 1.0
-        return np.log10(np.where(c > 0, (c - self.d1) / max(self.n, 1), unknown))
-
-    def base(self, c: np.ndarray) -> np.ndarray:
-        return np.log10((c + 0.1) / (self.n + 0.1 * (self.v + 1)))
-
-
-_MODELS: dict[str, Model] = {}
-
-
-def _model(key: str, broadcast) -> Model:
-    """The model built from a broadcast, once per process."""
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(*broadcast.value)
-    return _MODELS[key]
-
-
-def _tokens(text: bytes) -> list[bytes]:
-    return text.lower().split()  # bytes: A-Z only, white space as agreed
-
-
-def score_documents(df: DataFrame, order: int = 3, word_share: float = 1e-5, arc_share: float = 1e-6, discount: float = 0.75,
+    def __init__(self, texts: list[bytes], order: int) -> None:
+        index: defaultdict[bytes, int] = defaultdict()
+        index.default_factory = index.__len__
+        x = array("i")
+        begin, end = index[BEGIN], index[END]
+        for t in texts:
+            x.append(begin)
+            x.extend(map(index.__getitem__, t.lower().split()))  # bytes: A-Z only, white space as agreed
+            x.append(end)
+        ids = np.frombuffer(x, np.int32)
+        marks = ids == begin
+        at = np.flatnonzero(~marks)
+        words = _word_keys(list(index))
+        token, previous = ids[at], ids[at - 1]
+        grams = [words, _longer(words[previous], words[token])]
+        self.late = np.flatnonzero(~marks[at - 1])
+        if order == 3:
+            grams.append(_longer(grams[1][self.late - 1], words[token[self.late]]))
+        self.keys, row = np.unique(np.concatenate(grams), return_inverse=True)
+        row = row.astype(np.int32)
+        self.word, self.before = row[token], row[previous]
+        self.two = row[len(words):len(words) + len(at)]
+        self.pair, self.three = self.two[self.late - 1], row[len(words) + len(at):]
+        self.order, self.begin = order, row[begin]
+        self.start = np.flatnonzero(marks[at - 1])
+
+    def counts(self, train: np.ndarray) -> np.ndarray:
+        """How often each row occurs in the documents that train."""
+        size = len(self.keys)
+        own = np.repeat(train, np.diff(self.start, append=len(self.word)))
+        n = np.bincount(self.word[own], minlength=size) + np.bincount(self.two[own], minlength=size)
+        n[self.begin] = train.sum()
+        return n + np.bincount(self.three[own[self.late]], minlength=size) if self.order == 3 else n
+
+    def contexts(self, c: np.ndarray) -> np.ndarray:
+        """The rows that stand before a word and occur in training documents: every state is one."""
+        seen = np.zeros(len(c), dtype=bool)
+        seen[self.before] = True
+        if self.order == 3:
+            seen[self.pair] = True
+        return np.flatnonzero(seen & (c > 0))
+
+    def arcs(self, c: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row the summed counts and the number of the arcs out of it that ``own`` marks."""
+        head = np.full(len(c), -1, dtype=np.int32)
+        head[self.two] = self.before
+        if self.order == 3:
+            head[self.three] = self.pair
+        out = np.flatnonzero((own > 0) & (c > 0) & (head >= 0))
+        total = np.bincount(head[out], weights=c[out], minlength=len(c)).astype(np.int64)  # exact below 2**53
+        return total, np.bincount(head[out], minlength=len(c)).astype(np.int64)
+
+    def walk(self, c: np.ndarray, unigram: np.ndarray, back: np.ndarray, discount: float) -> np.ndarray:
+        """P of each token in its state: of the arc, or of the failure arcs down to an arc."""
+        def step(arc: np.ndarray, state: np.ndarray, lower: np.ndarray) -> np.ndarray:
+            return back[state] * lower + np.where(c[arc] > 0, (c[arc] - discount) / np.maximum(c[state], 1), 0)
+
+        p = step(self.two, self.before, unigram[self.word])
+        if self.order == 3:
+            p[self.late] = step(self.three, self.pair, p[self.late])
+        return p
+
+    def messages(self, block: int, parts: int, rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
+        """Keys and two numbers of ``rows``, a message for each range of the keys."""
+        keys = self.keys[rows]
+        bounds = np.array([2**64 * i // parts for i in range(1, parts)], dtype=np.uint64)
+        cut = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+        some = [(i, lo, hi) for i, (lo, hi) in enumerate(zip(cut, cut[1:], strict=False)) if lo < hi]
+        return pa.table({
+            "part": pa.array([i for i, _, _ in some], pa.int32()), "block": pa.array([block] * len(some), pa.int32()),
+            "keys": pa.array([_pack_keys(keys[lo:hi]) for _, lo, hi in some], pa.binary()),
+            "a": pa.array([_pack(a[lo:hi]) for _, lo, hi in some], pa.binary()),
+            "b": pa.array([_pack(b[lo:hi]) for _, lo, hi in some], pa.binary())})
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (block, id, held, text) packed by block: texts compress several times better than as rows."""
+    def packed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(rows)
+        order = np.argsort(t.column("block").to_numpy(), kind="stable")
+        t = t.take(pa.array(order))
+        block = t.column("block").to_numpy()
+        cut = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(block)]
+        docs = []
+        for lo, hi in zip(cut, cut[1:], strict=False):
+            sink = pa.BufferOutputStream()
+            part = t.slice(lo, hi - lo).drop_columns("block").combine_chunks()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_table(part)
+            docs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]], pa.int32()), pa.array(docs, pa.binary())], ["block", "docs"])
+
+    rows, size = [], 0
+    for b in batches:
+        if len(b):
+            rows.append(b)
+            size += b.nbytes
+        if size > DEAL_BYTES:
+            yield packed(rows)
+            rows, size = [], 0
+    if rows:
+        yield packed(rows)
+
+
+def _dealt(left: pa.Table) -> pa.Table:
+    return pa.concat_tables(pa.ipc.open_stream(x).read_all() for x in left.column("docs").to_pylist())
+
+
+MESSAGE = "part int, block int, keys binary, a binary, b binary"
+REPLY = "block int, part int, step int, a binary, b binary"
+
+
+def _gathered(messages: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of the messages of one range of keys; the order by key; in that order, key, a, b and the first of each key."""
+    keys = [_unpack_keys(k) for k in messages.column("keys").to_pylist()]
+    a, b = (np.concatenate([_unpack(x) for x in messages.column(n).to_pylist()]) for n in "ab")
+    sizes, keys = [len(k) for k in keys], np.concatenate(keys)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    return sizes, order, keys, a[order], b[order], np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+
+
+def _replies(messages: pa.Table, step: int, sizes: list[int], order: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    """``a`` and ``b`` (by key) back to each block in the order of its message."""
+    cut = np.cumsum(sizes)[:-1]
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    a, b = ([_pack(np.ascontiguousarray(x)) for x in np.split(v[back], cut)] for v in (a, b))
+    return pa.table({"block": messages.column("block"), "part": messages.column("part"), "step": pa.array([step] * len(sizes), pa.int32()),
+                     "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def _answer(replies: pa.Table, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a block's messages of that step, in the order of its keys."""
+    got = sorted((p, i) for i, (p, s) in enumerate(zip(replies.column("part").to_pylist(), replies.column("step").to_pylist(), strict=True)) if s == step)
+    if not got:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate([_unpack(replies.column(n)[i].as_py()) for _, i in got]) for n in "ab")
+
+
+def score_documents(df: DataFrame, order: int = 3, min_count: int = 2, discount: float = 0.75,
                     held_out_mod: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score every whole text with an n-gram model of all training documents.
 
     A document trains unless crc32 of its id as text, modulo ``held_out_mod``, is 0. A-Z is
     lower-cased; tokens are words without space and U+0009-U+000D, then one end token. Returns
     per row (``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score): the
-    add-0.1 unigram score and the automaton's log10 probability (``Automaton``).
-
-    The counts of all words are kept in full, as a distributed table. Contexts and arcs of the
-    automaton are n-grams (2 to ``order`` <= 3) of words of relative frequency ``word_share`` or
-    more, counted exactly over all training texts, that have a relative frequency of
-    ``arc_share`` or more: at most 1/word_share words and 1/arc_share arcs an order, at any
-    size of the corpus, so this part alone is broadcast. Documents are scored in hashed blocks
-    of bounded tokens; a block meets the counts of its own distinct words by a join.
+    add-0.1 unigram score and the automaton's log10 probability.
+
+    States of the automaton are contexts with stored continuations; the arcs are all n-grams (2
+    to ``order`` <= 3) that occur ``min_count`` times or more in the training texts, whatever
+    their words and the size of the corpus. P(w | h) = (c(hw) - D) / c(h) + b(h) P(w | h') on a
+    stored arc, else b(h) P(w | h') by the failure arc to the shorter context h', where b(h) is
+    what the stored arcs leave, so every state's distribution sums to one. At the root, P(w) =
+    (c(w) - D1) / N, and the D1 V / N taken off is the mass of unknown words.
+
+    Nothing of the model is collected or broadcast but five totals. Documents are dealt to
+    hashed blocks of bounded bytes. A block sends the 64-bit keys of its distinct words and
+    n-grams, with their counts, to ranges of keys; a range adds up and answers each block
+    with the totals of its own keys, and names one block to stand for each arc. Those blocks
+    send what arcs leave their contexts the same way, and so each block holds the part of the automaton
+    that its documents can reach. A key is sent once a block, however frequent it is.
 
     Null text counts as empty (its one token is the end). A null id counts as empty text for
     the hold-out. Repeated rows are separate documents. An empty table gives no rows; without
@@ -147,123 +244,86 @@ def score_documents(df: DataFrame, order: int = 3, word_share: float = 1e-5, arc
     ship_package(spark)
     docs = id_and_text(df, id_col, text_col).withColumn(
         "held", F.crc32(F.coalesce(F.col("id").cast("string"), F.lit(""))) % held_out_mod == 0)
-    train = docs.where(~F.col("held")).select("text")
-
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(c: Counter, n: int) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([*c, None], pa.binary()), pa.array([*c.values(), n], pa.int64())], ["w", "c"])
-
-        seen, n = Counter(), 0
-        for b in batches:
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                seen.update(_tokens(t))
-                n += 1
-                if len(seen) > FLUSH:
-                    yield rows(seen, n)
-                    seen, n = Counter(), 0
-        if n:
-            yield rows(seen, n)  # the null word counts documents, that is, end tokens
-
-    counted = stage(train.mapInArrow(count_words, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c")), "lm-words")
-    vocab = counted.where(F.col("w").isNotNull())
-    ends = F.col("w").isNull()
-    total = counted.agg(
-        F.coalesce(F.sum(F.when(ends, F.col("c"))), F.lit(0)).alias("docs"), F.coalesce(F.sum(F.when(~ends, F.col("c"))), F.lit(0)).alias("words"),
-        F.count("w").alias("types"), F.count_if(~ends & (F.col("c") == 1)).alias("once"), F.count_if(~ends & (F.col("c") == 2)).alias("twice")).first()
-    n = total.docs + total.words
-    # at most 1/word_share words can have that share of all tokens
-    common = sorted(((r.c, bytes(r.w)) for r in vocab.where(F.col("c") >= max(1, math.ceil(word_share * n))).collect()), reverse=True)
-    words, counts = [w for _, w in common], [c for c, _ in common]
-    ids = spark.sparkContext.broadcast({w: FIRST + i for i, w in enumerate(words)})
-
-    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = ids.value.get
-
-        def rows(held: list[np.ndarray]) -> pa.RecordBatch:
-            keys, c = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c)], ["key", "c"])
-
-        held, size = [], 0
-        for b in batches:
-            texts = b.column(0).cast(pa.binary()).to_pylist()
-            for lo, hi in pieces(texts):
-                row: list[int] = []
-                for t in texts[lo:hi]:
-                    row.append(BEGIN)
-                    row += [get(w, 0) for w in _tokens(t)]
-                    row += (END, 0)
-                x = np.array(row, dtype=np.int64)
-                both = (x[:-1] > 0) & (x[1:] > 0)
-                pair = (x[:-1] << BITS) | x[1:]
-                held.append(pair[both])
-                if order == 3:
-                    all3 = both[:-1] & both[1:]
-                    held.append(((x[:-2] << (2 * BITS)) | pair[1:])[all3])
-                size += len(held[-1]) + int(both.sum())
-                if size > 4 * FLUSH:
-                    yield rows(held)
-                    held, size = [], 0
-        if size:
-            yield rows(held)
-
-    grams = train.mapInArrow(count_grams, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    # at most 1/arc_share n-grams of an order can have that share of all tokens
-    arcs = grams.where(F.col("c") >= max(2, math.ceil(arc_share * n))).toArrow()
-    keys, gram_counts = arcs.column("key").to_numpy(), arcs.column("c").to_numpy()
-    model = spark.sparkContext.broadcast((words, counts, total.docs, total.words, total.types, total.once, total.twice,
-                                          keys, gram_counts, discount))
-    model_key = uuid.uuid4().hex
-
-    n_blocks = max(1, math.ceil(1.2 * n / BLOCK_TOKENS))
-    blocks = docs.withColumn("block", F.pmod(F.xxhash64("id", F.crc32("text")), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "block")
-
-    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids.value
-        sets: dict[int, set[bytes]] = {}
-
-        def rows(block: int) -> pa.RecordBatch:
-            w = [x for x in sets.pop(block) if x not in known]
-            return pa.RecordBatch.from_arrays([pa.array([block] * len(w), pa.int32()), pa.array(w, pa.binary())], ["block", "w"])
-
-        for b in batches:
-            where = b.column(b.schema.get_field_index("block")).to_pylist()
-            texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            for k, t in zip(where, texts, strict=True):
-                s = sets.setdefault(k, set())
-                s.update(_tokens(t))
-                if len(s) > FLUSH // 2:
-                    yield rows(k)
-        for k in list(sets):
-            yield rows(k)
-
-    needs = blocks.mapInArrow(wanted, "block int, w binary").join(vocab, "w").select("block", "w", "c")
+    parts = max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BLOCK_BYTES))
+    rows = docs.withColumn("block", F.pmod(F.xxhash64("id", F.crc32("text")), F.lit(parts)).cast("int")).select("block", "id", "held", "text")
+
+    def blocks() -> GroupedData:
+        return rows.mapInArrow(_deal, "block int, docs binary").repartition(parts, "block").groupBy("block")
+
+    def tokens(docs: pa.Table) -> Block:
+        return Block([t for x in docs.column("text").chunks for t in x.cast(pa.binary()).to_pylist()], order)
+
+    def staged(build: Callable[[], DataFrame], name: str) -> DataFrame:
+        """Staged, and the shuffle files of it are dropped at once."""
+        before = spark.conf.get(DROP_SHUFFLES, "false")
+        spark.conf.set(DROP_SHUFFLES, "true")
+        try:
+            return stage(build(), name)
+        finally:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+    def send_counts(left: pa.Table) -> pa.Table:
+        docs = _dealt(left)
+        x = tokens(docs)
+        c = x.counts(~docs.column("held").to_numpy())
+        return x.messages(left.column("block")[0].as_py(), parts, np.arange(len(c)), c, np.zeros_like(c))
+
+    def add_counts(messages: pa.Table) -> pa.Table:
+        sizes, by, keys, c, _, first = _gathered(messages)
+        each = np.diff(first, append=len(keys))
+        total = np.add.reduceat(c, first)
+        key = keys[first]
+        word = (key & np.uint64(1)) > 0
+        kept = np.where(word | (total >= min_count), total, 0)
+        gram = np.repeat(np.arange(len(first)), each)
+        train = np.flatnonzero(c > 0)
+        one = np.zeros(len(c), dtype=np.int64)  # the first block that trains on it stands for an arc
+        one[train[np.concatenate([[True], gram[train[1:]] != gram[train[:-1]]])[:len(train)]]] = 1
+        token = total[word & (key != BEGIN_KEY)]
+        plain = total[word & (key != BEGIN_KEY) & (key != END_KEY)]
+        out = _replies(messages, 1, sizes, by, np.repeat(kept, each), one)
+        for name, n in (("n", token.sum()), ("v", (token > 0).sum()), ("once", (plain == 1).sum()), ("twice", (plain == 2).sum())):
+            out = out.append_column(name, pa.array([int(n)] + [0] * (len(sizes) - 1), pa.int64()))
+        return out
+
+    counted = staged(lambda: blocks().applyInArrow(send_counts, MESSAGE).groupBy("part").applyInArrow(
+        add_counts, f"{REPLY}, n long, v long, once long, twice long"), "lm-counts")
+    sums = counted.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("n", "v", "once", "twice")]).first()
+    n, v = sums.n, sums.v
+    d1 = min(max(sums.once / max(sums.once + 2 * sums.twice, 1), 0.1), 0.9)
+    counts = counted.select("block", "part", "step", "a", "b")
+
+    def send_arcs(left: pa.Table, right: pa.Table) -> pa.Table:
+        x = tokens(_dealt(left))
+        c, own = _answer(right, 1)
+        total, number = x.arcs(c, own)
+        rows = x.contexts(c)
+        return x.messages(left.column("block")[0].as_py(), parts, rows, total[rows], number[rows])
+
+    def add_arcs(messages: pa.Table) -> pa.Table:
+        sizes, by, keys, a, b, first = _gathered(messages)
+        each = np.diff(first, append=len(keys))
+        return _replies(messages, 2, sizes, by, *(np.repeat(np.add.reduceat(x, first), each) for x in (a, b)))
+
+    arcs = staged(lambda: blocks().cogroup(counts.groupBy("block")).applyInArrow(send_arcs, MESSAGE).groupBy("part").applyInArrow(add_arcs, REPLY), "lm-arcs")
     kind = dict(docs.dtypes)["id"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        m = _model(model_key, model)
-        index = {w: i for w, i in m.ids.items()}
-        rare = right.column("w").to_pylist()
-        at = len(m.counts)
-        for i, w in enumerate(rare):
-            index[w] = at + i
-        c = np.concatenate([m.counts, right.column("c").to_numpy()])
-        base, root = m.base(c), m.root(c)
-        root_list = root.tolist()
-        state_ids = [*range(at), *[0] * len(rare)]
-        get, walk = index.get, m.automaton.score
-        n_tokens, n_known, base_score, total = [], [], [], []
-        for chunk in left.column("text").chunks:
-            for t in chunk.cast(pa.binary()).to_pylist():
-                tokens = [get(w, 0) for w in _tokens(t)]
-                tokens.append(END)
-                x = np.array(tokens)
-                n_tokens.append(len(tokens))
-                n_known.append(int((c[x] > 0).sum()))
-                base_score.append(float(base[x].sum()))
-                total.append(walk(state_ids, root_list, tokens))
-        return pa.table({id_col: left.column("id"), "held_out": left.column("held"), "n_tokens": pa.array(n_tokens, pa.int64()),
-                         "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([m.n] * len(n_tokens), pa.int64()),
-                         "base_score": pa.array(base_score, pa.float64()), "score": pa.array(total, pa.float64())})
-
-    return blocks.groupBy("block").cogroup(needs.groupBy("block")).applyInArrow(
+        docs = _dealt(left)
+        x = tokens(docs)
+        c, _ = _answer(right, 1)
+        rows = x.contexts(c)
+        total, number = _answer(right, 2)
+        back = np.ones(len(c))
+        back[rows] = (c[rows] - total + discount * number) / c[rows]
+        unigram = np.where(c > 0, (c - d1) / max(n, 1), d1 * v / n if n else 1.0)
+        base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
+        add = lambda a: np.add.reduceat(a, x.start)
+        return pa.table({id_col: docs.column("id"), "held_out": docs.column("held"),
+                         "n_tokens": pa.array(np.diff(x.start, append=len(x.word)), pa.int64()),
+                         "n_known": pa.array(add((c[x.word] > 0).astype(np.int64)), pa.int64()),
+                         "train_tokens": pa.array([n] * len(x.start), pa.int64()), "base_score": pa.array(add(base[x.word]), pa.float64()),
+                         "score": pa.array(add(np.log10(x.walk(c, unigram, back, discount))), pa.float64())})
+
+    return blocks().cogroup(counts.unionByName(arcs).groupBy("block")).applyInArrow(
         score, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

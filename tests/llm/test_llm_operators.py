@@ -25,6 +25,7 @@ SF = "/root/testdata/sf0.001"
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 LONG = " ".join(f"w{i % 97}x{i % 13}" for i in range(6000))
 PASSAGE = " ".join(f"p{i}" for i in range(30))
+COMMON = [f"c{i}" for i in range(40)]
 #: Nulls, empty and blank texts, one very long text, copies, ties, odd characters; ids are unique.
 EDGE = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "one two  three"), (6, "one two three"), (7, "onetwothree "),
         (8, LONG), (9, LONG), (10, PASSAGE), (11, "head " + PASSAGE + " tail"), (12, PASSAGE + " " + PASSAGE),
@@ -191,6 +192,21 @@ def test_lm_scoring(spark, edge, documents):
             assert np.allclose(tuple(r)[5:], want[4:], rtol=1e-9)
 
 
+def test_lm_keeps_rare_words_and_arcs_of_a_larger_corpus(spark, monkeypatch):
+    """Past 100,000 tokens a word seen twice still makes states and arcs; several blocks agree."""
+    rng = random.Random(5)
+    data = [(i, " ".join([*rng.choices(COMMON, k=60), f"ra{i % 1500} rb{i % 1500} rc{i % 1500}", *rng.choices(COMMON, k=60)])) for i in range(3000)]
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 300_000, raising=False)
+    model = brute.LM(data, word_share=0, arc_share=0)
+    assert model.n > 300_000
+    rows = got(lm_scoring.score_documents(spark.createDataFrame(data, "doc_id long, text string")))
+    assert len(rows) == len(data)
+    for i in [0, 1, 7, 1500, 2999, *[i for i, _ in data if model.held(i)][:20]]:
+        want = model.row(*data[i])
+        assert rows[i][:4] == want[:4]
+        assert np.allclose(rows[i][4:], want[4:], rtol=1e-9)
+
+
 def test_lm_distributions_sum_to_one(documents):
     """The brute model agrees with the operator above; here its states are shown to be proper."""
     model = brute.LM(documents)
