@@ -184,3 +184,12 @@ def test_fixed_width_layout_and_bad_flag(spark):
     bad = TX.fixed_width(spark.createDataFrame([Row(value="C000004 7 Bad flag   ")]), spans, min_len=16)
     with pytest.raises(Exception, match="bad billable flag"):
         bad.select(flag).collect()
+
+
+def test_relationship_read_keeps_customers_past_five_digits(spark, tmp_path):
+    """Every customer gives a row in both vintages; the reader's rule for an over-wide id is NULL."""
+    from tessera.plans import readers
+    ids = [1, 99999, 100000, 150000]
+    spark.createDataFrame([(i, 7) for i in ids], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    got = [tuple(r) for r in readers.relationship_read(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(((v, z, "007") for v in ("comma", "pipe") for z in ("00001", "99999", None, None)), key=str)
