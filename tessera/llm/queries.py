@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, chat_formatting, exact_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
+from tessera.llm import byte_bpe, chat_formatting, conversation_repair, exact_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,60 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, five-word shingles, similarity 0.85."""
     return near_dedup.near_dedup(_documents(spark, sf_dir), threshold=85)
+
+
+@query("op13_conversation_repair", r"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, CAST(xor(4294967295::UBIGINT, list_reduce(
+               list_prepend(4294967295::UBIGINT, list_transform(string_split(k, ''), lambda b: ascii(b)::UBIGINT)),
+               lambda acc, b: xor(acc >> 8, list_reduce(list_prepend(xor(acc & 255, b), list_transform(range(8), lambda j: 0::UBIGINT)),
+                                                        lambda v, j: xor(v >> 1, (v & 1) * 3988292384))))) % 20 AS INTEGER) AS f
+        FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations)) WHERE f <> 0),
+o AS (SELECT *, row_number() OVER w AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+             regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS core, left(role, 1) AS x, lag(left(role, 1)) OVER w AS y
+      FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+r AS (SELECT *, CASE WHEN core = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                     WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM o),
+c AS (SELECT conv_id, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (y || x NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM r GROUP BY conv_id),
+ins(s, k, z, pre, lines) AS (VALUES (0, 0, 0, '', ''), (1, 0, 1, '', ''), (2, 0, 2, '', ''), (3, 0, 3, '', ''),
+             (0, 3, 2, 'I', 'user:' || chr(10)), (1, 3, 2, 'I', 'user:' || chr(10)), (2, 3, 3, 'I', 'assistant:' || chr(10)), (3, 3, 2, 'I', 'user:' || chr(10)),
+             (0, 6, 3, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (1, 6, 3, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+             (3, 6, 3, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (2, 6, 2, 'II', 'assistant:' || chr(10) || 'user:' || chr(10))),
+step(z, x, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+turnto(z, who, t) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+edit AS (SELECT conv_id, i, z, z AS t, 4 AS cost, 'D' AS e, '' AS line FROM r, (SELECT unnest(range(4)) AS z)
+         UNION ALL SELECT conv_id, i, z, t, 3 * (fault = 'truncated')::INT, 'K', role || ':' || text || chr(10) FROM r JOIN step USING (x)
+                   WHERE fault IN ('', 'truncated')
+         UNION ALL SELECT conv_id, i, z, t, 3 + 3 * (fault = 'truncated')::INT, 'R', who || ':' || text || chr(10) FROM r, turnto
+                   WHERE fault IN ('', 'truncated')),
+hop AS (SELECT conv_id, i, s, t, k + cost AS cost, pre || e AS audit, lines || line AS line FROM edit JOIN ins USING (z)),
+path AS (SELECT conv_id, 0::BIGINT AS i, 0 AS s, {'cost': 0, 'audit': '', 'out': ''} AS best FROM c
+         UNION ALL
+         SELECT p.conv_id, p.i + 1, h.t, min({'cost': p.best.cost + h.cost, 'audit': p.best.audit || h.audit, 'out': p.best.out || h.line})
+         FROM path p JOIN hop h ON h.conv_id IS NOT DISTINCT FROM p.conv_id AND h.i = p.i + 1 AND h.s = p.s GROUP BY p.conv_id, p.i + 1, h.t),
+done AS (SELECT c.conv_id, min({'cost': best.cost + length(tail) * 3, 'audit': best.audit || tail, 'out': best.out || lines}) AS best
+         FROM path JOIN c ON path.conv_id IS NOT DISTINCT FROM c.conv_id AND i = n
+         JOIN (VALUES (0, '', ''), (1, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (2, 'I', 'assistant:' || chr(10)), (3, '', '')) AS e(s, tail, lines) USING (s)
+         GROUP BY c.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(left(best.out, -1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN done ON a.conv_id IS NOT DISTINCT FROM done.conv_id
+""")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by the fixed rule and repaired."""
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    report = conversation_repair.repair_report(conversation_repair.repair_conversations(conversation_repair.damage(given)))
+    ids = given.select(F.col("conv_id").alias("c")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(report, F.col("c").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("c").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
