@@ -239,11 +239,12 @@ def repair_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
     lone = df.select(df[conv_col].alias("conv"), df[turn_col].cast("long").alias("turn"),
                      F.coalesce(df[role_col].cast("string"), F.lit(" ")).alias("role"),
                      F.coalesce(df[text_col], F.lit(" ")).alias("text"))
-    key = F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256)
+    # one key for the conversation, role and text, so that a null id needs no care below
+    key = F.sha2(F.concat(F.coalesce(F.concat(F.octet_length(F.col("conv").cast("string")).cast("string"), F.lit(":"), F.col("conv").cast("string")), F.lit("null")),
+                          F.lit("/"), F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256)
     each = stage(lone.groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n")).withColumn("key", key), "repair-rows")
-    seen = each.groupBy(F.col("conv").alias("c"), F.col("key").alias("k")).agg(
-        F.min(F.struct(F.col("turn").isNotNull().alias("dated"), "turn")).alias("first"))
-    marked = each.join(seen, same(F.col("conv"), F.col("c")) & (F.col("key") == F.col("k"))).select(
+    seen = each.groupBy("key").agg(F.min(F.struct(F.col("turn").isNotNull().alias("dated"), "turn")).alias("first"))
+    marked = each.join(seen, "key").select(
         "conv", "turn", "role", "text", "n", same(F.col("first.turn"), F.col("turn")).alias("first"))
     order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role")]
     line = marked.repartitionByRange(*order, F.substring("text", 1, 64)).sortWithinPartitions(*order, "text")
@@ -319,15 +320,15 @@ def repair_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
     placed = "blk long, enter long, leave long, ends boolean"
     levels, nodes = [], blocks.select("conv", "blk", "cost", "rank")
     while True:
-        many = stage(nodes.groupBy(F.col("conv").alias("c")).agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "repair-long")
-        n = many.agg(F.sum("m")).first()[0]
+        long = nodes.groupBy(F.col("conv").alias("c")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+        n = long.agg(F.sum("m")).first()[0]
         if not n:
             levels.append((nodes.select("blk", "cost", "rank").mapInArrow(rooted, placed), None))
             break
-        on = same(F.col("conv"), F.col("c"))
-        roots = nodes.join(many, on, "left_anti").select("blk", "cost", "rank").mapInArrow(rooted, placed)
-        up = nodes.join(many, on, "left_semi").select("conv", "blk", "cost", "rank")
         parts = max(1, n // (fan * 64))
+        on = same(F.col("conv"), F.col("c"))
+        roots = nodes.join(long, on, "left_anti").select("blk", "cost", "rank").mapInArrow(rooted, placed)
+        up = nodes.join(long, on, "left_semi").select("conv", "blk", "cost", "rank").coalesce(4 * parts)
         up = up.repartitionByRange(parts, F.col("conv").asc_nulls_first(), "blk").sortWithinPartitions(F.col("conv").asc_nulls_first(), "blk")
         parents = stage(up.mapInArrow(grouped, node_shape), "repair-groups")
         levels.append((roots, parents))

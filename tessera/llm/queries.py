@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, chat_formatting, conversation_repair, exact_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup, token_counts
+from tessera.llm import byte_bpe, chat_formatting, conversation_repair, exact_dedup, lexical_search, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,6 +138,33 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(_documents(spark, sf_dir), threshold=85)
 
 
+@query("op11_ranked_search", r"""
+WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents) GROUP BY doc_id, term),
+nd AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+s AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM nd),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+q AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark) GROUP BY item_id, term),
+sc AS (SELECT item_id, doc_id, CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+       FROM q JOIN w USING (term) JOIN tf USING (term) JOIN nd USING (doc_id), s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM sc WHERE score > 0 QUALIFY rank <= 20
+""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for every benchmark item."""
+    return lexical_search.ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 20)
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labelled ones outside the held-out fold."""
+    return toxicity.toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("op13_conversation_repair", r"""
 WITH RECURSIVE d AS (
   SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
