@@ -198,6 +198,8 @@ def _search_block(docs: DataFrame, texts: list[str], k: int) -> DataFrame:
                     ends = b.column(2).offsets.to_numpy().astype(np.int64)
                     search_bucket(asked, w, best, b.column(0).to_numpy(), b.column(1).to_numpy(), ends - ends[0],
                                   b.column(2).flatten().to_numpy(), b.column(3).flatten().to_numpy())
+            if not best.rid:
+                return
             item = np.repeat(np.arange(len(best.rid), dtype=np.int32), [len(r) for r in best.rid])
             yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(np.concatenate(best.rid)), pa.array(np.concatenate(best.score))],
                                              ["item", "rid", "score"])
