@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import math
-from array import array
-from collections import defaultdict
 from collections.abc import Callable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
@@ -19,6 +17,8 @@ from tessera.llm.rows import id_and_text, ship_package, stage
 BEGIN, END = b"\n<", b"\n>"
 #: Bytes of text that are counted and scored together.
 BLOCK_BYTES = 8_000_000
+#: Tokens of a document that are stepped through together with as many of others.
+STRETCH = 64
 #: Bytes that a task deals to blocks at once.
 DEAL_BYTES = 32_000_000
 #: Spark drops shuffle files at the end of a query that ran with this.
@@ -37,11 +37,33 @@ def _longer(head: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(head * np.uint64(0x9E3779B97F4A7C15) + word) & ~np.uint64(1)
 
 
-def _word_keys(words: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words), "<u8") | np.uint64(1)
+def _word_keys(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), "<u8") | np.uint64(1)
 
 
-BEGIN_KEY, END_KEY = _word_keys([BEGIN, END])
+_hash = xxhash.xxh3_64_digest
+BEGIN_HASH, END_HASH = _hash(BEGIN), _hash(END)
+BEGIN_KEY, END_KEY = _word_keys([BEGIN_HASH, END_HASH])
+
+
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and each key's place among them.
+
+    Keys are sorted by their high bits with their own place in the low ones, since sorting plain numbers is several times
+    faster than sorting places by them; the few that differ in low bits alone are put right after."""
+    low = np.uint64((1 << max(1, (len(keys) - 1).bit_length())) - 1)
+    packed = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & low).astype(np.int64)
+    high, there = packed & ~low, keys[order]
+    for p in np.unique(high[1:][there[1:] < there[:-1]]):
+        lo, hi = np.searchsorted(high, p, "left"), np.searchsorted(high, p, "right")
+        order[lo:hi] = order[lo:hi][np.argsort(there[lo:hi], kind="stable")]
+    there = keys[order]
+    new = np.concatenate([[True], there[1:] != there[:-1]])[:len(keys)]
+    place = np.empty(len(keys), dtype=np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return there[new], place
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -72,29 +94,24 @@ class Block:
     """
 
     def __init__(self, texts: list[bytes], order: int) -> None:
-        index: defaultdict[bytes, int] = defaultdict()
-        index.default_factory = index.__len__
-        x = array("i")
-        begin, end = index[BEGIN], index[END]
+        digests: list[bytes] = []
         for t in texts:
-            x.append(begin)
-            x.extend(map(index.__getitem__, t.lower().split()))  # bytes: A-Z only, white space as agreed
-            x.append(end)
-        ids = np.frombuffer(x, np.int32)
-        marks = ids == begin
+            digests.append(BEGIN_HASH)
+            digests.extend(map(_hash, t.lower().split()))  # bytes: A-Z only, white space as agreed
+            digests.append(END_HASH)
+        words = _word_keys(digests)
+        del digests
+        marks = words == BEGIN_KEY
         at = np.flatnonzero(~marks)
-        words = _word_keys(list(index))
-        token, previous = ids[at], ids[at - 1]
-        grams = [words, _longer(words[previous], words[token])]
         self.late = np.flatnonzero(~marks[at - 1])
+        grams = [words, _longer(words[at - 1], words[at])]
         if order == 3:
-            grams.append(_longer(grams[1][self.late - 1], words[token[self.late]]))
-        self.keys, row = np.unique(np.concatenate(grams), return_inverse=True)
-        row = row.astype(np.int32)
-        self.word, self.before = row[token], row[previous]
+            grams.append(_longer(grams[1][self.late - 1], words[at[self.late]]))
+        self.keys, row = _ranked(np.concatenate(grams))
+        self.word, self.before = row[at], row[at - 1]
         self.two = row[len(words):len(words) + len(at)]
         self.pair, self.three = self.two[self.late - 1], row[len(words) + len(at):]
-        self.order, self.begin = order, row[begin]
+        self.order, self.begin = order, row[0]
         self.start = np.flatnonzero(marks[at - 1])
 
     def counts(self, train: np.ndarray) -> np.ndarray:
@@ -123,14 +140,54 @@ class Block:
         total = np.bincount(head[out], weights=c[out], minlength=len(c)).astype(np.int64)  # exact below 2**53
         return total, np.bincount(head[out], minlength=len(c)).astype(np.int64)
 
-    def walk(self, c: np.ndarray, unigram: np.ndarray, back: np.ndarray, discount: float) -> np.ndarray:
-        """P of each token in its state: of the arc, or of the failure arcs down to an arc."""
-        def step(arc: np.ndarray, state: np.ndarray, lower: np.ndarray) -> np.ndarray:
-            return back[state] * lower + np.where(c[arc] > 0, (c[arc] - discount) / np.maximum(c[state], 1), 0)
-
-        p = step(self.two, self.before, unigram[self.word])
+    def walk(self, c: np.ndarray, unigram: np.ndarray, back: np.ndarray, arcs_out: np.ndarray, discount: float) -> np.ndarray:
+        """P of each token, by one left-to-right traversal that carries the state.
+
+        A state is the longest context with arcs (``arcs_out`` > 0): a bigram's row, a word's row or the root. Where the
+        state has no arc for the token, its failure arc leads to the state of the shorter
+        context and costs the back-off weight. All documents step together, in stretches of
+        ``STRETCH`` tokens: the state at a later stretch's start is that of the two words before it.
+        """
+        root, n = len(c), len(self.word)
+        c, back = np.append(c, 0), np.append(back, 1.0)
+        states = np.append(arcs_out > 0, False)
+        own = np.where(states[self.word], self.word, root)  # the state of the token alone
+        arc, after, fail, level = np.zeros(root + 1), np.full(root + 1, root), np.full(root + 1, root), np.zeros(root + 1, np.int8)
+        share = lambda gram, context: (c[gram] - discount) / np.maximum(c[context], 1)
+        lower = back[self.before] * unigram[self.word]
+        arc[self.two] = share(self.two, self.before) + lower
+        after[self.two] = np.where(states[self.two], self.two, own) if self.order == 3 else own
+        fail[self.two] = own
+        level[self.before], level[self.two] = 1, 2
+        level[root] = 0
+        three = np.full(n, root)
         if self.order == 3:
-            p[self.late] = step(self.three, self.pair, p[self.late])
+            three[self.late] = self.three
+            shorter = np.where(c[self.two] > 0, arc[self.two], lower)[self.late]
+            arc[self.three] = share(self.three, self.pair) + back[self.pair] * shorter
+
+        ends = np.append(self.start[1:], n)
+        pieces = -(-(ends - self.start) // STRETCH)
+        first = np.repeat(self.start, pieces)
+        begin = first + STRETCH * (np.arange(len(first)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        size = np.minimum(np.repeat(ends, pieces) - begin, STRETCH)
+        by_size = np.argsort(-size, kind="stable")
+        begin, size, first = begin[by_size], size[by_size], first[by_size]
+        state = np.where(begin == first, self.begin if states[self.begin] else root, after[self.two[begin - 1]])
+        p = np.empty(n)
+        for t in range(int(size[0]) if len(size) else 0):
+            at = begin[:np.searchsorted(-size, -t, "left")] + t
+            s, two = state[:len(at)], self.two[at]
+            high = level[s] == 2
+            hit = high & (c[three[at]] > 0)
+            fell = high & ~hit
+            out = np.where(hit, arc[three[at]], np.where(fell, back[s], 1.0))
+            s = np.where(fell, fail[s], s)
+            mid = ~hit & (level[s] == 1)
+            found = mid & (c[two] > 0)
+            out *= np.where(found, arc[two], np.where(mid, back[s], 1.0))
+            p[at] = np.where(hit | found, out, out * unigram[self.word[at]])
+            state = after[two]
         return p
 
     def messages(self, block: int, parts: int, rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
@@ -314,7 +371,8 @@ def score_documents(df: DataFrame, order: int = 3, min_count: int = 2, discount:
         c, _ = _answer(right, 1)
         rows = x.contexts(c)
         total, number = _answer(right, 2)
-        back = np.ones(len(c))
+        back, arcs_out = np.ones(len(c)), np.zeros(len(c), np.int64)
+        arcs_out[rows] = number
         back[rows] = (c[rows] - total + discount * number) / c[rows]
         unigram = np.where(c > 0, (c - d1) / max(n, 1), d1 * v / n if n else 1.0)
         base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
@@ -323,7 +381,7 @@ def score_documents(df: DataFrame, order: int = 3, min_count: int = 2, discount:
                          "n_tokens": pa.array(np.diff(x.start, append=len(x.word)), pa.int64()),
                          "n_known": pa.array(add((c[x.word] > 0).astype(np.int64)), pa.int64()),
                          "train_tokens": pa.array([n] * len(x.start), pa.int64()), "base_score": pa.array(add(base[x.word]), pa.float64()),
-                         "score": pa.array(add(np.log10(x.walk(c, unigram, back, discount))), pa.float64())})
+                         "score": pa.array(add(np.log10(x.walk(c, unigram, back, arcs_out, discount))), pa.float64())})
 
     return blocks().cogroup(counts.unionByName(arcs).groupBy("block")).applyInArrow(
         score, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

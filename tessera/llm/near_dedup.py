@@ -33,7 +33,8 @@ def n_bands(threshold: float) -> int:
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each lower-cased text; fewer than ``size`` words
     make one shingle, no word makes none."""
-    words, first = word_hashes([t.lower() for t in texts])
+    one, two, first = word_hashes([t.lower() for t in texts])
+    words = one ^ mix(two)
     rolled = windows(words, size, BASE_A)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):

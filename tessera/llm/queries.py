@@ -63,7 +63,16 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_formatting.rotate_perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-@query("op3_substring_dedup")
+@query("op3_substring_dedup", r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM again),
+word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+left_over AS (SELECT word.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY word.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN left_over USING (doc_id)
+""")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 20 words that also start earlier, removed from all documents."""
     done = substring_dedup.substring_dedup(_documents(spark, sf_dir))
@@ -132,7 +141,20 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op10_minhash_near_dedup")
+@query("op10_minhash_near_dedup", r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                           WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM pairs JOIN n x ON u = x.doc_id JOIN n y ON v = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, other) AS (SELECT u, v FROM edges UNION SELECT reach.doc_id, edges.v FROM reach JOIN edges ON reach.other = edges.u),
+low AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(other, w.doc_id)) AS component_id, w.doc_id <= coalesce(other, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
+""")
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, five-word shingles, similarity 0.85."""
     return near_dedup.near_dedup(_documents(spark, sf_dir), threshold=85)

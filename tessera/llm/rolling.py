@@ -1,11 +1,14 @@
-"""Vectorised word and window hashes (Rabin-Karp polynomials modulo 2^64) over batches of texts."""
+"""Word hashes, and Rabin-Karp hashes of word windows (polynomials modulo 2^64), over batches of texts."""
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
+import xxhash
 
-BASE_BYTE, BASE_A, BASE_B, BASE_K = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-_BYTES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64)
+BASE_A, BASE_B, BASE_K = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
+_GAP = re.compile(rb"[ \t-\r]")
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -40,36 +43,34 @@ def windows(values: np.ndarray, n: int, base: int) -> np.ndarray:
     return mix((sums[n:] - sums[:-n]) * up[n - 1:len(values)])
 
 
-def word_hashes(texts: list[bytes], chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of every word (maximal run without ASCII white space) of the UTF-8 texts, and the
-    place of each text's first word, with the total at the end."""
-    blob = b"\n".join(texts) + b"\n"
-    raw = np.frombuffer(blob, dtype=np.uint8)
-    hashes, firsts = [], []
-    lo = 0
-    while lo < len(raw):
-        hi = min(lo + chunk, len(raw))
-        while hi < len(raw):  # end behind white space, so that no word is cut
-            gap = np.flatnonzero(_gaps(raw[lo:hi]))
-            if len(gap):
-                hi = lo + int(gap[-1]) + 1
-                break
-            hi = min(hi + chunk, len(raw))
-        part = raw[lo:hi]
-        edge = np.diff((~_gaps(part)).view(np.int8), prepend=0, append=0)
-        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        up, down = _powers(BASE_BYTE, len(part) + 1)
-        sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[part] * down[:len(part)], out=sums[1:])
-        hashes.append(mix((sums[end] - sums[start]) * up[end - 1] + (end - start).astype(np.uint64)))
-        firsts.append(start + lo)
-        lo = hi
-    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(firsts), begins)
-
-
-def _gaps(raw: np.ndarray) -> np.ndarray:
-    return (raw == 32) | ((raw - np.uint8(9)) < np.uint8(5))
+def _parts(text: bytes, chunk: int) -> list[bytes]:
+    """A text in parts that end between words, to bound the words that are held at once."""
+    out, lo = [], 0
+    while len(text) - lo > chunk:
+        gap = _GAP.search(text, lo + chunk)
+        if gap is None:
+            break
+        out.append(text[lo:gap.start()])
+        lo = gap.start()
+    return [*out, text[lo:]]
+
+
+def word_hashes(texts: list[bytes], chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes (halves of a 128-bit one of its bytes) of every word (maximal run without ASCII white
+    space) of the UTF-8 texts, and the place of each text's first word, with the total at the end.
+
+    A polynomial modulo 2^64 would not do here: on long words over two letters it
+    collides for every base."""
+    digests, sizes = [], []
+    for text in texts:
+        n = 0
+        for part in _parts(text, chunk) if len(text) > chunk else (text,):
+            words = part.split()
+            digests.append(b"".join(map(xxhash.xxh3_128_digest, words)))
+            n += len(words)
+        sizes.append(n)
+    both = np.frombuffer(b"".join(digests), dtype=np.uint64).reshape(-1, 2)
+    return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1]), np.cumsum([0, *sizes])
 
 
 def sliding(values: np.ndarray, n: int, pick: np.ufunc) -> np.ndarray:

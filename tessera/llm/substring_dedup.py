@@ -25,7 +25,7 @@ class _Group:
     """Word windows of some texts, as arrays over all their words in a row."""
 
     def __init__(self, texts: list[bytes], n: int, sub: int) -> None:
-        words, first = word_hashes(texts)
+        words, self.other, first = word_hashes(texts)
         self.words, self.first = words, first
         doc = np.repeat(np.arange(len(texts)), np.diff(first))
         size = max(len(words) - n + 1, 0)
@@ -69,7 +69,8 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
     words joined by one space.
 
     Of documents with equal word sequences only the smallest id goes on; the others lose all
-    their windows. Every window gets a Rabin-Karp hash of its words (96 bits). Before windows are counted,
+    their windows. Every window gets two Rabin-Karp hashes of its words (64 and 32 bits, from two independent
+    hashes of each word). Before windows are counted,
     they are paired by the smallest hash of their ``sub``-word sub-windows: equal windows have
     equal smallest sub-windows, so a window whose smallest sub-window stands at one place of
     the corpus is provably single and need not be sent. This changes no result and cuts the
@@ -156,7 +157,7 @@ def substring_dedup(df: DataFrame, n: int = 20, sub: int = SUB, id_col: str = "d
                 known = part.flatten().to_numpy().view(np.uint64) ^ salt[owner]
                 pick = np.flatnonzero(g.whole & np.isin(g.low ^ salt[g.doc], known)) if len(g.doc) else g.doc
                 start = pick - g.first[g.doc[pick]]
-                held.append((windows(g.words, n, BASE_A)[pick], windows(g.words, n, BASE_B)[pick] & np.uint64(0xFFFFFFFF), ids[lo:hi][g.doc[pick]], start))
+                held.append((windows(g.words, n, BASE_A)[pick], windows(g.other, n, BASE_B)[pick] & np.uint64(0xFFFFFFFF), ids[lo:hi][g.doc[pick]], start))
                 size += len(pick)
                 if size > FLUSH:
                     yield combined(held)
