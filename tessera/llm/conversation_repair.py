@@ -287,27 +287,25 @@ def repair_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
 
     blocks = stage(line.mapInArrow(blocks_of, shape), "repair-blocks")
 
-    # upwards: groups of `fan` matrices, until every conversation has one
+    # upwards: groups of at most `fan` matrices, until every conversation has one
     node_shape = f"conv {kind}, blk long, cost {longs}, rank {longs}, kids {longs}, kid_costs {longs}, kid_ranks {longs}"
     node_schema = _arrow(spark, node_shape)
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _number()
-
         def closed(conv, held) -> tuple[tuple, int]:
             matrix = compose([(c, r) for _, c, r in held])
-            return (conv, next(ids), *matrix, [x[0] for x in held], [y for x in held for y in x[1]], [y for x in held for y in x[2]]), 300 * len(held)
+            return (conv, held[0][0], *matrix, [x[0] for x in held], [y for x in held for y in x[1]], [y for x in held for y in x[2]]), 300 * len(held)
 
         def rows() -> Iterator[tuple[tuple, int]]:
             held, now = [], None
-            for conv, blk, cost, rank in _rows(batches):
-                if held and (conv != now or len(held) >= fan):
-                    yield closed(now, held)
+            for conv, group, blk, cost, rank in _rows(batches):
+                if held and (conv, group) != now:
+                    yield closed(now[0], held)
                     held = []
-                now = conv
+                now = (conv, group)
                 held.append((blk, tuple(cost), tuple(rank)))
             if held:
-                yield closed(now, held)
+                yield closed(now[0], held)
 
         yield from _batches(rows(), node_schema)
 
@@ -318,19 +316,20 @@ def repair_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
                                               pa.array([True] * len(last))], names=["blk", "enter", "leave", "ends"])
 
     placed = "blk long, enter long, leave long, ends boolean"
-    levels, nodes = [], blocks.select("conv", "blk", "cost", "rank")
+    levels, nodes, bits = [], blocks.select("conv", "blk", "cost", "rank"), max(1, fan.bit_length() - 1)
     while True:
         long = nodes.groupBy(F.col("conv").alias("c")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        n = long.agg(F.sum("m")).first()[0]
+        n, most = long.agg(F.coalesce(F.sum("m"), F.lit(0)), F.max("m")).first()
         if not n:
             levels.append((nodes.select("blk", "cost", "rank").mapInArrow(rooted, placed), None))
             break
-        parts = max(1, n // (fan * 64))
         on = same(F.col("conv"), F.col("c"))
         roots = nodes.join(long, on, "left_anti").select("blk", "cost", "rank").mapInArrow(rooted, placed)
-        up = nodes.join(long, on, "left_semi").select("conv", "blk", "cost", "rank").coalesce(4 * parts)
-        up = up.repartitionByRange(parts, F.col("conv").asc_nulls_first(), "blk").sortWithinPartitions(F.col("conv").asc_nulls_first(), "blk")
-        parents = stage(up.mapInArrow(grouped, node_shape), "repair-groups")
+        # numbers that agree but in their low bits are neighbours: at most `fan` at a level, as each drops `bits` more
+        group = F.lit(0).cast("long") if most <= fan else F.shiftright("blk", min(63, bits * (len(levels) + 1)))
+        up = nodes.join(long, on, "left_semi").select("conv", group.alias("group"), "blk", "cost", "rank")
+        up = up.repartition(1) if n <= 64 * fan else up.repartition("conv", "group")
+        parents = stage(up.sortWithinPartitions("conv", "group", "blk").mapInArrow(grouped, node_shape), "repair-groups")
         levels.append((roots, parents))
         nodes = parents.select("conv", "blk", "cost", "rank")
 
@@ -351,7 +350,7 @@ def repair_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
     for roots, parents in reversed(levels[:-1]):
         down = parents.select("blk", "kids", "kid_costs", "kid_ranks").join(places, "blk").select(
             "kids", "kid_costs", "kid_ranks", "enter", "leave", "ends").mapInArrow(split, placed)
-        places = stage(roots.unionAll(down), "repair-places")
+        places = roots.unionAll(down)
 
     count = ["illegal", "blank", "duplicate", "truncated", "turn_min", "turn_max", "turns", "turn_first", "turn_last"]
     out_shape = (f"conv {kind}, part long, audit string, repaired string, cost long, n long, head string, last string, "
