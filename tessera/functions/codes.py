@@ -166,21 +166,33 @@ def snake_label(x) -> Column:
 
 # --- F12: accent-insensitive name key ---------------------------------------------
 
+def _bind(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def name_key(x) -> Column:
     """Compatibility decomposition without combining marks, lower-cased; runs of anything
     but a-z and 0-9 become one space; empty -> NULL.
 
     No built-in decomposes, so the two tables below state its outcome for every character
-    that yields an ASCII letter or digit: ``translate`` handles one-to-one forms and drops
-    marks; the rare forms of several characters (ligatures, fractions) are looked up character by
-    character, only in texts that hold one."""
-    s = _c(x)
-    forms = F.create_map(*[F.lit(v) for kv in MULTI_FORMS.items() for v in kv])
-    spelled = F.array_join(F.transform(F.split(s, ""), lambda ch: F.coalesce(forms[ch], ch)), "")
-    s = F.when(s.rlike(f"[{''.join(MULTI_FORMS)}]"), spelled).otherwise(s)
-    s = F.lower(F.translate(s, SINGLE_FORMS + MARKS, SINGLE_BASES))
-    s = F.trim(F.regexp_replace(s, r"[^a-z0-9]+", " "))
-    return F.when(s != "", s)
+    that yields an ASCII letter or digit. ASCII texts skip both. ``translate``, a hashed lookup, handles
+    one-to-one forms and drops marks, and also tells which texts hold a form of several characters (ligature,
+    fraction); in those, each character beyond ASCII is looked up by its place in the table."""
+    many = "".join(MULTI_FORMS)
+    outcomes = F.array(*[F.lit(v) for v in MULTI_FORMS.values()])
+
+    def spelled(s: Column) -> Column:
+        one = lambda ch: F.when(ch < "\x80", ch).otherwise(
+            _bind(F.instr(F.lit(many), ch), lambda at: F.when(at > 0, F.element_at(outcomes, at)).otherwise(ch)))
+        return F.array_join(F.transform(F.split(s, ""), one), "")
+
+    def plain(s: Column) -> Column:
+        whole = F.when(F.translate(s, many, "") != s, spelled(s)).otherwise(s)
+        return F.when(F.octet_length(s) == F.char_length(s), s).otherwise(F.translate(whole, SINGLE_FORMS + MARKS, SINGLE_BASES))
+
+    key = F.trim(F.regexp_replace(F.lower(plain(_c(x))), r"[^a-z0-9]+", " "))
+    return _bind(key, lambda k: F.when(k != "", k))
 
 
 def _decomposed_forms() -> tuple[str, str, str, dict[str, str]]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,31 @@ def combine_scalars(*one_row_frames: DataFrame) -> DataFrame:
     return u.agg(*[F.max(c).alias(c) for c in cols])
 
 
+def marked_summary(rows: DataFrame, key: str, mark: Column, n: int) -> DataFrame:
+    """(n_rows, n_marked, sample) in one row from one pass; ``sample`` holds the ``n`` smallest keys that are marked.
+
+    Each task reduces its rows to two counts and at most ``n`` keys, so the plan below is run once,
+    and what is gathered at the end is bounded by ``n`` keys a task."""
+    kind = rows.schema[key].dataType.simpleString()
+    marked = rows.select(F.when(mark, F.col(key)).alias("key"), F.when(mark, 1).otherwise(0).cast("long").alias("mark"))
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_rows = n_marked = 0
+        best = None
+        for b in batches:
+            n_rows, n_marked = n_rows + b.num_rows, n_marked + (pc.sum(b.column(1)).as_py() or 0)
+            found = b.column(0).drop_null()
+            best = found if best is None else pa.concat_arrays([best, found])
+            best = best.take(pc.sort_indices(best)[:n])
+        if best is not None:
+            ends = pa.array([0, len(best)], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([n_rows]), pa.array([n_marked]), pa.ListArray.from_arrays(ends, best)], ["n_rows", "n_marked", "best"])
+
+    parts = marked.mapInArrow(reduced, f"n_rows long, n_marked long, best array<{kind}>")
+    return parts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows"), F.coalesce(F.sum("n_marked"), F.lit(0)).cast("long").alias("n_marked"),
+                     F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, n).alias("sample"))
+
+
 def ordered_sample(df: DataFrame, col: str, n: int, alias: str, sep: str = ">") -> DataFrame:
     """O2: the ``n`` smallest values of ``col`` joined by ``sep`` (one row).
 

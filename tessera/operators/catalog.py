@@ -36,11 +36,27 @@ def safe_view_name(prefix: str, full_name: str) -> str:
     return f"{prefix}_{re.sub(r'[^A-Za-z0-9_]', '_', full_name)}"
 
 
+def save_table(df: DataFrame, name: str, path: str) -> None:
+    """A table of the session catalog over files below ``path`` (a folder that all executors share)."""
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+
+
 def create_join_view(spark: SparkSession, view: str, parents: tuple[str, ...], select_sql: str) -> bool:
-    """(re)create a join view only when every parent exists; False otherwise."""
+    """A persistent view over ``parents``, made only when all of them exist; False otherwise.
+
+    The view lives in the session catalog, where other sessions see it, so its parents must be tables or views there (a temp view is refused).
+    It is left as it is while its statement and its columns stay the same, else dropped and made again:
+    a view keeps the columns it was made with, so a parent whose schema has changed would break it."""
     if not all(spark.catalog.tableExists(p) for p in parents):
         return False
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS {select_sql}")
+    columns = [(f.name, f.dataType) for f in spark.sql(select_sql).schema]
+    if spark.catalog.tableExists(view):
+        told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {view}").collect()}
+        shown = [(c.name, c.dataType) for c in spark.catalog.listColumns(view)]
+        if told.get("View Text", "").strip() == select_sql.strip() and shown == [(n, t.simpleString()) for n, t in columns]:
+            return True
+        spark.sql(f"DROP VIEW {view}")
+    spark.sql(f"CREATE VIEW {view} AS {select_sql}")
     return True
 
 

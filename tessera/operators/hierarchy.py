@@ -122,3 +122,44 @@ def leaf_flags(codes: DataFrame, code: str = "code", min_len: int = 1) -> DataFr
     nl = non_leaf(codes, code, min_len).withColumn("__nl", F.lit(True))
     return codes.select(code).distinct().join(nl, code, "left") \
                 .select(code, F.col("__nl").isNull().alias("is_leaf"))
+
+
+def paths_by_doubling(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """(node, path): the path root -> node of every child of ``edges`` (roots have a NULL parent).
+
+    Each node knows a stretch of ancestors and who comes next; a round joins the stretch of that next
+    one, so stretches double and a tree of depth d takes log2(d) rounds. A parent that is no child itself
+    is a root above. Nodes that never reach a root (a cycle) raise."""
+    e = edges.select(F.col(child).alias("node"), F.col(parent).alias("up")).distinct()
+    tops = e.where(F.col("up").isNotNull()).select(F.col("up").alias("node")).distinct().join(e.select("node"), "node", "left_anti")
+    now = e.unionByName(tops.withColumn("up", F.lit(None).cast(e.schema["up"].dataType))).withColumn("path", F.array("node")).checkpoint()
+    limit = now.count().bit_length() + 1
+    for _ in range(limit):
+        if now.where(F.col("up").isNotNull()).isEmpty():
+            return now.select("node", "path")
+        above = now.select(F.col("node").alias("__n"), F.col("up").alias("__up"), F.col("path").alias("__path"))
+        now = now.join(above, F.col("up") == F.col("__n"), "left").select(
+            "node", F.col("__up").alias("up"), F.concat(F.coalesce("__path", F.array().cast(now.schema["path"].dataType)), "path").alias("path")).checkpoint()
+    raise ValueError("hierarchy holds a cycle")
+
+
+def interval_labels(paths: DataFrame, folder: str, node: str = "node", path: str = "path") -> DataFrame:
+    """H5/H6: store every node with its interval in pre-order, and return the stored table.
+
+    Rows (``node``, ``path`` from the root to the node itself, further columns kept) are sorted by path, so that a node
+    stands before its descendants and these stand together; ``first`` numbers them in that order (growing, with
+    gaps between partitions), ``last`` is the greatest number of the node's subtree. Then X lies below Y exactly if
+    Y.first < X.first <= Y.last: a subtree is a range, which files sorted by ``first`` answer from their statistics."""
+    spark = paths.sparkSession
+    paths.repartitionByRange(path).sortWithinPartitions(path).withColumn("first", F.monotonically_increasing_id()).write.parquet(f"{folder}/numbered")
+    numbered = spark.read.parquet(f"{folder}/numbered")
+    ends = numbered.select(F.explode(path).alias("__n"), "first").groupBy("__n").agg(F.max("first").alias("last"))
+    out = numbered.join(ends, numbered[node] == ends["__n"]).drop("__n")
+    out.repartitionByRange("first").sortWithinPartitions("first").write.parquet(f"{folder}/labels")
+    return spark.read.parquet(f"{folder}/labels")
+
+
+def subtree(labels: DataFrame, root, node: str = "node") -> DataFrame:
+    """H5: the nodes below ``root``, by its interval; none if it is not there."""
+    at = labels.where(F.col(node) == F.lit(root)).select("first", "last").first()
+    return labels.where((F.col("first") > at["first"]) & (F.col("first") <= at["last"])) if at else labels.where(F.lit(False))

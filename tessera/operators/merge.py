@@ -126,11 +126,6 @@ def as_of(history: DataFrame, t: Column) -> DataFrame:
                           (F.col("_effective_to").isNull() | (F.col("_effective_to") > t)))
 
 
-def row_fingerprint(cols: Sequence[Column]) -> Column:
-    """First 8 hex digits of the md5 of the '|'-joined row text, as a number."""
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 8), 16, 10).cast("bigint")
-
-
 def version_key(c: Column) -> Column:
     """U12/TR8: a dotted version string as an int array, so '1.11' > '1.9'."""
     return F.transform(F.split(c, r"\."), lambda x: x.cast("int"))

@@ -8,6 +8,7 @@ from tessera.functions import codes as C
 from tessera.operators import hierarchy as H
 from tessera.operators import joins as J
 from tessera.plans.registry import query
+from tessera.session import shared_path
 from tessera.sources.tables import Tables
 
 # Chapter bands over the numeric 3-character category (600-699 is
@@ -161,16 +162,19 @@ sub AS (SELECT c.code, list_append(COALESCE(paths.anc, []::VARCHAR[]), c.code) A
 SELECT code, array_to_string(self_path, '>') AS self_path, chapter, COUNT(*) OVER (PARTITION BY chapter) AS n_in_chapter FROM sub
 """)
 def subtree_select(spark, sf):
-    """H5/H6: the subtree under one node (array_contains on the stored path), each
-    member's root-to-self path (array_append) and a chapter roll-up joined back."""
-    cs = _code_set(_codes(Tables(spark, sf)))
-    anc = H.prefix_ancestors(cs, "code")
-    sub = anc.filter(F.array_contains("ancestors", ROOT))
-    sub = J.range_lookup(sub, F.substring("code", 1, 3).try_cast("int"), _chapters(spark), "lo", "hi", ["chapter"])
-    roll = sub.groupBy("chapter").agg(F.count(F.lit(1)).alias("n_in_chapter"))
-    out = sub.join(roll, sub["chapter"].eqNullSafe(roll["chapter"]), "left").drop(roll["chapter"])
-    return out.select("code", F.array_join(F.array_append("ancestors", F.col("code")), ">").alias("self_path"),
-                      "chapter", "n_in_chapter")
+    """H5/H6: the subtree under one node is a range of the stored interval labels, which also hold each
+    member's root-to-self path (array_append) and its chapter; the roll-up is joined back."""
+    sub = H.subtree(_labels(spark, _code_set(_codes(Tables(spark, sf)))), ROOT, "code")
+    roll = sub.groupBy(F.col("chapter").alias("ch")).agg(F.count(F.lit(1)).alias("n_in_chapter"))
+    out = sub.join(roll, F.col("chapter").eqNullSafe(F.col("ch")), "left")
+    return out.select("code", F.array_join("path", ">").alias("self_path"), "chapter", "n_in_chapter")
+
+
+def _labels(spark, code_set):
+    """The stored code set: path, interval and chapter of every code."""
+    paths = H.prefix_ancestors(code_set, "code").select("code", "depth", F.array_append("ancestors", F.col("code")).alias("path"))
+    paths = J.range_lookup(paths, F.substring("code", 1, 3).try_cast("int"), _chapters(spark), "lo", "hi", ["chapter"])
+    return H.interval_labels(paths, shared_path(spark, "code_labels"), "code")
 
 
 @query("hierarchy_dq", sql=f"""
@@ -186,21 +190,19 @@ SELECT 'unmapped_categories', COUNT(*) FROM (SELECT DISTINCT substr(code, 1, 3)
 """)
 def hierarchy_dq(spark, sf):
     """H7: orphans (no ancestor although not a root), dangling tree parents,
-    categories that map to no chapter."""
+    categories that map to no chapter; the labels are read twice, the tree once."""
     p = _codes(Tables(spark, sf))
-    cs = _code_set(p)
-    tree = _tree(p)
-    anc = H.prefix_ancestors(cs, "code")
-    orph = anc.filter((F.length("code") > 1) & (F.col("depth") == 0)).agg(F.count(F.lit(1)).alias("n_failing")) \
-              .select(F.lit("orphan_codes").alias("check_name"), "n_failing")
-    existing = cs.unionByName(tree.select(F.col("child").alias("code"))).distinct()
-    dang = tree.filter(F.col("parent").isNotNull()).join(existing, F.col("parent") == F.col("code"), "left_anti") \
-               .agg(F.count(F.lit(1)).alias("n_failing")).select(F.lit("dangling_parents").alias("check_name"), "n_failing")
-    cats = cs.select(F.substring("code", 1, 3).alias("cat")).distinct()
-    cats = J.range_lookup(cats, F.col("cat").try_cast("int"), _chapters(spark), "lo", "hi", ["chapter"])
-    unm = cats.filter(F.col("chapter").isNull()).agg(F.count(F.lit(1)).alias("n_failing")) \
-              .select(F.lit("unmapped_categories").alias("check_name"), "n_failing")
-    return orph.unionByName(dang).unionByName(unm)
+    labels = _labels(spark, _code_set(p))
+    told = labels.agg(F.count_if((F.length("code") > 1) & (F.col("depth") == 0)).alias("orphan_codes"),
+                      F.count_distinct(F.when(F.col("chapter").isNull(), F.substring("code", 1, 3))).alias("unmapped_categories"))
+    told = told.select(F.explode(F.create_map(*[x for c in ("orphan_codes", "unmapped_categories") for x in (F.lit(c), F.col(c))])).alias("check_name", "n_failing"))
+    there, asked = F.lit(True).alias("there"), F.lit(0).cast("long").alias("asked")
+    ends = _tree(p).select(F.explode(F.array(F.struct(F.col("child").alias("code"), there, asked),
+                                             F.struct(F.col("parent").alias("code"), F.lit(False).alias("there"), F.lit(1).cast("long").alias("asked")))).alias("e"))
+    nodes = ends.select("e.*").where(F.col("code").isNotNull()).unionByName(labels.select("code", there, asked))
+    dangling = nodes.groupBy("code").agg(F.bool_or("there").alias("there"), F.sum("asked").alias("asked")).where("NOT there").agg(
+        F.lit("dangling_parents").alias("check_name"), F.coalesce(F.sum("asked"), F.lit(0)).cast("long").alias("n_failing"))
+    return told.unionByName(dangling)
 
 
 @query("range_lookup", sql="""

@@ -126,10 +126,11 @@ def offender_sample(spark, sf):
     is the feature: a bounded sample for the DQ record)."""
     t = Tables(spark, sf)
     parent = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("k"))
-    off = t.orders.select(F.col("o_custkey").alias("k")).join(parent, "k", "left_anti").distinct()
-    both = A.combine_scalars(off.agg(F.count(F.lit(1)).alias("n_offenders")),
-                             A.ordered_sample(off, "k", 10, "sample"))
-    return both.select(F.lit("fk_building_customer").alias("check_name"), "n_offenders", "sample")
+    keys = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n")).join(
+        parent.withColumn("hit", F.lit(True)), "k", "left")
+    told = A.marked_summary(keys, "k", F.col("hit").isNull(), 10)
+    sample = F.when(F.size("sample") > 0, F.array_join(F.transform("sample", lambda x: x.cast("string")), ">"))
+    return told.select(F.lit("fk_building_customer").alias("check_name"), F.col("n_marked").alias("n_offenders"), sample.alias("sample"))
 
 
 @query("labelled_counts", sql=" UNION ALL ".join(
@@ -171,13 +172,11 @@ def coverage_ratio(spark, sf):
     t = Tables(spark, sf)
     lab = t.labels.select(F.col("doc_id").alias("__l")).distinct().withColumn("__hit", F.lit(True))
     d = t.documents.select("doc_id").join(lab, F.col("doc_id") == F.col("__l"), "left")
-    stats = d.agg(F.count(F.lit(1)).alias("n_docs"),
-                  F.sum(F.when(F.col("__hit"), 1).otherwise(0)).cast("bigint").alias("n_covered"))
-    miss = A.ordered_sample(d.filter(F.col("__hit").isNull()), "doc_id", 10, "missing_sample")
-    both = A.combine_scalars(stats, miss)
+    told = A.marked_summary(d, "doc_id", F.col("__hit").isNull(), 10)
+    told = told.select(F.col("n_rows").alias("n_docs"), (F.col("n_rows") - F.col("n_marked")).alias("n_covered"), "sample")
     ratio = F.col("n_covered") / F.col("n_docs")
-    return both.select("n_docs", "n_covered", F.round(ratio, 6).alias("ratio"), (ratio >= 0.65).alias("passed"),
-                       "missing_sample")
+    sample = F.when(F.size("sample") > 0, F.array_join(F.transform("sample", lambda x: x.cast("string")), ">"))
+    return told.select("n_docs", "n_covered", F.round(ratio, 6).alias("ratio"), (ratio >= 0.65).alias("passed"), sample.alias("missing_sample"))
 
 
 _DQ_FEEDS = ("dq_unique", "dq_range", "dq_vocab", "dq_fk", "dq_not_null", "dq_cardinality", "dq_date_order")
@@ -211,13 +210,15 @@ def discovery_view(spark, sf):
     with dq.ResultLog(f"{root}/dq_results", "discovery", "discovery_view") as rec:
         for k in _DQ_FEEDS:
             rec.record(REGISTRY[k][0](spark, sf))
-    lake.publish_version(spark, REGISTRY["labelled_counts"][0](spark, sf), f"{root}/dataset_catalog")
-    eng_parts = [getattr(t, n).agg(F.to_date(F.max(c)).alias("last_refreshed")).select(F.lit(n).alias("table_name"), "last_refreshed")
-                 for n, c in _REFRESH_COLS.items()]
-    eng = eng_parts[0]
-    for p in eng_parts[1:]:
-        eng = eng.unionByName(p)
-    lake.publish_version(spark, eng, f"{root}/dataset_engineering")
+    # one aggregate a table gives its count and newest date
+    told = None
+    for n in TABLES:
+        newest = F.to_date(F.max(_REFRESH_COLS[n])) if n in _REFRESH_COLS else F.lit(None).cast("date")
+        one = getattr(t, n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), newest.alias("last_refreshed"))
+        told = one if told is None else told.unionByName(one)
+    told = told.checkpoint()
+    lake.publish_version(spark, told.select("table_name", "n_rows"), f"{root}/dataset_catalog")
+    lake.publish_version(spark, told.where("last_refreshed IS NOT NULL").select("table_name", "last_refreshed"), f"{root}/dataset_engineering")
 
     cat = lake.read_current(spark, f"{root}/dataset_catalog")
     eng = lake.read_current(spark, f"{root}/dataset_engineering")

@@ -96,16 +96,16 @@ def xml_tree_read(spark, sf):
     code = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
     names = F.transform(F.sequence(F.lit(0), depth.cast("int")), lambda i: F.concat(F.lit("<diag><name>"), code, F.repeat(F.lit(".x"), i), F.lit("</name>")))
     node = F.concat(F.array_join(names, ""), F.array_join(F.transform(names, lambda _: F.lit("</diag>")), ""))
-    blocks = (t.supplier.withColumn("node", node).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-              .groupBy("n_regionkey", "n_name").agg(F.array_join(F.array_sort(F.collect_list("node")), "").alias("nodes")))
-    chapters = (blocks.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-                .select("r_name", F.concat(F.lit('<section id="'), "n_name", F.lit('"><desc>Nation '), "n_name", F.lit(" (A00-B99)</desc>"),
-                                           F.lit("<diag><name> </name></diag>"), "nodes", F.lit("</section>")).alias("block"))
-                .groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_list("block")), "").alias("blocks")))
+    # documents of at most a thousand suppliers: they grow in number with the table, not in size
+    blocks = (t.supplier.withColumns({"node": node, "cut": F.floor(F.col("s_suppkey") / 1000)})
+              .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+              .groupBy("r_name", "n_name", "cut").agg(F.array_join(F.array_sort(F.collect_list("node")), "").alias("nodes")))
+    section = F.concat(F.lit('<section id="'), "n_name", F.lit('"><desc>Nation '), "n_name", F.lit(" (A00-B99)</desc><diag><name> </name></diag>"),
+                       "nodes", F.lit("</section>"))
     path = shared_path(spark, "xml_tree")
-    # a document for each chapter, in a file of its own
-    chapters.select("r_name", F.concat(F.lit("<tabular><chapter><name>"), "r_name", F.lit("</name><desc>Region "), "r_name", F.lit(" (C7A)</desc>"),
-                             "blocks", F.lit("</chapter></tabular>")).alias("value")).write.partitionBy("r_name").text(path)
+    # a document is a file of its own: a reader goes up to the end of the file's first root element
+    blocks.select("r_name", "n_name", "cut", F.concat(F.lit("<tabular><chapter><name>"), "r_name", F.lit("</name><desc>Region "), "r_name", F.lit(" (C7A)</desc>"),
+                           section, F.lit("</chapter></tabular>")).alias("value")).write.partitionBy("r_name", "n_name", "cut").text(path)
     return XML.tree_pairs(spark, path, root_tag="chapter", group_tag="section", node_tag="diag", label_field="desc")
 
 
@@ -146,8 +146,8 @@ def code_map_read(spark, sf):
 
 
 @query("relationship_read", sql="""
-SELECT 'comma' AS vintage, lpad(c_custkey::VARCHAR, 5, '0') AS zone, lpad(c_nationkey::VARCHAR, 3, '0') AS area FROM customer WHERE c_custkey < 100000
-UNION ALL SELECT 'pipe', lpad(c_custkey::VARCHAR, 5, '0'), lpad(c_nationkey::VARCHAR, 3, '0') FROM customer WHERE c_custkey < 100000
+SELECT vintage, CASE WHEN length(c_custkey::VARCHAR) <= 5 THEN lpad(c_custkey::VARCHAR, 5, '0') END AS zone, lpad(c_nationkey::VARCHAR, 3, '0') AS area
+FROM customer, (VALUES ('comma'), ('pipe')) AS v(vintage)
 """)
 def relationship_read(spark, sf):
     """The delimiter is sniffed (comma, pipe) and each vintage names its columns differently.
@@ -205,19 +205,27 @@ def region_conform(spark, sf):
 
 
 @query("dataset_register", sql="""
-SELECT 'tpch_raw.' || n AS full_table_name, d AS description, u AS update_semantics
-FROM (VALUES ('orders', 'second', 'merge_upsert'), ('events', 'first', 'append_only')) v(n, d, u)
-WHERE (SELECT count(*) FROM orders) > 0 AND (SELECT count(*) FROM events) > 0
+SELECT 'tpch_raw.orders' AS full_table_name, 'second' AS description, 'merge_upsert' AS update_semantics, count(*) AS row_count,
+       CAST(max(o_orderdate) AS DATE) AS newest, count(*) - count(o_orderpriority) AS null_count FROM orders
+UNION ALL SELECT 'tpch_raw.events', 'first', 'append_only', count(*), CAST(max(ts) AS DATE), count(*) - count(props) FROM events
 """)
 def dataset_register(spark, sf):
-    """One metadata row per given table that holds rows; a second registration updates the
-    columns it lists and leaves the others."""
+    """One metadata row per given table with its own row count, newest date and nulls of a column, each
+    from one aggregate; a second registration updates the columns it lists and leaves the others."""
     t = Tables(spark, sf)
     path = shared_path(spark, "catalog")
     schema = CAT.layer_schema("tpch", "raw")
-    for table, entry, columns in (("orders", {"description": "first", "update_semantics": "merge_upsert"}, ["description", "update_semantics"]),
-                                  ("events", {"description": "first", "update_semantics": "append_only"}, ["description", "update_semantics"]),
-                                  ("orders", {"description": "second"}, ["description"])):
-        if not getattr(t, table).isEmpty():
-            CAT.register_dataset(spark, path, {"full_table_name": CAT.dotted_name(schema, table), **entry}, columns, "2026-01-01")
-    return lake.read_current(spark, path).select("full_table_name", "description", "update_semantics")
+
+    def entry(name, when, nullable, **given):
+        r = getattr(t, name).agg(F.count(F.lit(1)).alias("n"), F.max(F.to_date(when)).cast("string").alias("newest"),
+                                 F.count_if(F.col(nullable).isNull()).alias("nulls")).first()
+        return {"full_table_name": CAT.dotted_name(schema, name), "row_count": str(r.n), "newest": r.newest, "null_count": str(r.nulls), **given}
+
+    orders = entry("orders", "o_orderdate", "o_orderpriority", description="first", update_semantics="merge_upsert")
+    events = entry("events", "ts", "props", description="first", update_semantics="append_only")
+    for given, columns in ((orders, [c for c in orders if c != "full_table_name"]),
+                           (events, [c for c in events if c != "full_table_name"]),
+                           ({"full_table_name": orders["full_table_name"], "description": "second"}, ["description"])):
+        CAT.register_dataset(spark, path, given, columns, "2026-01-01")
+    return lake.read_current(spark, path).select("full_table_name", "description", "update_semantics", F.col("row_count").cast("long").alias("row_count"),
+                                                 F.col("newest").cast("date").alias("newest"), F.col("null_count").cast("long").alias("null_count"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import aggregates as A
@@ -13,6 +15,8 @@ from tessera.operators import reconcile as R
 from tessera.operators import windows as W
 from tessera.plans.registry import query
 from tessera.plans.sqlshapes import dq_row
+from tessera.session import shared_path
+from tessera.sources import lake
 from tessera.sources.tables import Tables
 
 
@@ -216,26 +220,28 @@ SELECT pt.p_partkey, pt.p_name, s.s_suppkey, s.s_name
 FROM part pt JOIN b ON pt.p_partkey = b.l_partkey JOIN supplier s ON b.l_suppkey = s.s_suppkey
 """)
 def bridge_view(spark, sf):
-    """A persistent-style join view over part -> primary bridge -> supplier,
-    created only when every parent is registered."""
+    """A persistent join view over part -> primary bridge -> supplier, made when all three
+    tables are in the catalog, and read from another session. The bridge reaches its table through a temp view of this run."""
     t = Tables(spark, sf)
     pairs = _pairs(t)
     bridge = W.keep_one(pairs, ["l_partkey"], W.desc_nulls_last(F.col("overlap")) + [F.col("l_suppkey")], ["l_suppkey"])
-    import uuid
-    run = uuid.uuid4().hex[:8]  # views are session-global: unique names per call
-    names = {"part": CAT.safe_view_name(f"v{run}", "ref.part"), "supplier": CAT.safe_view_name(f"v{run}", "ref.supplier"),
-             "bridge": CAT.safe_view_name(f"v{run}", "ref.part_supplier_primary")}
-    t.part.createOrReplaceTempView(names["part"])
-    t.supplier.createOrReplaceTempView(names["supplier"])
-    bridge.createOrReplaceTempView(names["bridge"])
-    view = CAT.safe_view_name(f"v{run}", "ref.part_primary_supplier")
-    ok = CAT.create_join_view(spark, view, tuple(names.values()), f"""
-        SELECT pt.p_partkey, pt.p_name, s.s_suppkey, s.s_name
+    run = f"v{uuid.uuid4().hex[:8]}"  # the catalog is shared by all runs
+    staged = CAT.safe_view_name(run, "ref.bridge-of-this-run")
+    bridge.createOrReplaceTempView(staged)
+    tables = {"part": t.part, "supplier": t.supplier, "bridge": spark.table(staged)}
+    names = {k: CAT.safe_view_name(run, f"ref.{k}") for k in tables}
+    view = CAT.safe_view_name(run, "ref.part_primary_supplier")
+    select = f"""SELECT pt.p_partkey, pt.p_name, s.s_suppkey, s.s_name
         FROM {names['part']} pt JOIN {names['bridge']} b ON pt.p_partkey = b.l_partkey
-        JOIN {names['supplier']} s ON b.l_suppkey = s.s_suppkey""")
-    if not ok:
+        JOIN {names['supplier']} s ON b.l_suppkey = s.s_suppkey"""
+    for k, df in tables.items():
+        if CAT.create_join_view(spark, view, tuple(names.values()), select):
+            raise RuntimeError("the view was made before its parents")
+        CAT.save_table(df, names[k], shared_path(spark, f"catalog-{k}"))
+    spark.catalog.dropTempView(staged)
+    if not CAT.create_join_view(spark, view, tuple(names.values()), select):
         raise RuntimeError("bridge view parents missing")
-    return spark.table(view)
+    return spark.newSession().table(view)
 
 
 # ------------------------------------------------------------------ J12
@@ -301,6 +307,13 @@ def _xw(t):
     return XW.unpivot_weights(_wide_weights(t), ["source_id", "target_id"], _WEIGHT_KINDS)
 
 
+def _stored_slice(spark, t, kind):
+    """K1: the crosswalk is stored by weight kind; a slice reads that kind's files only."""
+    xw, path = _xw(t), shared_path(spark, "crosswalk")
+    lake.write_partitioned(xw, path, "weight_kind")
+    return XW.select_slice(lake.read_table(spark, path, xw.schema), weight_kind=kind)
+
+
 @query("crosswalk_unpivot", sql=_WIDE_SQL + "SELECT source_id, target_id, weight_kind, ROUND(weight, 9) AS weight FROM xw")
 def crosswalk_unpivot(spark, sf):
     """Weight columns (matched case-insensitively) -> one row per kind; NULL/NaN skipped."""
@@ -326,7 +339,7 @@ FROM part p JOIN xw ON p.p_partkey = xw.source_id WHERE xw.weight_kind = 'wt_qty
 def crosswalk_apply(spark, sf):
     """K1/K2: pick the quantity slice, allocate each part's price to its suppliers."""
     t = Tables(spark, sf)
-    sl = XW.select_slice(_xw(t), weight_kind="wt_qty")
+    sl = _stored_slice(spark, t, "wt_qty")
     a = XW.allocate(t.part, "p_partkey", "p_retailprice", sl, "source_id", "target_id")
     return a.select("target_id", F.round("allocated", 4).alias("allocated"))
 
@@ -341,7 +354,7 @@ FROM part p JOIN comp ON p.p_partkey = comp.source_id GROUP BY comp.nation_id
 def crosswalk_compose(spark, sf):
     """K2: compose part->supplier (quantity) with supplier->nation, then allocate."""
     t = Tables(spark, sf)
-    first = XW.select_slice(_xw(t), weight_kind="wt_qty")
+    first = _stored_slice(spark, t, "wt_qty")
     second = t.supplier.select(F.col("s_suppkey").alias("target_id"), F.col("s_nationkey").cast("bigint").alias("nation_id"),
                                F.lit(1.0).alias("weight"))
     comp = XW.compose(first, second, "source_id", "target_id", "nation_id")

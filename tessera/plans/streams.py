@@ -75,22 +75,22 @@ FROM events
 """)
 def stream_late_revision(spark, sf):
     """Originals land first, revised rows (error events re-issued, moved by a day) land
-    later in the same folder, however late; the highest revision per key wins in the
-    upsert. The partition is a bucket of the key, which a revision cannot change."""
+    later in the same folder. The stream keeps the keys of the last two days in state; rows behind its
+    watermark go to a side table, which a second job absorbs; the highest revision per key wins."""
     ev = Tables(spark, sf).events.select("event_id", "ts", "event_type", "value")
     orig = ev.withColumn("revision", F.lit(0))
     rev = (ev.filter(F.col("event_type") == "error").withColumn("value", F.col("value") + 1000)
            .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).withColumn("revision", F.lit(1)))
     landing = _land(spark, "landing_revisions", orig)
-    table = S.PartitionedTable(spark, shared_path(spark, "revised_events"), "bucket",
-                               "event_id long, value double, revision int, bucket int", ["event_id", "bucket"])
-    ckpt = shared_path(spark, "ckpt_revisions")
-    fn = S.latest_revision_batches(table, "revision",
-                                   lambda b: b.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(8)).cast("int")))
-    S.run_available_now(S.file_stream(spark, landing, orig.schema), ckpt, foreach_batch=fn)
-    S.land_files(rev, landing)  # the late revisions arrive
-    S.run_available_now(S.file_stream(spark, landing, orig.schema), ckpt, foreach_batch=fn)
-    return table.read().select("event_id", "value", "revision")
+    table = S.RevisionStream(spark, shared_path(spark, "revised_events"), "event_id long, value double, revision int",
+                             ["event_id"], "revision", "ts", "2 days")
+    for late in (None, rev):
+        if late is not None:
+            S.land_files(late, landing)  # the late revisions arrive
+        table.on_time(S.file_stream(spark, landing, orig.schema, MAX_FILES))
+        table.set_late_aside(S.file_stream(spark, landing, orig.schema))
+    table.absorb()
+    return table.main.read()
 
 
 @query("stream_tumbling", sql="""
@@ -98,13 +98,13 @@ SELECT event_type, date_trunc('day', ts) AS window_start, COUNT(*) AS n, ROUND(S
 FROM events GROUP BY 1, 2
 """)
 def stream_tumbling(spark, sf):
-    """T4: one-day tumbling windows as an incremental derived table: every batch adds its
-    partial counts and sums, so no lateness bound can drop a row."""
+    """T4: one-day tumbling windows whose open windows live in the stream's state (two days of delay); files land
+    in no order of time, so windows that lack rows behind the watermark are computed anew afterwards."""
     ev = Tables(spark, sf).events
     landing = _land(spark, "landing_windows", ev)
-    table = S.PartialSums(spark, shared_path(spark, "window_totals"), ["event_type", "window_start"], ["n", "total"],
-                          "event_type string, window_start timestamp_ntz, n long, total double")
-    fn = table.batches(lambda b: b.select("event_type", F.to_date("ts").cast("timestamp_ntz").alias("window_start"),
-                                          F.lit(1).alias("n"), F.col("value").alias("total")))
-    S.run_available_now(S.file_stream(spark, landing, ev.schema, MAX_FILES), shared_path(spark, "ckpt_windows"), foreach_batch=fn)
-    return table.read().withColumn("total", F.round("total", 2))
+    table = S.WindowTotals(spark, shared_path(spark, "window_totals"), ["event_type"], ["total"],
+                           "event_type string, total double", "ts", "1 day", "2 days")
+    table.run(S.file_stream(spark, landing, ev.schema, MAX_FILES).withColumn("total", F.col("value")))
+    table.repair(spark.read.schema(ev.schema).parquet(f"{landing}/*").withColumn("total", F.col("value")))
+    return table.table.read().select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n",
+                                     F.round("total", 2).alias("total"))

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import dq
+from tessera.operators import lineage as LN
 from tessera.operators import merge as MG
 from tessera.plans.registry import query
 from tessera.session import shared_path
 from tessera.sources import lake
+from tessera.sources.history import HistoryTable
+from tessera.sources.keyed import KeyedFiles
 from tessera.sources.tables import Tables
 
 ORDERS_V = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
@@ -135,17 +138,13 @@ SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT
 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM s
 """)
 def upsert_merge(spark, sf):
-    """U4: MERGE semantics as algebra — target rows without a source match, plus all
-    source rows; the new version is written beside the old one, then read."""
-    o = Tables(spark, sf).orders
-    base = shared_path(spark, "orders_upsert")
-    v1 = lake.new_version_path(base)
-    lake.full_refresh(o.select("o_orderkey", "o_orderstatus", "o_totalprice"), v1)
-    target = spark.read.parquet(v1)
-    merged = MG.upsert(target, _upsert_source(o), ["o_orderkey"])
-    v2 = lake.new_version_path(base)
-    lake.full_refresh(merged, v2)
-    return spark.read.parquet(v2)
+    """U4: MERGE on files: those that hold matched keys are written anew, all others stay as they
+    are in the next version."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    table = KeyedFiles(spark, shared_path(spark, "orders_upsert"), "o_orderkey long, o_orderstatus string, o_totalprice double", ["o_orderkey"])
+    table.merge(o.drop("o_orderpriority"))
+    table.merge(_upsert_source(o))
+    return table.read()
 
 
 STAMP = "2002-01-01"
@@ -170,14 +169,11 @@ def upsert_partial_columns(spark, sf):
     src = o.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", F.lit("X").alias("o_orderstatus")) \
            .unionByName(o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")).select(
                (F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus")))
-    base = shared_path(spark, "orders_partial")
-    v1 = lake.new_version_path(base)
-    lake.full_refresh(target, v1)
-    out = MG.upsert_columns(spark.read.parquet(v1), src, ["o_orderkey"], ["o_orderstatus"], "updated_at",
-                            F.lit(STAMP).cast("date"))
-    v2 = lake.new_version_path(base)
-    lake.full_refresh(out, v2)
-    return spark.read.parquet(v2)
+    table = KeyedFiles(spark, shared_path(spark, "orders_partial"), target.schema, ["o_orderkey"])
+    table.merge(target)
+    table.merge(src, lambda now, new: MG.upsert_columns(now, new.select("o_orderkey", "o_orderstatus"), ["o_orderkey"], ["o_orderstatus"],
+                                                        "updated_at", F.lit(STAMP).cast("date"), check=False))
+    return table.read()
 
 
 def _daily(ev, status):
@@ -203,12 +199,10 @@ def revision_absorb(spark, sf):
     loads = [_daily(ev.filter(day < F.lit("2024-01-20").cast("date")), "scaled"),
              _daily(ev.filter((day >= F.lit("2024-01-20").cast("date")) & (F.col("value") < 100)), "prelim"),
              _daily(ev.filter(day >= F.lit("2024-01-20").cast("date")), "scaled")]  # the final load covers every preliminary day
-    base = shared_path(spark, "daily_revisions")
-    path = f"{base}/table"
-    for i, load in enumerate(loads):  # each load rewrites only the days it touches
-        lake.merge_partitions(spark, path, load, "obs_date", lambda cur, src: MG.upsert(cur, src, ["user_id", "obs_date"]),
-                              f"{base}/_staging/load-{i}")
-    return lake.read_table(spark, path, loads[0].schema)
+    table = KeyedFiles(spark, shared_path(spark, "daily_revisions"), loads[0].schema, ["obs_date", "user_id"])
+    for load in loads:  # each load rewrites only the files that hold its keys
+        table.merge(load)
+    return table.read()
 
 
 @query("overlay_update", sql="""
@@ -259,9 +253,13 @@ SELECT o_custkey, o_orderpriority, _effective_from FROM h
 WHERE _effective_from <= DATE '1998-01-01' AND (_effective_to IS NULL OR _effective_to > DATE '1998-01-01')
 """)
 def asof_read(spark, sf):
-    """The version valid at an instant."""
-    h = MG.as_of(_history(spark, sf), F.lit("1998-01-01").cast("date"))
-    return h.select("o_custkey", "o_orderpriority", "_effective_from")
+    """The version valid at an instant, read from a stored history that two loads made."""
+    o = Tables(spark, sf).orders.select("o_custkey", "o_orderpriority", "o_orderkey", F.to_date("o_orderdate").alias("d"), "o_orderdate")
+    h = HistoryTable(spark, shared_path(spark, "priority_history"), "o_custkey long, o_orderpriority string", ["o_custkey"], ["o_orderpriority"])
+    split = F.col("d") < F.lit("1997-01-01").cast("date")
+    for load in (o.where(split), o.where(~split)):
+        h.load(load, ["o_orderdate", "o_orderkey"], "d")
+    return h.as_of("1998-01-01").select("o_custkey", "o_orderpriority", "_effective_from")
 
 
 @query("gated_publish", sql="""
@@ -308,38 +306,79 @@ def gated_publish(spark, sf):
     return j.select(F.col("run_id").alias("run"), "check_name", "passed", "failing", "total", "published", "n_published")
 
 
-_FP_ROW_SQL = ("concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, "
-               "CAST({cents} AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority)")
-_FP_SQL = "SUM(CAST('0x' || substr(md5({row}), 1, 8) AS BIGINT))"
+def _print_sql(*cols: str) -> str:
+    """The row print of text columns in SQL."""
+    said = " || ".join(f"coalesce(length({c}) || ':' || {c}, 'n')" for c in cols)
+    return f"CAST(SUM(CAST('0x' || substr(md5({said}), 1, 15) AS HUGEINT)) AS VARCHAR)"
+
+
+_FP_COLS = ("CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus", "CAST({cents} AS VARCHAR)",
+            "strftime(o_orderdate, '%Y-%m-%d')", "o_orderpriority")
+
+
+def _fp_sql(cents: str) -> str:
+    return (f"SELECT CAST(year(o_orderdate) AS INTEGER) AS vintage, COUNT(*) AS n_rows, "
+            f"{_print_sql(*[c.format(cents=cents) for c in _FP_COLS])} AS fp FROM orders GROUP BY 1")
 
 
 @query("content_fingerprint", sql=f"""
-WITH cur AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS vintage, COUNT(*) AS n_rows,
-                    {_FP_SQL.format(row=_FP_ROW_SQL.format(cents="CAST(ROUND(o_totalprice * 100) AS BIGINT)"))} AS fp
-             FROM orders GROUP BY 1),
-prev AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS vintage,
-                {_FP_SQL.format(row=_FP_ROW_SQL.format(cents="CAST(ROUND(o_totalprice * 100) AS BIGINT) + CASE WHEN year(o_orderdate) = 1998 THEN 100 ELSE 0 END"))} AS fp
-         FROM orders GROUP BY 1)
-SELECT cur.vintage, cur.n_rows, CAST(cur.fp AS BIGINT) AS fingerprint, cur.fp = prev.fp AS unchanged
-FROM cur JOIN prev ON cur.vintage = prev.vintage
+WITH cur AS ({_fp_sql("CAST(ROUND(o_totalprice * 100) AS BIGINT)")}),
+prev AS ({_fp_sql("CAST(ROUND(o_totalprice * 100) AS BIGINT) + CASE WHEN year(o_orderdate) = 1998 THEN 100 ELSE 0 END")})
+SELECT cur.vintage, cur.n_rows, cur.fp AS fingerprint, cur.fp = prev.fp AS unchanged FROM cur JOIN prev ON cur.vintage = prev.vintage
 """)
 def content_fingerprint(spark, sf):
-    """Order-free fingerprint per vintage (sum of per-row md5 prefixes) and the
-    unchanged-skip signal against the previous build (which differed in 1998)."""
+    """Order-free fingerprint per vintage (sum of null-safe row prints), stored by each build; the second
+    build compares its own with what the first (whose prices differed in 1998) has stored."""
     o = Tables(spark, sf).orders
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    yr = F.year("o_orderdate")
 
-    def fp(cents_col):
-        row = MG.row_fingerprint([F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
-                                  F.col("o_orderstatus"), cents_col.cast("string"),
-                                  F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderpriority")])
-        return row
+    def prints(cents):
+        cols = [F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"), cents.cast("string"),
+                F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderpriority")]
+        return o.groupBy(yr.cast("int").alias("vintage")).agg(*LN.content_print(o, cols))
 
-    yr = F.year("o_orderdate")
-    both = o.groupBy(yr.cast("int").alias("vintage")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(fp(cents)).alias("fingerprint"),
-        F.sum(fp(cents + F.when(yr == 1998, 100).otherwise(0))).alias("__prev"))
-    return both.select("vintage", "n_rows", "fingerprint", (F.col("fingerprint") == F.col("__prev")).alias("unchanged"))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    path = shared_path(spark, "vintage_prints")
+    lake.full_refresh(prints(cents + F.when(yr == 1998, 100).otherwise(0)), f"{path}/build-1")
+    lake.full_refresh(prints(cents), f"{path}/build-2")
+    last = spark.read.parquet(f"{path}/build-1").select("vintage", F.col("print").alias("last"))
+    return spark.read.parquet(f"{path}/build-2").join(last, "vintage").select(
+        "vintage", "n_rows", F.col("print").alias("fingerprint"), (F.col("print") == F.col("last")).alias("unchanged"))
+
+
+@query("transitive_skip", sql="""
+WITH b(name, n_rows) AS (
+  SELECT 'customer_year', (SELECT COUNT(*) FROM (SELECT DISTINCT o_custkey, year(o_orderdate) FROM orders))
+  UNION ALL SELECT 'year_total', (SELECT COUNT(DISTINCT year(o_orderdate)) FROM orders)
+  UNION ALL SELECT 'part_lines', (SELECT COUNT(DISTINCT l_partkey) FROM lineitem)
+  UNION ALL SELECT 'year_part', (SELECT COUNT(DISTINCT year(o_orderdate)) FROM orders) + (SELECT COUNT(DISTINCT l_partkey) FROM lineitem))
+SELECT CAST(r.run AS INTEGER) AS run, b.name, r.run = 1 OR (r.run = 3 AND b.name <> 'part_lines') OR (r.run = 4 AND b.name = 'year_part') AS made, b.n_rows
+FROM b, (VALUES (1), (2), (3), (4)) r(run)
+""")
+def transitive_skip(spark, sf):
+    """Builds in a chain and beside it. All are made at first, none when nothing changes, what lies
+    downstream of orders when a price there changes, and one when its own recipe changes."""
+    t = Tables(spark, sf)
+    orders = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"), "o_totalprice")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    total = F.sum("o_totalprice").alias("o_totalprice")
+    kinds = lambda y, p: y.select(F.col("year").alias("k")).unionAll(p.select("l_partkey"))
+
+    def graph(recipe):
+        return LN.BuildGraph(spark, base, [
+            LN.Build("year_part", ("year_total", "part_lines"), kinds, recipe),
+            LN.Build("year_total", ("customer_year",), lambda c: c.groupBy("year").agg(total)),
+            LN.Build("customer_year", ("orders",), lambda o: o.groupBy("o_custkey", "year").agg(total)),
+            LN.Build("part_lines", ("lineitem",), lambda x: x.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")))])
+
+    base, out = shared_path(spark, "builds_graph"), None
+    changed = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for run, (o, recipe) in enumerate(((orders, "1"), (orders.repartition(3), "1"), (changed, "1"), (changed, "2")), 1):
+        g = graph(recipe)
+        for name, made in g.refresh({"orders": o, "lineitem": lines}).items():
+            row = g.table(name).agg(F.lit(run).alias("run"), F.lit(name).alias("name"), F.lit(made).alias("made"), F.count(F.lit(1)).alias("n_rows"))
+            out = row if out is None else out.unionAll(row)
+    return out
 
 
 @query("sorted_write", sql="SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_unsorted FROM orders")

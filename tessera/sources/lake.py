@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,22 +166,86 @@ def write_version(spark: SparkSession, df: DataFrame, base: str, *, allow_schema
     return path
 
 
-def point_to(spark: SparkSession, base: str, path: str) -> None:
-    """Make ``path`` the published version by adding the next pointer."""
-    turn = 1 + max((n for n, _ in _pointers(spark, base)), default=0)
-    pointer = spark.createDataFrame([(turn, path)], "turn long, path string").coalesce(1)
-    pointer.write.mode("append").parquet(f"{base.rstrip('/')}/_pointers")
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and the path as its own kind of path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def _pointers(spark: SparkSession, base: str) -> list[tuple[int, str]]:
-    """The last pointer written, if any."""
-    pointers = try_read(spark, f"{base.rstrip('/')}/_pointers", "turn long, path string")
-    return [] if pointers is None else [tuple(r) for r in pointers.orderBy(F.desc("turn"), "path").limit(1).collect()]
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Sorted names of what lies in ``folder``, hidden files aside; none if it is not there."""
+    fs, where = _file_system(spark, folder)
+    if not fs.exists(where):
+        return []
+    found = [f.getPath().getName() for f in fs.listStatus(where)]
+    return sorted(n for n in found if not n.startswith((".", "_")))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that nothing refers to any more."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its content in one step; False, and nothing changed, if it is there.
+
+    Of any number of writers one succeeds: the file is written under a hidden name, then
+    renamed without overwriting (linked, on a local disk, where a rename would overwrite)."""
+    fs, where = _file_system(spark, path)
+    parent = where.getParent()
+    fs.mkdirs(parent)
+    jvm, hidden = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(parent, f".{uuid.uuid4().hex}")
+    out = fs.create(hidden, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (where, hidden)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(hidden, where, options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(hidden, False)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    return "\n".join(r.value for r in spark.read.text(path).collect())
+
+
+def point_to(spark: SparkSession, base: str, path: str) -> int:
+    """Make ``path`` the published version by adding the next pointer; returns its number.
+
+    A number is taken by an atomic create. A publisher that finds it taken goes on with the
+    next one, so of several publishers at once each has a pointer of its own and the chain
+    holds all their versions."""
+    turn = last_turn(spark, base) + 1
+    while not create_once(spark, f"{base.rstrip('/')}/_pointers/{turn:012d}", path):
+        turn += 1
+    return turn
+
+
+def last_turn(spark: SparkSession, base: str) -> int:
+    """The number of the last pointer; 0 before the first."""
+    return max(map(int, names_in(spark, f"{base.rstrip('/')}/_pointers")), default=0)
+
+
+def version_chain(spark: SparkSession, base: str) -> list[str]:
+    """The folders of all versions published, oldest first."""
+    return [read_text(spark, f"{base.rstrip('/')}/_pointers/{n}") for n in names_in(spark, f"{base.rstrip('/')}/_pointers")]
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
     """The folder that the highest pointer names; None before the first publish."""
-    return next((path for _, path in _pointers(spark, base)), None)
+    turn = last_turn(spark, base)
+    return read_text(spark, f"{base.rstrip('/')}/_pointers/{turn:012d}") if turn else None
 
 
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import shared_path
+
 
 def read_records(spark: SparkSession, path: str, row_tag: str, *, encoding: str = "ISO-8859-1") -> DataFrame:
     """Flat records; every value as trimmed text, an empty element as ''."""
@@ -40,6 +42,9 @@ def tree_pairs(spark: SparkSession, path: str, *, root_tag: str, group_tag: str,
     kept = ["root", "group", "root_label", "group_label"] if label_field else ["root", "group"]
     groups = df.select(root_name.alias("root"), *label(F.col(label_field or name_field), "root_label"), F.explode(_as_array(F.col(group_tag), df.schema[group_tag].dataType)).alias("g"))
     gtype = groups.schema["g"].dataType
+    folder = shared_path(spark, "xml-groups")  # the XML is parsed once; each level below reads what it needs of it
+    groups.write.parquet(folder)
+    groups = spark.read.schema(groups.schema).parquet(folder)
     level = groups.select("root", F.col(f"g.{group_attr}").cast("string").alias("group"), *kept[2:3],
                           *label(F.col(f"g.{label_field or name_field}"), "group_label"),
                           F.explode(_as_array(F.col(f"g.{node_tag}"), gtype[node_tag].dataType)).alias("n"),

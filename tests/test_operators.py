@@ -223,10 +223,10 @@ def test_register_dataset_partial_columns(spark):
 
 def test_guarded_view_and_snapshot_immutability(spark):
     from tessera.operators import catalog as CAT
-    spark.range(3).createOrReplaceTempView("t_parent_a")
+    CAT.save_table(spark.range(3), "t_parent_a", shared_path(spark, "t_parent_a"))
     assert not CAT.create_join_view(spark, "t_join_v", ("t_parent_a", "t_parent_missing"), "SELECT 1")
     assert CAT.create_join_view(spark, "t_join_v", ("t_parent_a",), "SELECT id FROM t_parent_a")
-    assert spark.table("t_join_v").count() == 3
+    assert spark.table("t_join_v").count() == 3 and not spark.catalog.tableExists("t_parent_missing")
     df = spark.createDataFrame([(1, "2024-01-01")], "k int, snap string")
     assert lake.vintage_exists(df, "snap", "2024-01-01") and not lake.vintage_exists(df, "snap", "2024-02-01")
     assert CAT.add_missing_columns(df, {"extra": "string", "k": "int"}).columns == ["k", "snap", "extra"]

@@ -105,6 +105,77 @@ def test_revisions_land_however_late_and_may_move_a_row(spark):
     assert out == {i: (d + dt.timedelta(days=9), v + 100) if i % 6 == 0 else (d, v) for i, d, _, v in rows}
 
 
+def _days(spark):
+    """240 days in order of time, five rows a day."""
+    return spark.range(1200).select(F.col("id").alias("event_id"), F.expr("timestamp '2024-01-01' + make_interval(0, 0, 0, cast(id div 5 as int))").alias("ts"),
+                                    (F.col("id") % 7).cast("double").alias("value"), F.lit(0).alias("rev"))
+
+
+def test_state_and_side_table_hold_every_revision(spark):
+    df = _days(spark)
+    landing = shared_path(spark, "t_state_in")
+    table = S.RevisionStream(spark, shared_path(spark, "t_state"), "event_id long, value double, rev int", ["event_id"], "rev", "ts", "3 days", rows_per_file=100)
+    run = lambda: table.on_time(S.file_stream(spark, landing, df.schema, 1))
+    aside = lambda: table.set_late_aside(S.file_stream(spark, landing, df.schema))
+    for lo in range(0, 1200, 300):  # files in order of time: nothing is late
+        S.land_files(df.where(f"event_id >= {lo} AND event_id < {lo + 300}"), landing, 1)
+    assert run() == 0
+    aside()
+    assert table.late().isEmpty() and table.main.read().count() == 1200
+    files = table.main.manifest().count()
+
+    recent = df.where("event_id >= 1195").withColumns({"value": F.col("value") + 100, "rev": F.lit(1)})
+    old = df.where("event_id % 10 = 0 AND event_id < 1100").withColumns({"value": F.col("value") + 100, "rev": F.lit(1)})
+    S.land_files(recent.unionAll(recent), landing, 1)  # on time, twice
+    S.land_files(old, landing, 1)  # far behind the watermark
+    before = {r.path for r in table.main.manifest().collect()}
+    dropped = run()
+    kept = {r.path for r in table.main.manifest().collect()} & before
+    assert dropped == old.count() == 110 and len(kept) >= files - 2  # a late batch changes few files
+    aside()
+    assert table.late().count() == 110
+    lost = df.join(table.main.read().unionByName(table.late()), "event_id", "left_anti")
+    assert lost.isEmpty()
+    assert table.absorb() == 110 and table.absorb() == 0 and table.late().isEmpty()
+    out = {r.event_id: (r.value, r.rev) for r in table.main.read().collect()}
+    new = lambda i: i >= 1195 or (i % 10 == 0 and i < 1100)
+    assert table.main.read().count() == 1200
+    assert out == {i: (i % 7 + 100.0, 1) if new(i) else (float(i % 7), 0) for i in range(1200)}
+
+
+def test_window_totals_stay_bounded_and_equal(spark):
+    df = _days(spark).withColumn("kind", F.concat(F.lit("k"), F.col("event_id") % 2))
+    landing = shared_path(spark, "t_win_in")
+    table = S.WindowTotals(spark, shared_path(spark, "t_win"), ["kind"], ["value"], "kind string, value double", "ts", "1 day", "3 days")
+    for lo in range(0, 1200, 50):
+        S.land_files(df.where(f"event_id >= {lo} AND event_id < {lo + 50}"), landing, 1)
+    read = lambda: S.file_stream(spark, landing, df.schema, 1)
+    table.run(read())
+    total = lambda rows: {(str(r.ts), r.kind): (r.value, r.n) for r in rows.groupBy("ts", "kind").agg(
+        F.sum("value").alias("value"), F.count(F.lit(1)).alias("n")).collect()}
+    have = lambda: {(str(r.window_start), r.kind): (r.value, r.n) for r in table.table.read().collect()}
+    assert have() == total(df) and table.repair(df) == 0
+    assert table.table.n_files() <= 17 and len(lake.names_in(spark, f"{table.table.base}/_versions")) <= 2 * 8
+
+    late = df.where("event_id < 20").withColumn("value", F.lit(1.0))
+    S.land_files(late, landing, 1)
+    table.run(read())
+    assert have() == total(df)  # closed windows do not change in the stream
+    assert table.repair(df.unionAll(late)) == len(total(late)) and have() == total(df.unionAll(late))
+
+
+def test_partial_sums_fold_their_folders(spark):
+    sums = S.PartialSums(spark, shared_path(spark, "t_fold"), ["g"], ["n"], "g long, n long", most=10)
+    fn = sums.batches(lambda b: b.select((F.col("id") % 5).alias("g"), F.lit(1).cast("long").alias("n")))
+    most = 0
+    for i in range(200):
+        fn(spark.range(5 * i, 5 * i + 5).coalesce(1), i)
+        if i % 9 == 0:
+            fn(spark.range(5 * i, 5 * i + 5).coalesce(1), i)  # a replay
+        most = max(most, len(lake.names_in(spark, sums.path)) + len(lake.names_in(spark, f"{sums.base}/folded")))
+    assert most <= 12 and {r.g: r.n for r in sums.read().collect()} == {g: 200 for g in range(5)}
+
+
 def test_a_cluster_must_name_a_shared_folder(spark, monkeypatch):
     class Context:
         master = "spark://host:7077"
