@@ -23,6 +23,7 @@ PLAN_MODULES = (
     "tessera.plans.readers",
     "tessera.plans.writes",
     "tessera.plans.streams",
+    "tessera.plans.governance",
 )
 
 

@@ -106,5 +106,4 @@ def stream_tumbling(spark, sf):
                            "event_type string, total double", "ts", "1 day", "2 days")
     table.run(S.file_stream(spark, landing, ev.schema, MAX_FILES).withColumn("total", F.col("value")))
     table.repair(spark.read.schema(ev.schema).parquet(f"{landing}/*").withColumn("total", F.col("value")))
-    return table.table.read().select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n",
-                                     F.round("total", 2).alias("total"))
+    return table.table.read().select("event_type", S.wall_time(F.col("window_start")).alias("window_start"), "n", F.round("total", 2).alias("total"))

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,19 @@ def run_available_now(stream: DataFrame, checkpoint: str, *, sink_path: str | No
     return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
 
 
+def on_clock(rows: DataFrame, time: str) -> DataFrame:
+    """``rows`` with an event time that can carry a watermark: one without a zone becomes that instant of UTC, whatever the session's zone."""
+    if not isinstance(rows.schema[time].dataType, T.TimestampNTZType):
+        return rows
+    c = F.col(time)
+    return rows.withColumn(time, F.make_timestamp(F.year(c), F.month(c), F.day(c), F.hour(c), F.minute(c), F.extract(F.lit("SECOND"), c), F.lit("UTC")))
+
+
+def wall_time(c: Column) -> Column:
+    """An instant as the time without a zone that UTC's clocks show."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(c) / F.lit(1_000_000)).cast("decimal(18,6)"))
+
+
 class PartitionedTable:
     """A keyed table of a declared schema, partitioned by ``partition_col`` and merged per
     micro-batch; a restarted job reads it as before.
@@ -140,8 +153,7 @@ class RevisionStream:
 
     def on_time(self, stream: DataFrame, keep: int = 20) -> int:
         """Merge the rows within the watermark; returns how many the watermark left out. The last ``keep`` versions stay readable."""
-        recent = (stream.withColumn(self.event_time, F.col(self.event_time).cast("timestamp")).withWatermark(self.event_time, self.delay)
-                  .dropDuplicatesWithinWatermark([*self.keys, self.revision]))
+        recent = on_clock(stream, self.event_time).withWatermark(self.event_time, self.delay).dropDuplicatesWithinWatermark([*self.keys, self.revision])
 
         def merged(batch: DataFrame, batch_id: int) -> None:
             if self._merge(batch).version % keep == 0:
@@ -184,7 +196,8 @@ class WindowTotals:
     A watermark of ``delay`` closes windows; each batch emits the windows that it changed (update mode), which
     replace their earlier selves in a ``KeyedFiles`` table led by the window, so a batch rewrites the files of
     recent windows and no others. Small files are joined and old versions forgotten as the stream goes on, so
-    the number of files follows the number of windows and not that of batches. Rows behind the
+    the number of files follows the number of windows and not that of batches. An event time without a zone
+    is taken as UTC's, and so are its windows' starts (``wall_time`` gives them back without one). Rows behind the
     watermark change no window in the stream: ``repair`` finds the windows that lack rows and computes them anew."""
 
     def __init__(self, spark: SparkSession, base: str, keys: Sequence[str], sums: Sequence[str], schema: str, event_time: str,
@@ -199,23 +212,20 @@ class WindowTotals:
             *[F.sum(c).alias(c) for c in self.sums], F.count(F.lit(1)).alias("n")).select(
             F.col("w.start").alias("window_start"), *self.keys, *self.sums, "n")
 
-    def _timed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(self.event_time, F.col(self.event_time).cast("timestamp"))
-
     def run(self, stream: DataFrame, keep: int = 8) -> int:
         """Bring the table up to date; returns how many rows came behind the watermark."""
         def changed(batch: DataFrame, batch_id: int) -> None:
             if self.table.merge(batch, check=False).version % keep == 0:
                 self.table.forget(keep)
             self.table.compact()
-        totals = self._totals(self._timed(stream).withWatermark(self.event_time, self.delay))
+        totals = self._totals(on_clock(stream, self.event_time).withWatermark(self.event_time, self.delay))
         return run_available_now(totals, f"{self.base}/_state", foreach_batch=changed, output_mode="update")
 
     def repair(self, rows: DataFrame) -> int:
         """Compute anew the windows of ``rows`` (all that has landed) whose count differs from the table's; returns how many.
 
         For a time when the stream is not at work. The counts read the event time and the keys alone."""
-        rows = self._timed(rows)
+        rows = on_clock(rows, self.event_time)
         want = self._totals(rows.select(self.event_time, *self.keys, *[F.lit(None).cast("double").alias(c) for c in self.sums]))
         have = self.table.read().select("window_start", *self.keys, "n")
         same = [want[k].eqNullSafe(have[k]) for k in ["window_start", *self.keys]]
