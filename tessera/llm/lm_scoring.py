@@ -67,14 +67,19 @@ def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(a: np.ndarray) -> bytes:
-    """Eight-byte numbers by significance of their bytes, compressed: small ones are mostly zeros."""
-    return len(a).to_bytes(8, "little") + pa.compress(a.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+    """Numbers of eight bytes by significance of their bytes, without those that are zero in all, compressed."""
+    width = (int(a.max()).bit_length() + 7) // 8 if len(a) and a.min() >= 0 else 8
+    planes = a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(a).to_bytes(8, "little") + bytes([width]) + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
 
 
 def _unpack(packed: bytes, kind: type = np.int64) -> np.ndarray:
-    n = int.from_bytes(packed[:8], "little")
-    planes = pa.decompress(packed[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(kind).ravel()
+    n, width = int.from_bytes(packed[:8], "little"), packed[8]
+    out = np.zeros((n, 8), np.uint8)
+    if n * width:
+        planes = pa.decompress(packed[9:], decompressed_size=width * n, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return out.view(kind).ravel()
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -96,9 +101,7 @@ class Block:
     def __init__(self, texts: list[bytes], order: int) -> None:
         digests: list[bytes] = []
         for t in texts:
-            digests.append(BEGIN_HASH)
-            digests.extend(map(_hash, t.lower().split()))  # bytes: A-Z only, white space as agreed
-            digests.append(END_HASH)
+            digests += (BEGIN_HASH, b"".join(map(_hash, t.lower().split())), END_HASH)  # bytes: A-Z only, white space as agreed
         words = _word_keys(digests)
         del digests
         marks = words == BEGIN_KEY
@@ -149,22 +152,23 @@ class Block:
         ``STRETCH`` tokens: the state at a later stretch's start is that of the two words before it.
         """
         root, n = len(c), len(self.word)
-        c, back = np.append(c, 0), np.append(back, 1.0)
-        states = np.append(arcs_out > 0, False)
-        own = np.where(states[self.word], self.word, root)  # the state of the token alone
-        arc, after, fail, level = np.zeros(root + 1), np.full(root + 1, root), np.full(root + 1, root), np.zeros(root + 1, np.int8)
-        share = lambda gram, context: (c[gram] - discount) / np.maximum(c[context], 1)
-        lower = back[self.before] * unigram[self.word]
-        arc[self.two] = share(self.two, self.before) + lower
-        after[self.two] = np.where(states[self.two], self.two, own) if self.order == 3 else own
+        states = arcs_out > 0
+        own = np.where(states[self.word], self.word, root).astype(np.int32)  # the state of the token alone
+        weight, after, level = np.append(back, 1.0), own, np.zeros(root + 1, np.int8)
+        fail = np.full(root + 1, root, np.int32)
         fail[self.two] = own
         level[self.before], level[self.two] = 1, 2
-        level[root] = 0
-        three = np.full(n, root)
+        share = lambda gram, context: (c[gram] - discount) / np.maximum(c[context], 1)
+        plain = unigram[self.word]
+        lower = back[self.before] * plain
+        has_two = c[self.two] > 0
+        arc_two = share(self.two, self.before) + lower
+        has_three, arc_three = np.zeros(n, bool), np.zeros(n)
         if self.order == 3:
-            three[self.late] = self.three
-            shorter = np.where(c[self.two] > 0, arc[self.two], lower)[self.late]
-            arc[self.three] = share(self.three, self.pair) + back[self.pair] * shorter
+            after = np.where(states[self.two], self.two, own).astype(np.int32)
+            has_three[self.late] = c[self.three] > 0
+            shorter = np.where(has_two, arc_two, lower)[self.late]
+            arc_three[self.late] = share(self.three, self.pair) + back[self.pair] * shorter
 
         ends = np.append(self.start[1:], n)
         pieces = -(-(ends - self.start) // STRETCH)
@@ -173,21 +177,21 @@ class Block:
         size = np.minimum(np.repeat(ends, pieces) - begin, STRETCH)
         by_size = np.argsort(-size, kind="stable")
         begin, size, first = begin[by_size], size[by_size], first[by_size]
-        state = np.where(begin == first, self.begin if states[self.begin] else root, after[self.two[begin - 1]])
+        state = np.where(begin == first, self.begin if states[self.begin] else root, after[begin - 1])
         p = np.empty(n)
         for t in range(int(size[0]) if len(size) else 0):
             at = begin[:np.searchsorted(-size, -t, "left")] + t
-            s, two = state[:len(at)], self.two[at]
+            s = state[:len(at)]
             high = level[s] == 2
-            hit = high & (c[three[at]] > 0)
+            hit = high & has_three[at]
             fell = high & ~hit
-            out = np.where(hit, arc[three[at]], np.where(fell, back[s], 1.0))
+            out = np.where(hit, arc_three[at], np.where(fell, weight[s], 1.0))
             s = np.where(fell, fail[s], s)
             mid = ~hit & (level[s] == 1)
-            found = mid & (c[two] > 0)
-            out *= np.where(found, arc[two], np.where(mid, back[s], 1.0))
-            p[at] = np.where(hit | found, out, out * unigram[self.word[at]])
-            state = after[two]
+            found = mid & has_two[at]
+            out *= np.where(found, arc_two[at], np.where(mid, weight[s], 1.0))
+            p[at] = np.where(hit | found, out, out * plain[at])
+            state = after[at]
         return p
 
     def messages(self, block: int, parts: int, rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:

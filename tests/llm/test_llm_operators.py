@@ -91,7 +91,7 @@ def test_empty_and_odd_tables(spark, empty, odd, edge, name):
 @pytest.mark.parametrize("key", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[key](spark, SF)
     cur = con.execute(queries.ORACLES[key])
