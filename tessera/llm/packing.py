@@ -180,7 +180,7 @@ def tokenized_pieces(df: DataFrame, vocabulary: str, capacity: int = 4096, end_i
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()
             at, piece, start, length, crc = [], [], [], [], []
-            for lo, hi in pieces(texts):
+            for lo, hi in pieces(texts, 8_000_000):
                 for i, ids in enumerate(words.encode(texts[lo:hi]), lo):
                     ids += end
                     for p, s in enumerate(range(0, len(ids) // 4, capacity)):

@@ -294,6 +294,35 @@ def test_byte_and_word_ids_of_any_text(text):
     assert ids == lib[1].encode(text, add_special_tokens=False).ids
 
 
+def _fresh_word_ids(monkeypatch, limit=word_bpe.MEMO_BYTES):
+    """An encoder with memos of its own, and the words that reach the merge table."""
+    words, merged = word_bpe.WordIds(WORD_BPE), []
+    words.units, words.words = word_bpe.IdMemo(limit), word_bpe.IdMemo(limit)
+    encode = words.table.encode
+    monkeypatch.setattr(words.table, "encode", lambda some: merged.extend(some) or encode(some))
+    return words, merged
+
+
+def test_word_ids_merge_each_word_once(monkeypatch):
+    words, merged = _fresh_word_ids(monkeypatch)
+    words.encode([b"Lamp lamp, (lamp) LAMP. lamps", b"lamp's \"lamp\" lamp; lamps."])
+    words.encode([b"lamp! Lamps, lamps!"])
+    assert merged.count(b"lamp") == merged.count(b"lamps") == 1 and len(merged) == len(set(merged))
+
+
+@pytest.mark.parametrize("limit", [0, 2000, word_bpe.MEMO_BYTES])
+def test_word_ids_of_many_texts_with_full_memos(monkeypatch, limit):
+    words, _ = _fresh_word_ids(monkeypatch, limit)
+    lib = _libraries()[0][1]
+    parts = ["lamp", "Lamp,", "l'eau", "漢字", "<|endoftext|>", "İx", "x1²", "\x1c", "a\x85b", "\xa0", "w" * 70, "", "\t", "\x0b\r\n"]
+    assert words.encode([]) == [] and words.encode([b"", b" "]) == [b"", b""]
+    for k in range(1, 30):
+        texts = [" ".join(parts[(i * k + j * j) % len(parts)] + str(i * k) for j in range(i % 9)) for i in range(20)] + parts
+        ids = [np.frombuffer(x, "<u4").tolist() for x in words.encode([t.encode() for t in texts])]
+        assert ids == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+        assert all(m.keys.nbytes + m.ids.nbytes <= limit + 64 for m in (words.units, words.words))
+
+
 _LIBS = []
 
 
